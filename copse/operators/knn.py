@@ -143,17 +143,17 @@ def grid_bucket(features: str | F.Column, cell: float, metric: str = "l1") -> F.
 
 
 def bucketed_predict(train: DataFrame, query: DataFrame, k: int, cell: float,
-                     metric: str = "l1") -> DataFrame:
+                     metric: str = "l1", exclude_self: bool = False) -> DataFrame:
     """K6: search only the query's own bucket (exactly, by the banded join
     inside it); a query whose bucket holds no training row gets NULL."""
     tb = train.withColumn("bucket", grid_bucket("features", cell))
     qb = query.withColumn("bucket", grid_bucket("features", cell))
-    out = predict(tb, qb, k, metric, within=["bucket"])
+    out = predict(tb, qb, k, metric, within=["bucket"], exclude_self=exclude_self)
     return out.drop("bucket")
 
 
 def bagged_predict(bag: DataFrame, query: DataFrame, k: int, metric: str = "l2",
-                   n_models: int | None = None) -> DataFrame:
+                   n_models: int | None = None, exclude_self: bool = False) -> DataFrame:
     """K7: per-bag k-NN vote for every query, (model_id, row_id, pred).
 
     ``bag`` is (model_id, row_id, w, label, features); queries are
@@ -162,4 +162,4 @@ def bagged_predict(bag: DataFrame, query: DataFrame, k: int, metric: str = "l2",
         n_models = bag.agg(F.max("model_id")).first()[0] + 1
     q = query.select("row_id", "features").withColumn(
         "model_id", F.explode(F.sequence(F.lit(0), F.lit(n_models - 1))))
-    return predict(bag, q, k, metric, within=["model_id"])
+    return predict(bag, q, k, metric, within=["model_id"], exclude_self=exclude_self)

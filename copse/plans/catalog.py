@@ -20,6 +20,8 @@ from copse.sources.text import format_ranked, parse_ranked
 from copse.operators import tree as T
 from copse.operators import evaluate as E
 from copse.operators import vote as V
+from copse.operators import bayes as NB
+from copse.operators import knn as KNN
 
 # Fixed parameters of the registered queries (the reference's defaults
 # are 4 models, fraction 0.7, k 5, smoothing 1.0, depth 5).
@@ -32,7 +34,7 @@ SMOOTHING = 1.0
 ALPHA = 1.0
 FIXED_N = 100
 REPLACE_BUCKETS = 16
-KNN_CELL = 8.0
+KNN_CELL = 0.5
 
 R5 = 5
 R6 = 6
@@ -347,6 +349,235 @@ SELECT count(*)::BIGINT AS n_total, count_if(mv.pred = e.label)::BIGINT AS n_cor
 FROM mv JOIN enc e ON e.row_id = mv.row_id"""
 
 
+# ------------------------------------------------------------- naive Bayes
+def _nb_inputs(spark, sf):
+    enc = _encoded_orders(spark, sf)
+    bag = bagging.poisson(enc, N_MODELS, FRACTION, SEED)
+    return enc, NB.fit(bag)
+
+
+def _sql_nb_head():
+    return f"""{O.encoded_points_ctes(O.ORDER_POINTS)},
+{O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION)},
+{O.nb_model_ctes()}"""
+
+
+def q_nb_priors(spark, sf):
+    _, model = _nb_inputs(spark, sf)
+    return NB.priors(model).select("model_id", "label", "n", F.round("prior", R9).alias("prior"))
+
+
+def sql_nb_priors():
+    return f"""
+WITH {_sql_nb_head()}
+SELECT c.model_id, c.label, c.n::BIGINT AS n, round(c.n::DOUBLE / t.total, 9) AS prior
+FROM ncls c JOIN ntot t USING (model_id)"""
+
+
+def q_nb_conditionals(spark, sf):
+    _, model = _nb_inputs(spark, sf)
+    return NB.conditionals(model).select("model_id", "label", "feature", "value", "n",
+                                         F.round("p", R9).alias("p"))
+
+
+def sql_nb_conditionals():
+    return f"""
+WITH {_sql_nb_head()}
+SELECT v.model_id, v.label, v.feature::INTEGER AS feature, v.value, v.n::BIGINT AS n,
+       round(v.n::DOUBLE / c.n, 9) AS p
+FROM nval v JOIN ncls c ON c.model_id = v.model_id AND c.label = v.label"""
+
+
+def q_nb_score_sum(spark, sf):
+    enc, model = _nb_inputs(spark, sf)
+    sc = NB.scores(model, enc, len(tables.ORDER_FEATURES), kind="reference", smoothing=SMOOTHING)
+    return sc.select("model_id", "row_id", "label", F.round("score", R6).alias("score"))
+
+
+def sql_nb_score_sum():
+    return f"""
+WITH {_sql_nb_head()},
+{O.nb_score_ctes('enc', 'reference', ALPHA, SMOOTHING)}
+SELECT model_id, row_id, label, round(score, 6) AS score FROM nsc"""
+
+
+def _nb_predictions(spark, sf):
+    enc, model = _nb_inputs(spark, sf)
+    return NB.predict(model, enc, len(tables.ORDER_FEATURES), kind="laplace", alpha=ALPHA), enc
+
+
+def q_nb_predict(spark, sf):
+    preds, _ = _nb_predictions(spark, sf)
+    return preds
+
+
+def sql_nb_predict():
+    return f"""
+WITH {_sql_nb_head()},
+{O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()}
+SELECT model_id, row_id, pred FROM npred"""
+
+
+def q_nb_documents(spark, sf):
+    docs = tables.document_points(spark, sf)
+    bag = bagging.poisson(docs, N_MODELS, FRACTION, SEED)
+    preds = NB.predict(NB.fit(bag), docs, len(tables.DOCUMENT_FEATURES), alpha=ALPHA)
+    return V.majority(preds)
+
+
+def sql_nb_documents():
+    return f"""
+WITH pts AS ({O.DOCUMENT_POINTS}),
+{O.poisson_bag_cte('pts', SEED, N_MODELS, FRACTION)},
+{O.nb_model_ctes()},
+{O.nb_score_ctes('pts', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()},
+{O.majority_cte('npred')}
+SELECT row_id, pred, votes FROM mv"""
+
+
+def q_accuracy(spark, sf):
+    """V4/V5 on the naive-Bayes ensemble vote over the orders."""
+    preds, enc = _nb_predictions(spark, sf)
+    return E.accuracy(E.with_truth(V.majority(preds), enc))
+
+
+def sql_accuracy():
+    return f"""
+WITH {_sql_nb_head()},
+{O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()},
+{O.majority_cte('npred')}
+SELECT count(*)::BIGINT AS n_total, count_if(mv.pred = e.label)::BIGINT AS n_correct,
+       count_if(mv.pred = e.label) * 100.0 / count(*) AS accuracy_pct
+FROM mv JOIN enc e ON e.row_id = mv.row_id"""
+
+
+# ----------------------------------------------------------------- mixture
+def q_ensemble_mixed(spark, sf):
+    """V1: trees on bags 0..1 (depth 1) and naive Bayes on bags 2..3 of one
+    bagging pass; per-row vote over all four models."""
+    enc = _encoded_orders(spark, sf)
+    bag = bagging.poisson(enc, N_MODELS, FRACTION, SEED)
+    half = N_MODELS // 2
+    nodes = T.fit(bag.where(F.col("model_id") < half), 1, SEED)
+    tp = T.predict(nodes, enc, 1, list(range(half)))
+    nbp = NB.predict(NB.fit(bag.where(F.col("model_id") >= half)), enc,
+                     len(tables.ORDER_FEATURES), alpha=ALPHA)
+    return V.majority(V.union_predictions(tp, nbp))
+
+
+def sql_ensemble_mixed():
+    half = N_MODELS // 2
+    return f"""
+WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
+{O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
+bag AS (SELECT * FROM allbag WHERE model_id < {half}),
+{O.tree_ctes(1, SEED)},
+{O.tree_predict_ctes(1, 'enc', half)},
+nbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
+{O.nb_model_ctes('nbag')},
+{O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()},
+allp AS (SELECT model_id, row_id, pred FROM tp UNION ALL SELECT model_id, row_id, pred FROM npred),
+{O.majority_cte('allp')}
+SELECT row_id, pred, votes FROM mv"""
+
+
+# --------------------------------------------------------------------- knn
+def _emb(spark, sf):
+    return tables.embedding_points(spark, sf)
+
+
+def q_knn_neighbors(spark, sf):
+    e = _emb(spark, sf)
+    nb = KNN.search(e, e, K, "l2", exclude_self=True)
+    return nb.select(F.col("q_id").alias("row_id"), "t_id", "label",
+                     F.round("dist", R6).alias("dist"), "slots")
+
+
+def sql_knn_neighbors():
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+{O.knn_ctes('pts', 'pts', K, 'l2', None, True)}
+SELECT q_id AS row_id, t_id, label, round(dist, 6) AS dist, slots::INTEGER AS slots FROM kp_top"""
+
+
+def _knn_pred_sql(metric):
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+{O.knn_ctes('pts', 'pts', K, metric, None, True)}
+SELECT p.row_id, kp.pred FROM pts p LEFT JOIN kp ON kp.row_id = p.row_id"""
+
+
+def q_knn_l1_predict(spark, sf):
+    e = _emb(spark, sf)
+    return KNN.predict(e, e, K, "l1", exclude_self=True).select("row_id", "pred")
+
+
+def sql_knn_l1_predict():
+    return _knn_pred_sql("l1")
+
+
+def q_knn_l2_predict(spark, sf):
+    e = _emb(spark, sf)
+    return KNN.predict(e, e, K, "l2", exclude_self=True).select("row_id", "pred")
+
+
+def sql_knn_l2_predict():
+    return _knn_pred_sql("l2")
+
+
+def q_knn_bucketed(spark, sf):
+    e = _emb(spark, sf)
+    return KNN.bucketed_predict(e, e, K, KNN_CELL, "l1", exclude_self=True).select("row_id", "pred")
+
+
+def sql_knn_bucketed():
+    s = "list_reduce(features, lambda acc, x: acc + x, 0.0::DOUBLE)"
+    return f"""
+WITH raw AS ({O.EMBEDDING_POINTS}),
+pts AS (SELECT *, floor(round({s}, 6) / CAST('{KNN_CELL!r}' AS DOUBLE))::BIGINT AS bucket FROM raw),
+{O.knn_ctes('pts', 'pts', K, 'l1', 'bucket', True)}
+SELECT p.row_id, kp.pred FROM pts p LEFT JOIN kp ON kp.row_id = p.row_id"""
+
+
+def q_knn_bagged(spark, sf):
+    e = _emb(spark, sf)
+    bag = bagging.poisson(e, N_MODELS, FRACTION, SEED)
+    preds = KNN.bagged_predict(bag, e, K, "l2", N_MODELS, exclude_self=True)
+    return V.majority(preds)
+
+
+def sql_knn_bagged():
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+{O.poisson_bag_cte('pts', SEED, N_MODELS, FRACTION)},
+qm AS (SELECT m.model_id, p.row_id, p.features FROM pts p,
+       (SELECT range::INTEGER AS model_id FROM range(0, {N_MODELS})) m),
+{O.knn_ctes('bag', 'qm', K, 'l2', 'model_id', True)},
+kpm AS (SELECT grp AS model_id, row_id, pred FROM kp),
+{O.majority_cte('kpm')}
+SELECT row_id, pred, votes FROM mv"""
+
+
+def q_knn_selftest(spark, sf):
+    """K8: leave-one-out accuracy of exact L2 k-NN over every row."""
+    e = _emb(spark, sf)
+    preds = KNN.predict(e, e, K, "l2", exclude_self=True)
+    return E.accuracy(E.with_truth(preds, e))
+
+
+def sql_knn_selftest():
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+{O.knn_ctes('pts', 'pts', K, 'l2', None, True)}
+SELECT count(*)::BIGINT AS n_total, count_if(kp.pred = p.label)::BIGINT AS n_correct,
+       count_if(kp.pred = p.label) * 100.0 / count(*) AS accuracy_pct
+FROM pts p LEFT JOIN kp ON kp.row_id = p.row_id"""
+
+
 QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "parse_ranked_lines": (q_parse_ranked_lines, sql_parse_ranked_lines),
     "feature_profile": (q_feature_profile, sql_feature_profile),
@@ -365,6 +596,19 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "tree_depth2_predict": (q_tree_depth2_predict, sql_tree_depth2_predict),
     "vote_majority": (q_vote_majority, sql_vote_majority),
     "tree_ensemble_accuracy": (q_tree_ensemble_accuracy, sql_tree_ensemble_accuracy),
+    "nb_priors": (q_nb_priors, sql_nb_priors),
+    "nb_conditionals": (q_nb_conditionals, sql_nb_conditionals),
+    "nb_score_sum": (q_nb_score_sum, sql_nb_score_sum),
+    "nb_predict": (q_nb_predict, sql_nb_predict),
+    "nb_documents": (q_nb_documents, sql_nb_documents),
+    "accuracy": (q_accuracy, sql_accuracy),
+    "ensemble_mixed": (q_ensemble_mixed, sql_ensemble_mixed),
+    "knn_neighbors": (q_knn_neighbors, sql_knn_neighbors),
+    "knn_l1_predict": (q_knn_l1_predict, sql_knn_l1_predict),
+    "knn_l2_predict": (q_knn_l2_predict, sql_knn_l2_predict),
+    "knn_bucketed": (q_knn_bucketed, sql_knn_bucketed),
+    "knn_bagged": (q_knn_bagged, sql_knn_bagged),
+    "knn_selftest": (q_knn_selftest, sql_knn_selftest),
 }
 
 

@@ -230,3 +230,74 @@ def majority_cte(preds: str, name: str = "mv") -> str:
 {name} AS (SELECT row_id, pred, votes::BIGINT AS votes FROM (
   SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY votes DESC, pred) AS rn FROM {name}_c)
   WHERE rn = 1)"""
+
+
+def explode_cte(src: str, name: str, keys: str) -> str:
+    """(keys..., feature, value) rows of ``src``'s features list."""
+    return f"""
+{name} AS (SELECT {keys}, x.feature, x.value
+           FROM {src} b, LATERAL (SELECT generate_subscripts(b.features, 1) - 1 AS feature,
+                                         unnest(b.features) AS value) x)"""
+
+
+def nb_model_ctes(bag: str = "bag") -> str:
+    return f"""
+ncls AS (SELECT model_id, label, sum(w) AS n FROM {bag} GROUP BY model_id, label),
+ntot AS (SELECT model_id, sum(n) AS total FROM ncls GROUP BY model_id),
+{explode_cte(bag, "bx", "b.model_id, b.label, b.w")},
+nval AS (SELECT model_id, label, feature, value, sum(w) AS n FROM bx
+         GROUP BY model_id, label, feature, value),
+ncard AS (SELECT model_id, feature, count(DISTINCT value) AS k FROM bx GROUP BY model_id, feature)"""
+
+
+def nb_score_ctes(points: str, kind: str, alpha: float, smoothing: float) -> str:
+    """``nsc``: (model_id, row_id, label, score) for every point and class."""
+    if kind == "reference":
+        term = f"coalesce(v.n::DOUBLE / c.n, CAST('{smoothing!r}' AS DOUBLE))"
+    else:
+        a = f"CAST('{alpha!r}' AS DOUBLE)"
+        term = f"ln((coalesce(v.n, 0) + {a}) / (c.n + {a} * k.k))"
+    return f"""
+{explode_cte(points, "tx", "b.row_id")},
+nsc AS (
+  SELECT c.model_id, t.row_id, c.label,
+         ln(c.n::DOUBLE / tt.total) + sum({term}) AS score
+  FROM tx t CROSS JOIN ncls c
+  JOIN ntot tt ON tt.model_id = c.model_id
+  JOIN ncard k ON k.model_id = c.model_id AND k.feature = t.feature
+  LEFT JOIN nval v ON v.model_id = c.model_id AND v.label = c.label
+   AND v.feature = t.feature AND v.value = t.value
+  GROUP BY c.model_id, t.row_id, c.label, c.n, tt.total)"""
+
+
+def nb_decide_cte(name: str = "npred") -> str:
+    return f"""
+{name} AS (SELECT model_id, row_id, label AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_id, row_id
+                               ORDER BY round(score, 9) DESC, label) AS rn FROM nsc) WHERE rn = 1)"""
+
+
+def knn_ctes(train: str, query: str, k: int, metric: str, within: str | None,
+             exclude_self: bool, name: str = "kp") -> str:
+    """Brute-force neighbours with weighted slots; ``{name}`` holds
+    (grp, row_id, pred) where grp is the within-key (or 0)."""
+    grp_t = f"t.{within}" if within else "0"
+    grp_q = f"q.{within}" if within else "0"
+    on = f"t.{within} = q.{within}" if within else "TRUE"
+    self_cond = "AND t.row_id <> q.row_id" if exclude_self else ""
+    w = "t.w" if "bag" in train else "1"
+    return f"""
+{name}_pairs AS (
+  SELECT {grp_q} AS grp, q.row_id AS q_id, t.row_id AS t_id, t.label, {w} AS w,
+         {distance_sql(metric, 'q.features', 't.features')} AS dist
+  FROM {query} q JOIN {train} t ON {on} {self_cond}),
+{name}_rk AS (
+  SELECT *, coalesce(sum(w) OVER (PARTITION BY grp, q_id ORDER BY round(dist, 9), t_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM {name}_pairs),
+{name}_top AS (SELECT grp, q_id, t_id, label, dist, least(w, {k} - before) AS slots
+               FROM {name}_rk WHERE before < {k}),
+{name}_v AS (SELECT grp, q_id, label, sum(slots) AS n FROM {name}_top GROUP BY grp, q_id, label),
+{name} AS (SELECT grp, q_id AS row_id, label AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY grp, q_id ORDER BY n DESC, label) AS rn FROM {name}_v)
+  WHERE rn = 1)"""
