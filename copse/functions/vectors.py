@@ -33,11 +33,9 @@ def l2_distance(a: Column, b: Column) -> Column:
 
 
 def distance(metric: str, a: Column, b: Column) -> Column:
-    if metric == "l1":
-        return l1_distance(a, b)
-    if metric == "l2":
-        return l2_distance(a, b)
-    raise ValueError(f"unknown metric {metric!r}; use 'l1' or 'l2'")
+    if metric not in ("l1", "l2"):
+        raise ValueError(f"unknown metric {metric!r}; use 'l1' or 'l2'")
+    return l1_distance(a, b) if metric == "l1" else l2_distance(a, b)
 
 
 def projection(metric: str, v: Column, dim: int) -> Column:

@@ -26,13 +26,15 @@ Ties: (distance rounded to 9 places, train id).
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
-from copse.functions.vectors import distance, projection
+from copse.functions.vectors import distance
+from copse.plans.broadcast import broadcast_limit, checked_broadcast
 from copse.plans.lineage import cut_lineage
 
 MARGIN = 1e-9
@@ -43,15 +45,84 @@ def _proj(metric: str, v: F.Column) -> F.Column:
     return total if metric == "l1" else total / F.sqrt(F.size(v).cast("double"))
 
 
+def _parallelism(spark) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a CPU-heavy probe side at least as many partitions as the
+    cluster has cores (a small file scans as one partition). The explicit
+    partition count is kept by AQE, unlike a planned shuffle."""
+    n = _parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key)
+
+
+def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: list[str],
+               exclude_self: bool, k: int, q_rows: int, dim: int | None,
+               salt_rows: int = 4096) -> DataFrame:
+    """Candidates with |s_t - s_q| <= width, ranked; the k best slots per
+    query with ``covered`` (slots found) and ``worst`` (k-th distance).
+
+    Small query side (row count checked): it is broadcast with its three
+    bands, and the training rows stream through every task, so a wide
+    band costs no skew. Large query side: the join is shuffled on
+    (group, band, salt); a band holding more than ``salt_rows`` training
+    rows is split into salts by train id and its queries are replicated
+    to every salt, so no band is gathered into one task.
+    """
+    tb = t.withColumn("band", F.floor(F.col("s") / F.lit(width)))
+    qb = q.withColumn("band", F.explode(F.array(
+        *[F.floor(F.col("s") / F.lit(width)) + F.lit(d) for d in (-1, 0, 1)])))
+    keys = within + ["band"]
+    # q_rows bounds the queries (from the statistics job); bands triple it.
+    if 3 * q_rows <= broadcast_limit(q):
+        pairs = spread(tb.drop("s"), "t_id").join(F.broadcast(qb.drop("s")), keys)
+    else:
+        hot = tb.groupBy(*keys).agg(F.count("*").alias("cnt")) \
+            .where(F.col("cnt") > salt_rows) \
+            .select(*keys, F.ceil(F.col("cnt") / F.lit(salt_rows)).cast("int").alias("n_salt"))
+        # At most n_train / salt_rows hot bands; checked before broadcasting.
+        hot = checked_broadcast(hot)
+        tb = tb.join(hot, keys, "left").withColumn(
+            "salt", F.pmod(F.xxhash64("t_id"), F.coalesce(F.col("n_salt"), F.lit(1)))).drop("n_salt")
+        qb = qb.join(hot, keys, "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))) \
+            .drop("n_salt")
+        pairs = tb.drop("s").join(qb.drop("s"), keys + ["salt"])
+    if exclude_self:
+        pairs = pairs.where(F.col("t_id") != F.col("q_id"))
+    pairs = pairs.select(*within, "q_id", "t_id", "label", "w",
+                         distance(metric, F.col("q_feat"), F.col("t_feat")).alias("dist"))
+    part = Window.partitionBy(*within, "q_id")
+    order = part.orderBy(F.round("dist", 9), F.col("t_id"))
+    # row_number <= k is planned as a partial group limit before the shuffle.
+    top = pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k)
+    before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    top = top.withColumn("before", before).where(F.col("before") < k) \
+        .withColumn("slots", F.least(F.col("w"), F.lit(k) - F.col("before")))
+    return top.withColumn("covered", F.sum("slots").over(part)) \
+        .withColumn("worst", F.max("dist").over(part))
+
+
 def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
            within: tuple[str, ...] | list[str] = (), exclude_self: bool = False,
-           growth: float = 4.0, initial_width: float | None = None) -> DataFrame:
+           growth: float = 2.0, initial_width: float | None = None) -> DataFrame:
     """Exact top-k neighbours.
 
     train: (row_id, label, features[, w][, *within])
     query: (row_id, features[, *within])
     returns (*within, q_id, t_id, label, dist, slots): at most k slots per
     (within, q_id); ``slots`` is how many of the k places the row fills.
+
+    Pass 1 joins at a narrow band. A query is final when its k-th distance
+    is inside the band; otherwise that k-th distance bounds how wide its
+    band must be. Pass 2 groups the open queries by the smallest width
+    ``w0 * growth^j`` that covers their bound (queries with fewer than k
+    candidates take the full span) and runs one band join per group; all
+    groups run in the same job.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -64,49 +135,58 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     q = query.select(*within, F.col("row_id").alias("q_id"), F.col("features").alias("q_feat"))
     q = q.withColumn("s", _proj(metric, F.col("q_feat")))
 
-    both = t.select("s").unionByName(q.select("s"))
-    st = both.agg(F.min("s").alias("lo"), F.max("s").alias("hi"),
-                  F.max(F.abs("s")).alias("amax")).first()
-    n_train = t.count()
-    if st["lo"] is None or n_train == 0:
+    both = t.select("s", F.size("t_feat").alias("dim"), F.lit(1).alias("is_t"),
+                    *[F.col(c) for c in within]) \
+        .unionByName(q.select("s", F.size("q_feat").alias("dim"), F.lit(0).alias("is_t"),
+                              *[F.col(c) for c in within]))
+    aggs = [F.min("s").alias("lo"), F.max("s").alias("hi"), F.max(F.abs("s")).alias("amax"),
+            F.sum("is_t").alias("n_train"), F.sum(1 - F.col("is_t")).alias("n_query"),
+            F.min("dim").alias("dim_lo"), F.max("dim").alias("dim_hi")]
+    if within:
+        aggs.append(F.count_distinct(*[F.when(F.col("is_t") == 1, F.col(c)) for c in within])
+                    .alias("n_groups"))
+    st = both.agg(*aggs).first()
+    if st["lo"] is None or not st["n_train"]:
         return _empty(train.sparkSession, within)
+    n_groups = max(1, st["n_groups"]) if within else 1
+    n_query = int(st["n_query"] or 0)
+    # One length for every vector -> unrolled distance; otherwise the
+    # generic form, which raises on the first unequal pair.
+    dim = int(st["dim_lo"]) if st["dim_lo"] is not None and st["dim_lo"] == st["dim_hi"] else None
+    per_group = max(1.0, st["n_train"] / n_groups)
     span = float(st["hi"] - st["lo"])
     floor_w = max(float(st["amax"]) * 1e-12, 1e-300)
-    width = initial_width if initial_width else max(span * min(1.0, 4.0 * k / n_train), floor_w)
-    if span == 0.0:
-        width = max(1.0, floor_w)
-
-    open_q = q
-    done = []
-    while True:
-        final = width >= span * (1 + 1e-9) + floor_w
-        tb = t.withColumn("band", F.floor(F.col("s") / F.lit(width)))
-        qb = open_q.withColumn("band", F.explode(F.array(
-            *[F.floor(F.col("s") / F.lit(width)) + F.lit(d) for d in (-1, 0, 1)])))
-        pairs = qb.drop("s").join(tb.drop("s"), within + ["band"])
-        if exclude_self:
-            pairs = pairs.where(F.col("t_id") != F.col("q_id"))
-        pairs = pairs.select(*within, "q_id", "t_id", "label", "w",
-                             distance(metric, F.col("q_feat"), F.col("t_feat")).alias("dist"))
-        part = Window.partitionBy(*within, "q_id")
-        order = part.orderBy(F.round("dist", 9), F.col("t_id"))
-        top = pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k)
-        before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        top = top.withColumn("before", before).where(F.col("before") < k) \
-            .withColumn("slots", F.least(F.col("w"), F.lit(k) - F.col("before")))
-        covered = F.sum("slots").over(part)
-        worst = F.max("dist").over(part)
-        ok = F.lit(True) if final else (covered >= k) & (worst <= F.lit(width * (1 - MARGIN) - 1e-8))
-        top = cut_lineage(top.withColumn("resolved", ok).select(
-            *within, "q_id", "t_id", "label", "dist", "slots", "resolved"))
-        done.append(top.where("resolved").drop("resolved"))
-        if final:
-            break
-        solved = top.where("resolved").select(*within, "q_id").distinct()
-        open_q = cut_lineage(open_q.join(solved, within + ["q_id"], "left_anti"))
-        if open_q.limit(1).count() == 0:
-            break
-        width *= growth
+    full = span * (1 + 1e-9) + floor_w
+    w0 = initial_width if initial_width else max(span * min(1.0, 4.0 * k / per_group), floor_w)
+    if span == 0.0 or w0 >= full:
+        top = _band_join(t, q, max(full, 1.0), metric, within, exclude_self, k, n_query, dim)
+        return top.select(*within, "q_id", "t_id", "label", "dist", "slots")
+
+    first = _band_join(t, q, w0, metric, within, exclude_self, k, n_query, dim)
+    ok = (F.col("covered") >= k) & (F.col("worst") <= F.lit(w0 * (1 - MARGIN) - 1e-8))
+    first = cut_lineage(first.withColumn("resolved", ok).select(
+        *within, "q_id", "t_id", "label", "dist", "slots", "covered", "worst", "resolved"))
+    done = [first.where("resolved").select(*within, "q_id", "t_id", "label", "dist", "slots")]
+
+    # Open queries and the width each needs (NULL need -> full span).
+    need = first.where(~F.col("resolved")).groupBy(*within, "q_id").agg(
+        F.first(F.when(F.col("covered") >= k, F.col("worst"))).alias("need"))
+    solved = first.where("resolved").select(*within, "q_id").distinct()
+    n_full = 0
+    while w0 * growth ** n_full < full:
+        n_full += 1
+    open_q = q.join(solved, within + ["q_id"], "left_anti").join(need, within + ["q_id"], "left")
+    # Class j >= 1 with w0 * growth^j >= need * (1 + margin); capped at the full span.
+    ratio = (F.col("need") * F.lit(1 + 1e-6) + F.lit(1e-8)) / F.lit(w0)
+    cls = F.when(F.col("need").isNull(), F.lit(n_full)).otherwise(
+        F.least(F.lit(n_full), F.greatest(F.lit(1), F.ceil(F.log(ratio) / F.lit(math.log(growth))))))
+    open_q = open_q.withColumn("cls", cls.cast("int"))
+    classes = [r[0] for r in open_q.select("cls").distinct().collect()]
+    for j in sorted(classes):
+        width = full if j >= n_full else w0 * growth ** j
+        qj = open_q.where(F.col("cls") == j).drop("cls", "need")
+        top = _band_join(t, qj, width, metric, within, exclude_self, k, n_query, dim)
+        done.append(top.select(*within, "q_id", "t_id", "label", "dist", "slots"))
     return reduce(DataFrame.unionByName, done)
 
 
