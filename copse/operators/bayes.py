@@ -37,17 +37,29 @@ from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
 from copse.plans.broadcast import checked_broadcast
+from copse.plans.lineage import cut_lineage
 
 
-def fit(bagged: DataFrame) -> dict[str, DataFrame]:
-    """N1-N3 counts from (model_id, w, label, features)."""
+def fit(bagged: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
+    """N1-N3 counts from (model_id, w, label, features).
+
+    The count tables are the fitted model: they are written once to the
+    checkpoint folder, so scoring (which reads them several times) never
+    re-runs the aggregation over the bag."""
     classes = bagged.groupBy("model_id", "label").agg(F.sum("w").cast("bigint").alias("n"))
     values = bagged.select("model_id", "label", "w", F.posexplode("features").alias("feature", "value")) \
         .groupBy("model_id", "label", "feature", "value").agg(F.sum("w").cast("bigint").alias("n")) \
         .withColumn("feature", F.col("feature").cast("int"))
     card = values.select("model_id", "feature", "value").distinct() \
         .groupBy("model_id", "feature").agg(F.count("*").cast("bigint").alias("k"))
-    return {"classes": classes, "values": values, "cardinality": card}
+    model = {"classes": classes, "values": values, "cardinality": card}
+    if materialize:
+        model["values"] = cut_lineage(values)
+        model["classes"] = cut_lineage(classes)
+        model["cardinality"] = cut_lineage(
+            model["values"].select("model_id", "feature", "value").distinct()
+            .groupBy("model_id", "feature").agg(F.count("*").cast("bigint").alias("k")))
+    return model
 
 
 def priors(model: dict[str, DataFrame]) -> DataFrame:

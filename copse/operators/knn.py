@@ -36,6 +36,7 @@ from copse.functions.argmax import argmax_label
 from copse.functions.vectors import distance
 from copse.plans.broadcast import broadcast_limit, checked_broadcast
 from copse.plans.lineage import cut_lineage
+from copse.plans.partitioning import spread
 
 MARGIN = 1e-9
 
@@ -45,21 +46,6 @@ def _proj(metric: str, v: F.Column) -> F.Column:
     return total if metric == "l1" else total / F.sqrt(F.size(v).cast("double"))
 
 
-def _parallelism(spark) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a CPU-heavy probe side at least as many partitions as the
-    cluster has cores (a small file scans as one partition). The explicit
-    partition count is kept by AQE, unlike a planned shuffle."""
-    n = _parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, key)
-
-
 def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: list[str],
                exclude_self: bool, k: int, q_rows: int, dim: int | None,
                salt_rows: int = 4096) -> DataFrame:

@@ -146,12 +146,65 @@ def split_scores(rows: DataFrame, by_class: DataFrame, vt: DataFrame, seed: int,
                 score.alias("score"))
 
 
+# Label domains up to this size use one count column per label (a pivot
+# inside the aggregation); larger ones use the long (label-per-row) form.
+WIDE_MAX_LABELS = 64
+
+
+def split_scores_wide(rows: DataFrame, by_class: DataFrame, vt: DataFrame, seed: int,
+                      labels: list[int], k: int = MAX_CANDIDATES,
+                      vt_rows: int | None = None) -> DataFrame:
+    """T2 for a small label domain: class counts are pivoted into columns
+    inside the histogram aggregation, so the running left-side counts are
+    one window over (model, node, feature) and no dense grid is joined."""
+    idx = list(range(len(labels)))
+    per_label = [F.sum(F.when(F.col("label") == F.lit(c), F.col("w")).otherwise(F.lit(0)))
+                 .cast("bigint").alias(f"c{i}") for i, c in zip(idx, labels)]
+    hist = rows.select("model_id", "node_id", "label", "w",
+                       F.posexplode("features").alias("feature", "value")) \
+        .groupBy("model_id", "node_id", "feature", "value").agg(*per_label)
+    vt_b = bounded_broadcast(vt, vt_rows) if vt_rows is not None else vt
+    hist = hist.join(vt_b, ["model_id", "feature", "value"])
+    hist = hist.withColumn("offset", thinning_offset(seed, k)).withColumn(
+        "slot", candidate_slot(F.col("pos"), F.col("n_values"), F.col("offset"), k))
+    at_slot = hist.where(F.col("slot").isNotNull()) \
+        .groupBy("model_id", "node_id", "feature", "slot") \
+        .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in idx])
+    run = Window.partitionBy("model_id", "node_id", "feature").orderBy("slot") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = at_slot.select("model_id", "node_id", "feature", "slot",
+                          *[F.sum(f"c{i}").over(run).alias(f"l{i}") for i in idx])
+    totals = by_class.groupBy("model_id", "node_id").agg(
+        *[F.sum(F.when(F.col("label") == F.lit(c), F.col("n")).otherwise(F.lit(0)))
+          .alias(f"t{i}") for i, c in zip(idx, labels)])
+    left = left.join(F.broadcast(totals), ["model_id", "node_id"])
+    nl = sum((F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    nr = sum((F.col(f"t{i}") - F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    sql = sum((F.col(f"l{i}") * F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    sqr = sum(((F.col(f"t{i}") - F.col(f"l{i}")) * (F.col(f"t{i}") - F.col(f"l{i}"))
+               for i in idx), F.lit(0)).cast("double")
+    sums = left.select("model_id", "node_id", "feature", "slot", nl.alias("nl"), nr.alias("nr"),
+                       sql.alias("sql"), sqr.alias("sqr")) \
+        .where((F.col("nl") > 0) & (F.col("nr") > 0))
+    score = ((F.col("nl") - F.col("sql") / F.col("nl")) + (F.col("nr") - F.col("sqr") / F.col("nr"))) \
+        / (F.col("nl") + F.col("nr"))
+    thr = vt.select("model_id", "feature", F.col("pos").alias("slot"), F.col("value").alias("threshold"))
+    thr = bounded_broadcast(thr, vt_rows) if vt_rows is not None else thr
+    return sums.join(thr, ["model_id", "feature", "slot"]) \
+        .select("model_id", "node_id", "feature", "threshold",
+                F.col("nl").cast("bigint").alias("n_left"),
+                F.col("nr").cast("bigint").alias("n_right"),
+                score.alias("score"))
+
+
 def best_splits(scores: DataFrame) -> DataFrame:
     """T4: per (model, node) the split with the lowest score (rounded to 9
-    places), ties by feature then threshold."""
-    w = Window.partitionBy("model_id", "node_id").orderBy(
-        F.round("score", 9), F.col("feature"), F.col("threshold"))
-    return scores.withColumn("rk", F.row_number().over(w)).where(F.col("rk") == 1).drop("rk")
+    places), ties by feature then threshold: the minimum of a struct in
+    that field order, one hash aggregation with partial combine."""
+    best = F.min(F.struct(F.round("score", 9).alias("rs"), F.col("feature").cast("int").alias("feature"),
+                          "threshold", "n_left", "n_right", "score")).alias("b")
+    return scores.groupBy("model_id", "node_id").agg(best).select(
+        "model_id", "node_id", "b.feature", "b.threshold", "b.n_left", "b.n_right", "b.score")
 
 
 def route(rows: DataFrame, level: DataFrame, bound: int) -> DataFrame:
@@ -173,7 +226,9 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     vt = cut_lineage(value_table(base))
+    vt_rows = vt.count()
     n_models = vt.select("model_id").distinct().count()
+    labels = sorted(r[0] for r in base.select("label").distinct().limit(WIDE_MAX_LABELS + 1).collect())
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
     for depth in range(max_depth + 1):
@@ -183,7 +238,10 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
         if depth < max_depth:
             open_nodes = summary.where(F.col("n_classes") > 1).select("model_id", "node_id")
             live = rows.join(bounded_broadcast(open_nodes, bound), ["model_id", "node_id"])
-            scores = split_scores(live, by_class, vt, seed, max_candidates)
+            if len(labels) <= WIDE_MAX_LABELS:
+                scores = split_scores_wide(live, by_class, vt, seed, labels, max_candidates, vt_rows)
+            else:
+                scores = split_scores(live, by_class, vt, seed, max_candidates)
             best = best_splits(scores).select("model_id", "node_id", "feature", "threshold")
             level = level.join(best, ["model_id", "node_id"], "left")
         else:

@@ -578,6 +578,39 @@ SELECT count(*)::BIGINT AS n_total, count_if(kp.pred = p.label)::BIGINT AS n_cor
 FROM pts p LEFT JOIN kp ON kp.row_id = p.row_id"""
 
 
+# ---------------------------------------------- reference default settings
+DEFAULT_DEPTH = 5
+
+
+def q_tree_depth5_nodes(spark, sf):
+    """T7/T8 at the reference's default depth 5 over 4 bags."""
+    _, bag = _tree_inputs(spark, sf)
+    return _nodes_out(T.fit(bag, DEFAULT_DEPTH, SEED))
+
+
+def sql_tree_depth5_nodes():
+    return f"""
+WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
+{O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION)},
+{O.tree_ctes(DEFAULT_DEPTH, SEED)}
+{_sql_nodes_select()}"""
+
+
+def q_tree_depth5_ensemble(spark, sf):
+    """V6 at depth 5: trees -> per-row vote -> accuracy."""
+    preds, enc = _tree_predictions(spark, sf, DEFAULT_DEPTH)
+    return E.accuracy(E.with_truth(V.majority(preds), enc))
+
+
+def sql_tree_depth5_ensemble():
+    return f"""
+WITH {_sql_tree_predict_ctes(DEFAULT_DEPTH)},
+{O.majority_cte('tp')}
+SELECT count(*)::BIGINT AS n_total, count_if(mv.pred = e.label)::BIGINT AS n_correct,
+       count_if(mv.pred = e.label) * 100.0 / count(*) AS accuracy_pct
+FROM mv JOIN enc e ON e.row_id = mv.row_id"""
+
+
 QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "parse_ranked_lines": (q_parse_ranked_lines, sql_parse_ranked_lines),
     "feature_profile": (q_feature_profile, sql_feature_profile),
@@ -609,6 +642,8 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "knn_bucketed": (q_knn_bucketed, sql_knn_bucketed),
     "knn_bagged": (q_knn_bagged, sql_knn_bagged),
     "knn_selftest": (q_knn_selftest, sql_knn_selftest),
+    "tree_depth5_nodes": (q_tree_depth5_nodes, sql_tree_depth5_nodes),
+    "tree_depth5_ensemble": (q_tree_depth5_ensemble, sql_tree_depth5_ensemble),
 }
 
 

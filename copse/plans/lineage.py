@@ -1,9 +1,10 @@
 """Cutting lineage in iterative jobs (tree levels, k-NN widening rounds).
 
-A reliable checkpoint writes the frame to the shared folder named by
-``spark.checkpoint.dir`` so that a lost executor does not force
-recomputation of every earlier level. ``localCheckpoint`` is never used:
-its blocks live on executors and die with them.
+Iterative operators write each step's (small) result as a table in the
+shared folder named by ``spark.checkpoint.dir`` and continue from the
+written files, so a lost executor does not force recomputation of every
+earlier level. ``localCheckpoint`` is never used: its blocks live on
+executors and die with them.
 
 The folder is read from the session. Only a local-mode session (tests,
 the bench) may get a fresh folder under the system temp dir when the
@@ -14,6 +15,7 @@ machine-local folder is not visible to the other executors.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +39,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` to the shared checkpoint folder and return a frame
-    whose plan starts from the written files."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialize ``df`` as a parquet table under the shared checkpoint
+    folder and return a frame that reads it back.
+
+    One job writes the table (``Dataset.checkpoint`` would compute the plan
+    twice: once for its eager count and again to write the files). The
+    read-back plan starts at the files, carries their true size for
+    later broadcast decisions, and survives the loss of any executor.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/copse-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

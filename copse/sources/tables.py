@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from copse.plans.partitioning import spread
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -53,12 +55,12 @@ def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         _code("o_orderstatus", ORDER_STATUS_CODES).cast("double"),
         F.col("o_custkey").cast("double"),
     )
-    return o.select(
+    return spread(o.select(
         F.col("o_orderkey").cast("bigint").alias("row_id"),
         (F.substring("o_orderpriority", 1, 1).cast("bigint") - 1).alias("label"),
         F.col("o_custkey").cast("bigint").alias("qid"),
         feats.alias("features"),
-    )
+    ), "row_id")
 
 
 def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,22 +75,22 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("double"),
         _code("l_returnflag", RETURNFLAG_CODES).cast("double"),
     )
-    return li.select(
+    return spread(li.select(
         F.col("l_returnflag").alias("group_key"),
         F.floor((F.col("l_quantity") - 1) / 10).cast("bigint").alias("label"),
         feats.alias("features"),
-    )
+    ), "features")
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings -> (row_id, label, qid NULL, features ARRAY<DOUBLE>)."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select(
+    return spread(e.select(
         F.col("vec_id").cast("bigint").alias("row_id"),
         F.col("label").cast("bigint").alias("label"),
         F.lit(None).cast("bigint").alias("qid"),
         F.transform("embedding", lambda x: x.cast("double")).alias("features"),
-    )
+    ), "row_id")
 
 
 def _log2_band(n: F.Column) -> F.Column:

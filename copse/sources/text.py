@@ -1,7 +1,8 @@
 """Ranked-feature text: ``label qid:Q 1:v1 2:v2 ...`` (space separated).
 
-Parsing is a single projection of native expressions (``split``,
-``slice``, ``transform``, ``try_cast``); no Python runs per line. As in the
+Parsing is a single projection of native, code-generated expressions
+(``regexp_extract``, ``rlike``, ``regexp_extract_all``, an array
+``try_cast``); no Python and no per-token lambda runs per line. As in the
 input format, a feature's position is its identity: the index before the
 colon is not used.
 
@@ -24,17 +25,14 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def _tokens(line: Column) -> Column:
-    # A trailing separator yields an empty last token; drop empty tokens.
-    return F.filter(F.split(line, " "), lambda t: t != F.lit(""))
-
-
-def _feature_values(tokens: Column) -> Column:
-    pairs = F.slice(tokens, 3, F.greatest(F.size(tokens) - 2, F.lit(0)))
-    return F.transform(
-        pairs,
-        lambda t: F.when(F.size(F.split(t, ":")) == 2,
-                         F.split(t, ":").getItem(1).try_cast("double")))
+# The ranked-line grammar. Tokens are separated by spaces;
+# the first is the label, the second "qid:Q"; every later token is
+# "index:value" with exactly one colon (the index is not used).
+FIRST_TOKEN = r"^\s*(\S+)"
+SECOND_TOKEN = r"^\s*\S+\s+(\S+)"
+AFTER_TWO = r"^\s*\S+\s+\S+\s*(.*)$"
+PAIR_LIST = r"^([^\s:]*:[^\s:]+(\s+|$))*$"
+PAIR_VALUE = r"[^\s:]*:([^\s:]+)"
 
 
 def content_row_id(df: DataFrame, text_col: str = "value") -> DataFrame:
@@ -82,23 +80,28 @@ def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
     if key is None:
         df = content_row_id(df, text_col)
         key = "row_id"
-    tokens = _tokens(F.col(text_col))
-    qid_tok = tokens.getItem(1)
+    line = F.col(text_col)
+    qid_tok = F.regexp_extract(line, SECOND_TOKEN, 1)
+    rest = F.regexp_extract(line, AFTER_TWO, 1)
+    # Whole-line native expressions (no per-token lambdas): one regex to
+    # validate the pair list, one to pull the values, an array cast.
     parsed = df.select(
         F.col(key).cast("bigint").alias("row_id"),
-        F.col(text_col).alias("__line"),
-        tokens.getItem(0).try_cast("bigint").alias("label"),
-        (F.when(F.size(F.split(qid_tok, ":")) == 2,
-                F.split(qid_tok, ":").getItem(1).try_cast("bigint"))
+        line.alias("__line"),
+        F.regexp_extract(line, FIRST_TOKEN, 1).try_cast("bigint").alias("label"),
+        (F.when(qid_tok.rlike(r"^[^:]*:[^:]+$"),
+                F.regexp_extract(qid_tok, r":(.*)$", 1).try_cast("bigint"))
          if with_qid else F.lit(None).cast("bigint")).alias("qid"),
-        _feature_values(tokens).alias("features"),
-        F.size(tokens).alias("__ntok"),
+        F.regexp_extract_all(rest, F.lit(PAIR_VALUE), 1).try_cast("array<double>").alias("features"),
+        (qid_tok != F.lit("")).alias("__has_qid"),
+        rest.rlike(PAIR_LIST).alias("__pairs_ok"),
     )
     reason = (
         F.when(F.col("label").isNull(), F.lit("bad label"))
-        .when(F.col("__ntok") < 2, F.lit("missing qid token"))
+        .when(~F.col("__has_qid"), F.lit("missing qid token"))
         .when(F.lit(with_qid) & F.col("qid").isNull(), F.lit("bad qid"))
-        .when(F.exists("features", lambda v: v.isNull()), F.lit("bad feature"))
+        .when(~F.col("__pairs_ok"), F.lit("bad feature"))
+        .when(F.size(F.array_compact("features")) != F.size("features"), F.lit("bad feature"))
     )
     if n_features is not None:
         reason = reason.when(F.size("features") != n_features, F.lit("wrong feature count"))
