@@ -290,3 +290,36 @@ def predict(nodes: DataFrame, points: DataFrame, max_depth: int,
             .otherwise(F.col("node_id")).alias("node_id"),
             F.coalesce(F.col("pred"), F.when(F.col("is_leaf"), F.col("p"))).alias("pred"))
     return cur.select("model_id", "row_id", "pred")
+
+
+def compile_trees(nodes: DataFrame, features: str = "features",
+                  max_nodes: int = 1 << 16) -> dict[int, "F.Column"]:
+    """T9 as expressions: one nested CASE WHEN per model, built from the
+    node table (models x 2^(depth+1) rows at most, checked against
+    ``max_nodes``). Scoring is then a projection: no join, no shuffle, and
+    it works unchanged on a streaming frame."""
+    rows = nodes.select("model_id", "node_id", "is_leaf", "feature", "threshold", "prediction") \
+        .limit(max_nodes + 1).collect()
+    if len(rows) > max_nodes:
+        raise ValueError("tree table too large to compile; use predict()")
+    by_model: dict[int, dict[int, object]] = {}
+    for r in rows:
+        by_model.setdefault(r["model_id"], {})[r["node_id"]] = r
+
+    def build(tree, node_id):
+        r = tree[node_id]
+        if r["is_leaf"]:
+            return F.lit(r["prediction"]).cast("bigint")
+        x = F.element_at(F.col(features), F.lit(r["feature"] + 1))
+        return F.when(x <= F.lit(r["threshold"]), build(tree, 2 * node_id)) \
+            .otherwise(build(tree, 2 * node_id + 1))
+
+    return {m: build(tree, 1) for m, tree in sorted(by_model.items())}
+
+
+def vote_expression(preds: "F.Column") -> "F.Column":
+    """Majority over an array of labels in one row (ties: smallest label)."""
+    counted = F.transform(F.array_distinct(F.filter(preds, lambda p: p.isNotNull())),
+                          lambda lab: F.struct(F.size(F.filter(preds, lambda p: p == lab)).alias("n"),
+                                               (-lab).alias("neg"), lab.alias("label")))
+    return F.array_max(counted).getField("label")
