@@ -24,8 +24,8 @@ pairs whose value was seen with the class:
   reference: F * s                        +  sum_seen (n_cfv / n_c - s)
 
 so scoring joins the exploded test rows only to the *seen* value counts
-(a bounded table, broadcast behind a size check) and never materializes
-rows x classes x features.
+(a bounded table, broadcast behind a size check, one gain array over all
+(model, class) slots per value) and never materializes rows x classes.
 """
 
 from __future__ import annotations
@@ -96,51 +96,97 @@ def _class_constants(model: dict[str, DataFrame], n_features: int, kind: str,
                       (F.log("prior") + F.col("s") + missing).alias("base"))
 
 
-def scores(model: dict[str, DataFrame], points: DataFrame, n_features: int,
-           kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0) -> DataFrame:
-    """(model_id, row_id, label, score) for every row and class."""
+def _slots(model: dict[str, DataFrame]) -> list[tuple[int, int]]:
+    """(model_id, label) of every class of every model, in a fixed order.
+    Bounded by models x classes (the model, not the data)."""
+    rows = model["classes"].select("model_id", "label").orderBy("model_id", "label").collect()
+    if not rows:
+        raise ValueError("model has no classes")
+    return [(int(r[0]), int(r[1])) for r in rows]
+
+
+def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int,
+                 kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0):
+    """Per row, the scores of every (model, class) slot as one array:
+    returns ``(frame(row_id, scores), slots)``.
+
+    Each seen (feature, value) of the model carries one array of gains over
+    all slots (zero where the class never saw the value); a row adds the
+    arrays of its features' values to the per-slot constants. The lookup is
+    a broadcast join on (feature, value) of the exploded row (the gain table
+    is bounded by features x values and checked); the per-row sum groups
+    the row's own feature entries, so no (row, class) rows are ever
+    created."""
     if kind not in ("laplace", "reference"):
         raise ValueError("kind must be 'laplace' or 'reference'")
     if kind == "laplace" and alpha <= 0:
         raise ValueError("alpha must be > 0")
-    base = _class_constants(model, n_features, kind, alpha, smoothing)
+    slots = _slots(model)
+    n_slots = len(slots)
+    base = {(int(r["model_id"]), int(r["label"])): float(r["base"]) for r in
+            _class_constants(model, n_features, kind, alpha, smoothing).collect()}
+    base_arr = F.array(*[F.lit(base[sl]) for sl in slots])
+    keys = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(c).alias("label")) for m, c in slots])
     vals = model["values"].join(model["classes"].withColumnRenamed("n", "n_c"), ["model_id", "label"])
     if kind == "laplace":
         gain = F.log1p(F.col("n") / F.lit(alpha))
     else:
         gain = F.col("n") / F.col("n_c") - F.lit(smoothing)
-    seen = vals.select("model_id", "label", "feature", "value", gain.alias("gain"))
+    slot = (F.array_position(keys, F.struct(F.col("model_id").cast("int").alias("model_id"),
+                                            F.col("label").cast("int").alias("label"))) - 1).cast("int")
+    per_value = vals.select("feature", "value", slot.alias("slot"), gain.alias("gain")) \
+        .groupBy("feature", "value").agg(
+            F.map_from_entries(F.collect_list(F.struct("slot", "gain"))).alias("m")) \
+        .select("feature", "value", F.transform(
+            F.sequence(F.lit(0), F.lit(n_slots - 1)),
+            lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("g"))
     exploded = points.select("row_id", F.posexplode("features").alias("feature", "value")) \
         .withColumn("feature", F.col("feature").cast("int"))
-    deltas = exploded.join(checked_broadcast(seen), ["feature", "value"]) \
-        .select("model_id", "row_id", "label", "gain")
-    # Every (model, row, class) also gets a zero so classes with no seen
-    # value still score; classes are few, generated without a join.
-    classes = base.select("model_id", "label").collect()
-    if not classes:
-        raise ValueError("model has no classes")
-    pairs = F.array(*[F.struct(F.lit(r["model_id"]).alias("model_id"),
-                               F.lit(r["label"]).alias("label")) for r in classes])
-    zeros = points.select("row_id", F.explode(pairs).alias("mc")).select(
-        F.col("mc.model_id").alias("model_id"), "row_id", F.col("mc.label").alias("label"),
-        F.lit(0.0).alias("gain"))
-    summed = deltas.unionByName(zeros).repartition("model_id", "row_id") \
-        .groupBy("model_id", "row_id", "label").agg(F.sum("gain").alias("gain"))
-    return summed.join(F.broadcast(base.select("model_id", "label", "base")), ["model_id", "label"]) \
-        .select("model_id", "row_id", "label", (F.col("base") + F.col("gain")).alias("score"))
+    looked = exploded.join(checked_broadcast(per_value), ["feature", "value"], "left")
+    per_row = looked.groupBy("row_id").agg(F.collect_list("g").alias("gs"))
+    total = F.aggregate("gs", base_arr, lambda acc, g: F.zip_with(acc, g, lambda x, y: x + y))
+    return per_row.select("row_id", total.alias("scores")), slots
+
+
+def scores(model: dict[str, DataFrame], points: DataFrame, n_features: int,
+           kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0) -> DataFrame:
+    """(model_id, row_id, label, score) for every row and class."""
+    arrays, slots = score_arrays(model, points, n_features, kind, alpha, smoothing)
+    keys = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(c).alias("label")) for m, c in slots])
+    return arrays.select("row_id", F.posexplode("scores").alias("i", "score")) \
+        .select(F.element_at(keys, F.col("i") + 1).alias("k"), "row_id", "score") \
+        .select(F.col("k.model_id").alias("model_id"), "row_id",
+                F.col("k.label").cast("bigint").alias("label"), "score")
+
+
+def decide_arrays(arrays: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
+    """N6 inside each row: per model the label with the highest score
+    (rounded to 9 places), smallest label on ties; (model_id, row_id, pred)."""
+    per_model: dict[int, list[int]] = {}
+    for i, (m, _) in enumerate(slots):
+        per_model.setdefault(m, []).append(i)
+    picks = []
+    for m, idx in sorted(per_model.items()):
+        cands = F.array(*[F.struct(F.round(F.col("scores").getItem(i), 9).alias("s"),
+                                   F.lit(-slots[i][1]).alias("neg"),
+                                   F.lit(slots[i][1]).alias("label")) for i in idx])
+        picks.append(F.struct(F.lit(m).alias("model_id"),
+                              F.array_max(cands).getField("label").cast("bigint").alias("pred")))
+    return arrays.select("row_id", F.explode(F.array(*picks)).alias("p")).select(
+        F.col("p.model_id").alias("model_id"), "row_id", F.col("p.pred").alias("pred"))
 
 
 def decide(score_rows: DataFrame) -> DataFrame:
-    """Per (model, row) the label with the highest score rounded to 9
-    places, smallest label on ties. Rows arrive clustered by (model, row)
-    from :func:`scores`, so this aggregation adds no shuffle."""
+    """N6 on long score rows: per (model, row) the label with the highest
+    score rounded to 9 places, smallest label on ties."""
     return score_rows.groupBy("model_id", "row_id").agg(
         argmax_label("label", F.round("score", 9)).alias("pred"))
 
 
 def predict(model: dict[str, DataFrame], points: DataFrame, n_features: int,
             kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0) -> DataFrame:
-    return decide(scores(model, points, n_features, kind, alpha, smoothing))
+    arrays, slots = score_arrays(model, points, n_features, kind, alpha, smoothing)
+    return decide_arrays(arrays, slots)
 
 
 def log_laplace_reference(n_cfv: int, n_c: int, k: int, alpha: float) -> float:

@@ -167,7 +167,11 @@ def split_scores_wide(rows: DataFrame, by_class: DataFrame, vt: DataFrame, seed:
     hist = hist.join(vt_b, ["model_id", "feature", "value"])
     hist = hist.withColumn("offset", thinning_offset(seed, k)).withColumn(
         "slot", candidate_slot(F.col("pos"), F.col("n_values"), F.col("offset"), k))
+    # From here on the data is the per-value histogram (bounded by models x
+    # nodes x features x bins). One exchange on (model, node) serves the
+    # slot aggregation, the running-sum window and the best-split choice.
     at_slot = hist.where(F.col("slot").isNotNull()) \
+        .repartition("model_id", "node_id") \
         .groupBy("model_id", "node_id", "feature", "slot") \
         .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in idx])
     run = Window.partitionBy("model_id", "node_id", "feature").orderBy("slot") \
@@ -264,8 +268,42 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     return out
 
 
+# Node tables up to this size are compiled into expressions for scoring.
+COMPILE_MAX_NODES = 4096
+
+
 def predict(nodes: DataFrame, points: DataFrame, max_depth: int,
             model_ids: list[int] | None = None) -> DataFrame:
+    """(model_id, row_id, pred) for every model and row.
+
+    Small node tables (the usual case: models x 2^(depth+1)) are compiled
+    into one CASE WHEN per model and evaluated in a projection; larger ones
+    are routed level by level with broadcast joins."""
+    bound = (len(model_ids) if model_ids else 1) * (2 ** (max_depth + 1))
+    n_nodes = nodes.count() if model_ids is None or bound > COMPILE_MAX_NODES else bound
+    if n_nodes > COMPILE_MAX_NODES:
+        return predict_joined(nodes, points, max_depth, model_ids)
+    exprs = compile_trees(nodes, max_nodes=COMPILE_MAX_NODES)
+    ids = sorted(exprs) if model_ids is None else list(model_ids)
+    arr = F.array(*[F.struct(F.lit(m).alias("model_id"),
+                             (exprs[m] if m in exprs else F.lit(None).cast("bigint")).alias("pred"))
+                    for m in ids])
+    return points.select("row_id", F.explode(arr).alias("p")).select(
+        F.col("p.model_id").alias("model_id"), "row_id", F.col("p.pred").alias("pred"))
+
+
+def predict_vote(nodes: DataFrame, points: DataFrame) -> DataFrame:
+    """V6 scoring without a shuffle: every model's label and the majority
+    are computed inside each row: (row_id, pred, votes)."""
+    exprs = compile_trees(nodes, max_nodes=COMPILE_MAX_NODES)
+    preds = F.array(*[exprs[m] for m in sorted(exprs)])
+    out = points.select("row_id", preds.alias("preds")).withColumn("pred", vote_expression(F.col("preds")))
+    return out.select("row_id", "pred",
+                      F.size(F.filter("preds", lambda p: p == F.col("pred"))).cast("bigint").alias("votes"))
+
+
+def predict_joined(nodes: DataFrame, points: DataFrame, max_depth: int,
+                   model_ids: list[int] | None = None) -> DataFrame:
     """Route every (model, row) from the root to its leaf, one broadcast
     join per level (no shuffle); returns (model_id, row_id, pred).
 

@@ -330,10 +330,16 @@ WITH {_sql_tree_predict_ctes()},
 SELECT row_id, pred, votes FROM mv"""
 
 
+def _tree_vote(spark, sf, depth):
+    enc, bag = _tree_inputs(spark, sf)
+    nodes = T.fit(bag, depth, SEED)
+    return T.predict_vote(nodes, enc), enc
+
+
 def flagship(spark, sf):
-    """Tree ensemble (V6): bags -> trees -> vote -> accuracy (one row)."""
-    preds, enc = _tree_predictions(spark, sf)
-    return E.accuracy(E.with_truth(V.majority(preds), enc))
+    """Tree ensemble (V6): bags -> trees -> in-row vote -> accuracy (one row)."""
+    votes, enc = _tree_vote(spark, sf, ORACLE_DEPTH)
+    return E.accuracy(E.with_truth(votes, enc))
 
 
 def q_tree_ensemble_accuracy(spark, sf):
@@ -598,8 +604,8 @@ WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
 
 def q_tree_depth5_ensemble(spark, sf):
     """V6 at depth 5: trees -> per-row vote -> accuracy."""
-    preds, enc = _tree_predictions(spark, sf, DEFAULT_DEPTH)
-    return E.accuracy(E.with_truth(V.majority(preds), enc))
+    votes, enc = _tree_vote(spark, sf, DEFAULT_DEPTH)
+    return E.accuracy(E.with_truth(votes, enc))
 
 
 def sql_tree_depth5_ensemble():
