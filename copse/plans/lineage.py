@@ -21,18 +21,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle: the session conf must say
+        sc = None
+    if sc is not None:
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return current.get()
+        configured = configured or sc.getConf().get("spark.checkpoint.dir")
+        if configured:
+            sc.setCheckpointDir(configured)
+            return configured
+        if sc.master.startswith("local"):
+            path = tempfile.mkdtemp(prefix="copse-ckpt-")
+            sc.setCheckpointDir(path)
+            return path
+    elif configured:
         return configured
-    if sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="copse-ckpt-")
-        sc.setCheckpointDir(path)
-        return path
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a folder every executor "
         "can reach (HDFS/S3/shared FS) before running iterative operators")

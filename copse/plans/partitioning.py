@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def parallelism(spark) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return max(n, spark.sparkContext.defaultParallelism)
+    except Exception:  # sessions without a local SparkContext handle
+        return n
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -22,6 +25,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     coalesce a small but CPU-heavy shuffle into one task.
     """
     n = parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan: leave partitioning to Spark
+        return df
+    if current >= n:
         return df
     return df.repartition(n, *keys)
