@@ -34,9 +34,8 @@ from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
 from copse.functions.vectors import distance
-from copse.plans.broadcast import broadcast_limit, checked_broadcast
+from copse.plans.broadcast import checked_broadcast
 from copse.plans.lineage import cut_lineage
-from copse.plans.partitioning import spread
 
 MARGIN = 1e-9
 
@@ -46,42 +45,91 @@ def _proj(metric: str, v: F.Column) -> F.Column:
     return total if metric == "l1" else total / F.sqrt(F.size(v).cast("double"))
 
 
+def _block_kernel(metric: str, exclude_self: bool, k: int, within: list[str]):
+    """Distances between the training rows and the queries of one block
+    (at most ``block`` x ``block``), computed with numpy, left to right over
+    the dimensions as the SQL fold does (so values are bit-identical); the
+    k best (rounded distance, train id) per query are returned."""
+    import numpy as np
+    import pandas as pd
+
+    out_cols = within + ["q_id", "t_id", "label", "w", "dist"]
+
+    def run(tdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        if tdf.empty or qdf.empty:
+            return pd.DataFrame({c: [] for c in out_cols})
+        tx = np.stack(tdf["t_feat"].to_numpy()).astype(np.float64, copy=False)
+        qx = np.stack(qdf["q_feat"].to_numpy()).astype(np.float64, copy=False)
+        if tx.shape[1] != qx.shape[1]:
+            raise ValueError("vectors of unequal length")
+        acc = np.zeros((qx.shape[0], tx.shape[0]))
+        for j in range(tx.shape[1]):
+            d = qx[:, j:j + 1] - tx[None, :, j]
+            acc += np.abs(d) if metric == "l1" else d * d
+        dist = acc if metric == "l1" else np.sqrt(acc)
+        t_id = tdf["t_id"].to_numpy()
+        q_id = qdf["q_id"].to_numpy()
+        rd = np.round(dist, 9)
+        if exclude_self:
+            rd = np.where(q_id[:, None] == t_id[None, :], np.inf, rd)
+        kk = min(k, tx.shape[0])
+        rows_q, rows_t = [], []
+        cut = np.partition(rd, kk - 1, axis=1)[:, kk - 1] if kk < tx.shape[0] else np.full(len(q_id), np.inf)
+        for i in range(len(q_id)):
+            cand = np.nonzero(rd[i] <= cut[i])[0]
+            cand = cand[np.isfinite(rd[i, cand])]
+            order = np.lexsort((t_id[cand], rd[i, cand]))[:kk]
+            rows_q.append(np.full(len(order), i))
+            rows_t.append(cand[order])
+        qi = np.concatenate(rows_q) if rows_q else np.array([], dtype=int)
+        ti = np.concatenate(rows_t) if rows_t else np.array([], dtype=int)
+        out = {c: qdf[c].to_numpy()[qi] for c in within}
+        out.update(q_id=q_id[qi], t_id=t_id[ti], label=tdf["label"].to_numpy()[ti],
+                   w=tdf["w"].to_numpy()[ti], dist=dist[qi, ti])
+        return pd.DataFrame(out, columns=out_cols)
+
+    return run
+
+
 def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: list[str],
                exclude_self: bool, k: int, q_rows: int, dim: int | None,
-               salt_rows: int = 4096) -> DataFrame:
+               block: int = 512) -> DataFrame:
     """Candidates with |s_t - s_q| <= width, ranked; the k best slots per
     query with ``covered`` (slots found) and ``worst`` (k-th distance).
 
-    Small query side (row count checked): it is broadcast with its three
-    bands, and the training rows stream through every task, so a wide
-    band costs no skew. Large query side: the join is shuffled on
-    (group, band, salt); a band holding more than ``salt_rows`` training
-    rows is split into salts by train id and its queries are replicated
-    to every salt, so no band is gathered into one task.
+    The band equi-join is decomposed into blocks: training rows of a
+    (group, band) are split into ``ceil(n_train / block)`` salts by train
+    id and its queries into ``ceil(n_query / block)`` chunks by query id;
+    each train salt meets each query chunk once. Every block holds at most
+    block x block pairs, so a band holding a third of all rows is spread
+    over many tasks instead of landing in one. Only bands above ``block``
+    rows (at most rows / block of them, checked) need the split table.
     """
-    tb = t.withColumn("band", F.floor(F.col("s") / F.lit(width)))
+    tb = t.withColumn("band", F.floor(F.col("s") / F.lit(width))).drop("s")
     qb = q.withColumn("band", F.explode(F.array(
-        *[F.floor(F.col("s") / F.lit(width)) + F.lit(d) for d in (-1, 0, 1)])))
+        *[F.floor(F.col("s") / F.lit(width)) + F.lit(d) for d in (-1, 0, 1)]))).drop("s")
     keys = within + ["band"]
-    # q_rows bounds the queries (from the statistics job); bands triple it.
-    if 3 * q_rows <= broadcast_limit(q):
-        pairs = spread(tb.drop("s"), "t_id").join(F.broadcast(qb.drop("s")), keys)
-    else:
-        hot = tb.groupBy(*keys).agg(F.count("*").alias("cnt")) \
-            .where(F.col("cnt") > salt_rows) \
-            .select(*keys, F.ceil(F.col("cnt") / F.lit(salt_rows)).cast("int").alias("n_salt"))
-        # At most n_train / salt_rows hot bands; checked before broadcasting.
-        hot = checked_broadcast(hot)
-        tb = tb.join(hot, keys, "left").withColumn(
-            "salt", F.pmod(F.xxhash64("t_id"), F.coalesce(F.col("n_salt"), F.lit(1)))).drop("n_salt")
-        qb = qb.join(hot, keys, "left").withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))) \
-            .drop("n_salt")
-        pairs = tb.drop("s").join(qb.drop("s"), keys + ["salt"])
-    if exclude_self:
-        pairs = pairs.where(F.col("t_id") != F.col("q_id"))
-    pairs = pairs.select(*within, "q_id", "t_id", "label", "w",
-                         distance(metric, F.col("q_feat"), F.col("t_feat")).alias("dist"))
+    tc = tb.groupBy(*keys).agg(F.count("*").alias("nt"))
+    qc = qb.groupBy(*keys).agg(F.count("*").alias("nq"))
+    hot = tc.join(qc, keys).where((F.col("nt") > block) | (F.col("nq") > block)).select(
+        *keys, F.ceil(F.col("nt") / F.lit(block)).cast("int").alias("n_ts"),
+        F.ceil(F.col("nq") / F.lit(block)).cast("int").alias("n_qc"))
+    hot = checked_broadcast(hot)
+    n_ts = F.coalesce(F.col("n_ts"), F.lit(1))
+    n_qc = F.coalesce(F.col("n_qc"), F.lit(1))
+    tb = tb.join(hot, keys, "left").select(
+        *keys, "t_id", "label", "w", "t_feat",
+        F.pmod(F.xxhash64("t_id"), n_ts).cast("int").alias("ts"),
+        F.explode(F.sequence(F.lit(0), n_qc - 1)).alias("qc"))
+    qb = qb.join(hot, keys, "left").select(
+        *keys, "q_id", "q_feat",
+        F.explode(F.sequence(F.lit(0), n_ts - 1)).alias("ts"),
+        F.pmod(F.xxhash64("q_id"), n_qc).cast("int").alias("qc"))
+    schema = ", ".join([f"{c} {dict(t.dtypes)[c]}" for c in within] +
+                       ["q_id bigint", "t_id bigint", "label bigint", "w int", "dist double"])
+    gkeys = keys + ["ts", "qc"]
+    pairs = tb.groupBy(*gkeys).cogroup(qb.groupBy(*gkeys)).applyInPandas(
+        _block_kernel(metric, exclude_self, k, within), schema)
     part = Window.partitionBy(*within, "q_id")
     order = part.orderBy(F.round("dist", 9), F.col("t_id"))
     # row_number <= k is planned as a partial group limit before the shuffle.
