@@ -211,6 +211,88 @@ def best_splits(scores: DataFrame) -> DataFrame:
         "model_id", "node_id", "b.feature", "b.threshold", "b.n_left", "b.n_right", "b.score")
 
 
+def _summary(totals: DataFrame, labels: list[int]) -> DataFrame:
+    """Node summary from pivoted class totals t0..t{L-1} per (model, node)."""
+    idx = range(len(labels))
+    n = sum((F.col(f"t{i}") for i in idx), F.lit(0))
+    sq = sum((F.col(f"t{i}") * F.col(f"t{i}") for i in idx), F.lit(0)).cast("double")
+    n_classes = sum((F.when(F.col(f"t{i}") > 0, 1).otherwise(0) for i in idx), F.lit(0))
+    best = F.array_max(F.array(*[F.struct(F.col(f"t{i}").alias("n"), F.lit(-c).alias("neg"),
+                                          F.lit(c).alias("label")) for i, c in zip(idx, labels)]))
+    return totals.select(
+        "model_id", "node_id", n.cast("bigint").alias("n"), n_classes.alias("n_classes"),
+        best.getField("label").cast("bigint").alias("prediction"),
+        (F.lit(1.0) - sq / (n.cast("double") * n.cast("double"))).alias("impurity"))
+
+
+def level_wide(rows: DataFrame, vt: DataFrame, seed: int, labels: list[int], depth: int,
+               last: bool, k: int = MAX_CANDIDATES, vt_rows: int | None = None) -> DataFrame:
+    """One level of every tree as one job (label domains <= WIDE_MAX_LABELS).
+
+    The histogram (partial aggregation before its shuffle) is repartitioned
+    once on (model, node); node totals (the histogram of feature 0 summed
+    over values), slot sums, the running window, the best-split choice and
+    the node table all reuse that partitioning."""
+    idx = list(range(len(labels)))
+    pivot = [F.sum(F.when(F.col("label") == F.lit(c), F.col("w")).otherwise(F.lit(0)))
+             .cast("bigint").alias(f"c{i}") for i, c in zip(idx, labels)]
+    if last:
+        totals = rows.groupBy("model_id", "node_id").agg(
+            *[p.alias(f"t{i}") for i, p in zip(idx, pivot)])
+        return _summary(totals, labels).select(
+            "model_id", "node_id", F.lit(depth).alias("depth"), F.lit(None).cast("int").alias("feature"),
+            F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("is_leaf"),
+            "prediction", "n", "impurity")
+    # Node totals ride along on every histogram row (a window over one
+    # feature's values); nothing filters the histogram, so the summary and
+    # the split search share its single exchange.
+    per_feature = Window.partitionBy("model_id", "node_id", "feature")
+    hist = rows.select("model_id", "node_id", "label", "w",
+                       F.posexplode("features").alias("feature", "value")) \
+        .groupBy("model_id", "node_id", "feature", "value").agg(*pivot) \
+        .repartition("model_id", "node_id")
+    hist = hist.select("*", *[F.sum(f"c{i}").over(per_feature).alias(f"t{i}") for i in idx])
+    totals = hist.groupBy("model_id", "node_id").agg(*[F.max(f"t{i}").alias(f"t{i}") for i in idx])
+    vt_b = bounded_broadcast(vt, vt_rows) if vt_rows is not None else vt
+    slotted = hist.join(vt_b, ["model_id", "feature", "value"]) \
+        .withColumn("offset", thinning_offset(seed, k)) \
+        .withColumn("slot", candidate_slot(F.col("pos"), F.col("n_values"), F.col("offset"), k)) \
+        .where(F.col("slot").isNotNull())
+    at_slot = slotted.groupBy("model_id", "node_id", "feature", "slot") \
+        .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in idx],
+             *[F.first(f"t{i}").alias(f"t{i}") for i in idx])
+    run = Window.partitionBy("model_id", "node_id", "feature").orderBy("slot") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = at_slot.select("model_id", "node_id", "feature", "slot",
+                          *[F.col(f"t{i}") for i in idx],
+                          *[F.sum(f"c{i}").over(run).alias(f"l{i}") for i in idx])
+    nl = sum((F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    nr = sum((F.col(f"t{i}") - F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    sql = sum((F.col(f"l{i}") * F.col(f"l{i}") for i in idx), F.lit(0)).cast("double")
+    sqr = sum(((F.col(f"t{i}") - F.col(f"l{i}")) * (F.col(f"t{i}") - F.col(f"l{i}"))
+               for i in idx), F.lit(0)).cast("double")
+    sums = left.select("model_id", "node_id", "feature", "slot", nl.alias("nl"), nr.alias("nr"),
+                       sql.alias("sql"), sqr.alias("sqr")) \
+        .where((F.col("nl") > 0) & (F.col("nr") > 0))
+    score = ((F.col("nl") - F.col("sql") / F.col("nl")) + (F.col("nr") - F.col("sqr") / F.col("nr"))) \
+        / (F.col("nl") + F.col("nr"))
+    thr = vt.select("model_id", "feature", F.col("pos").alias("slot"), F.col("value").alias("threshold"))
+    thr = bounded_broadcast(thr, vt_rows) if vt_rows is not None else thr
+    scored = sums.join(thr, ["model_id", "feature", "slot"]).select(
+        "model_id", "node_id", "feature", "threshold",
+        F.col("nl").cast("bigint").alias("n_left"), F.col("nr").cast("bigint").alias("n_right"),
+        score.alias("score"))
+    best = best_splits(scored).select("model_id", "node_id", "feature", "threshold")
+    summary = _summary(totals, labels)
+    lv = summary.join(best, ["model_id", "node_id"], "left")
+    split = (F.col("n_classes") > 1) & F.col("feature").isNotNull()
+    return lv.select(
+        "model_id", "node_id", F.lit(depth).alias("depth"),
+        F.when(split, F.col("feature")).cast("int").alias("feature"),
+        F.when(split, F.col("threshold")).cast("double").alias("threshold"),
+        (~split).alias("is_leaf"), "prediction", "n", "impurity")
+
+
 def route(rows: DataFrame, level: DataFrame, bound: int) -> DataFrame:
     """Move rows of split nodes to their child; rows of leaves drop out."""
     splits = level.where(~F.col("is_leaf")).select("model_id", "node_id", "feature", "threshold")
@@ -220,6 +302,25 @@ def route(rows: DataFrame, level: DataFrame, bound: int) -> DataFrame:
         .drop("feature", "threshold")
 
 
+def _level_long(rows: DataFrame, vt: DataFrame, seed: int, depth: int, max_depth: int,
+                bound: int, k: int) -> DataFrame:
+    """One level for large label domains (one row per label)."""
+    by_class, summary = node_stats(rows)
+    level = summary.withColumn("depth", F.lit(depth))
+    if depth < max_depth:
+        open_nodes = summary.where(F.col("n_classes") > 1).select("model_id", "node_id")
+        live = rows.join(bounded_broadcast(open_nodes, bound), ["model_id", "node_id"])
+        best = best_splits(split_scores(live, by_class, vt, seed, k)) \
+            .select("model_id", "node_id", "feature", "threshold")
+        level = level.join(best, ["model_id", "node_id"], "left")
+    else:
+        level = level.withColumn("feature", F.lit(None).cast("int")) \
+            .withColumn("threshold", F.lit(None).cast("double"))
+    return level.withColumn("is_leaf", F.col("feature").isNull()).select(
+        "model_id", "node_id", "depth", F.col("feature").cast("int").alias("feature"),
+        "threshold", "is_leaf", "prediction", "n", "impurity")
+
+
 def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_CANDIDATES,
         persist: bool = True) -> DataFrame:
     """Grow one tree per ``model_id`` of ``bagged``
@@ -235,26 +336,14 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     labels = sorted(r[0] for r in base.select("label").distinct().limit(WIDE_MAX_LABELS + 1).collect())
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
+    wide = len(labels) <= WIDE_MAX_LABELS
     for depth in range(max_depth + 1):
         bound = max(1, n_models) * (2 ** depth)
-        by_class, summary = node_stats(rows)
-        level = summary.withColumn("depth", F.lit(depth))
-        if depth < max_depth:
-            open_nodes = summary.where(F.col("n_classes") > 1).select("model_id", "node_id")
-            live = rows.join(bounded_broadcast(open_nodes, bound), ["model_id", "node_id"])
-            if len(labels) <= WIDE_MAX_LABELS:
-                scores = split_scores_wide(live, by_class, vt, seed, labels, max_candidates, vt_rows)
-            else:
-                scores = split_scores(live, by_class, vt, seed, max_candidates)
-            best = best_splits(scores).select("model_id", "node_id", "feature", "threshold")
-            level = level.join(best, ["model_id", "node_id"], "left")
+        if wide:
+            level = level_wide(rows, vt, seed, labels, depth, depth == max_depth,
+                               max_candidates, vt_rows)
         else:
-            level = level.withColumn("feature", F.lit(None).cast("int")) \
-                .withColumn("threshold", F.lit(None).cast("double"))
-        level = level.withColumn("is_leaf", F.col("feature").isNull()).select(
-            "model_id", "node_id", "depth",
-            F.col("feature").cast("int").alias("feature"), "threshold", "is_leaf",
-            "prediction", "n", "impurity")
+            level = _level_long(rows, vt, seed, depth, max_depth, bound, max_candidates)
         level = cut_lineage(level)
         levels.append(level)
         if depth == max_depth or level.where(~F.col("is_leaf")).limit(1).count() == 0:
