@@ -118,3 +118,16 @@ def document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("qid"),
         feats.alias("features"),
     )
+
+
+def as_points(df: DataFrame, features: str = "features") -> DataFrame:
+    """accept an ML vector column (dense or sparse) and densify it to
+    ``ARRAY<DOUBLE>`` with the JVM-side ``vector_to_array``; array columns
+    are cast to ``ARRAY<DOUBLE>``."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+
+    dtype = df.schema[features].dataType
+    if isinstance(dtype, VectorUDT):
+        return df.withColumn(features, vector_to_array(F.col(features), "float64"))
+    return df.withColumn(features, F.col(features).cast("array<double>"))

@@ -61,3 +61,14 @@ def test_profile_file_round_trip(spark, tmp_path):
     back = read_profile(spark, str(tmp_path / "meta"))
     cols = ["feature", "is_categorical", "is_ordinal", "num_distinct", "min", "max", "n_buckets"]
     assert sorted(map(tuple, prof.select(cols).collect())) == sorted(map(tuple, back.select(cols).collect()))
+
+
+def test_vectors_densified(spark):
+    from pyspark.ml.linalg import Vectors
+    from copse.sources.tables import as_points
+    df = spark.createDataFrame([(1, Vectors.sparse(3, [1], [2.5])), (2, Vectors.dense([1.0, 0.0, 3.0]))],
+                               ["row_id", "features"])
+    got = {r.row_id: r.features for r in as_points(df).collect()}
+    assert got == {1: [0.0, 2.5, 0.0], 2: [1.0, 0.0, 3.0]}
+    arr = spark.createDataFrame([(1, [1, 2])], "row_id bigint, features array<int>")
+    assert as_points(arr).collect()[0].features == [1.0, 2.0]
