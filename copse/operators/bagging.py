@@ -40,27 +40,36 @@ def poisson(points: DataFrame, n_models: int, fraction: float, seed: int) -> Dat
     return per.withColumn("w", w).where(F.col("w") > 0)
 
 
-def ordinals(points: DataFrame, n_buckets: int = 1024) -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000
+
+
+def ordinals(points: DataFrame, n_buckets: int = 1024,
+             rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
     """Dense ordinals 0..N-1 over ``row_id`` without a single-partition window.
 
-    Rows are hashed (md5 of the key) into ``n_buckets`` buckets, numbered
-    by ``row_number`` inside each bucket, and shifted by the running count
-    of earlier buckets. The bucket-count table has ``n_buckets`` rows, so
-    its broadcast is bounded by the parameter, not the data. Keys are
-    unique, so buckets are balanced whatever the key distribution.
+    Rows are hashed (md5 of the key) into buckets, numbered by
+    ``row_number`` inside each bucket, and shifted by the running count of
+    earlier buckets. The bucket count is ``n_buckets`` or more: it grows
+    with the data so that no bucket (one window partition, one task) holds
+    more than about ``rows_per_bucket`` rows. The bucket-count table has
+    one row per bucket (at most N / rows_per_bucket + n_buckets rows), so
+    its broadcast is bounded. Keys are unique, so buckets are balanced
+    whatever the key distribution. Returns (ordinals, N).
     """
-    b = points.select("row_id", md5_bucket(F.col("row_id"), n_buckets).alias("bucket"))
+    n_rows = points.count()
+    buckets = max(n_buckets, -(-n_rows // rows_per_bucket))
+    b = points.select("row_id", md5_bucket(F.col("row_id"), buckets).alias("bucket"))
     within = b.withColumn(
         "rn", F.row_number().over(Window.partitionBy("bucket").orderBy("row_id")) - 1)
     counts = b.groupBy("bucket").agg(F.count("*").alias("n"))
-    # Running total over at most n_buckets rows; the small table is
-    # coalesced to one partition on purpose.
+    # Running total over the bucket-count table (one row per bucket).
     offsets = counts.coalesce(1).withColumn(
         "offset",
         F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0))).select("bucket", "offset")
-    return within.join(bounded_broadcast(offsets, n_buckets), "bucket") \
+    out = within.join(bounded_broadcast(offsets, buckets), "bucket") \
         .select("row_id", (F.col("offset") + F.col("rn")).cast("bigint").alias("ordinal"))
+    return out, n_rows
 
 
 def keep_or_replace_slots(points: DataFrame, n_models: int, fraction: float, seed: int,
@@ -73,8 +82,7 @@ def keep_or_replace_slots(points: DataFrame, n_models: int, fraction: float, see
     Kept slots need no join; replaced slots are resolved by an equi-join
     on the drawn ordinal, shuffled on that ordinal (draws are uniform, so
     no hot key arises)."""
-    ords = ordinals(points, n_buckets)
-    n_rows = ords.count()
+    ords, n_rows = ordinals(points, n_buckets)
     per = _per_model(points.select("row_id"), n_models)
     u_keep = uniform(seed, F.col("model_id"), F.concat(F.lit("k"), F.col("row_id").cast("string")))
     u_pick = uniform(seed, F.col("model_id"), F.concat(F.lit("p"), F.col("row_id").cast("string")))

@@ -58,8 +58,8 @@ def test_bernoulli_fraction(spark):
 
 def test_ordinals_dense(spark):
     pts = order_points(spark, SF01)
-    o = B.ordinals(pts, 16)
-    n = pts.count()
+    o, n = B.ordinals(pts, 16)
+    assert n == pts.count()
     r = o.agg(F.min("ordinal"), F.max("ordinal"), F.countDistinct("ordinal")).first()
     assert tuple(r) == (0, n - 1, n)
 
@@ -77,3 +77,10 @@ def test_fixed_sample_size(spark):
     pts = order_points(spark, SF01)
     s = B.fixed_sample(pts, 100, 9)
     assert s.count() == 100 and s.select("row_id").distinct().count() == 100
+
+
+def test_ordinal_buckets_grow_with_rows(spark):
+    pts = order_points(spark, SF01)
+    o, n = B.ordinals(pts, 2, rows_per_bucket=1000)   # forces ceil(n / 1000) buckets
+    r = o.agg(F.min("ordinal"), F.max("ordinal"), F.countDistinct("ordinal")).first()
+    assert tuple(r) == (0, n - 1, n)
