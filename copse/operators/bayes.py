@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
-from copse.plans.broadcast import checked_broadcast
+from copse.plans.broadcast import bounded_broadcast, checked_broadcast
 from copse.plans.lineage import cut_lineage
 
 
@@ -59,6 +59,9 @@ def fit(bagged: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
         model["cardinality"] = cut_lineage(
             model["values"].select("model_id", "feature", "value").distinct()
             .groupBy("model_id", "feature").agg(F.count("*").cast("bigint").alias("k")))
+        # Row count of the written value table: the bound for broadcasting
+        # the per-value gain table at scoring time.
+        model["values_rows"] = model["values"].count()
     return model
 
 
@@ -78,31 +81,43 @@ def conditionals(model: dict[str, DataFrame]) -> DataFrame:
         (F.col("n") / F.col("n_class")).alias("p"))
 
 
-def _class_constants(model: dict[str, DataFrame], n_features: int, kind: str,
-                     alpha: float, smoothing: float) -> DataFrame:
-    pri = priors(model)
-    if kind == "reference":
-        return pri.select("model_id", "label", "n",
-                          (F.log("prior") + F.lit(n_features * smoothing)).alias("base"))
-    # sum_f ln(a / (n_c + a k_f)); features never seen in the bag have k = 0.
-    card = model["cardinality"]
-    per = pri.join(card, "model_id").groupBy("model_id", "label").agg(
-        F.sum(F.log(F.lit(alpha) / (F.col("n") + F.lit(alpha) * F.col("k")))).alias("s"),
-        F.count("*").alias("n_seen_features"),
-        F.first("n").alias("n_c"), F.first("prior").alias("prior"))
-    missing = (F.lit(n_features) - F.col("n_seen_features")) * F.log(
-        F.lit(alpha) / F.col("n_c"))
-    return per.select("model_id", "label", F.col("n_c").alias("n"),
-                      (F.log("prior") + F.col("s") + missing).alias("base"))
-
-
-def _slots(model: dict[str, DataFrame]) -> list[tuple[int, int]]:
+def _slots(model: dict) -> list[tuple[int, int]]:
     """(model_id, label) of every class of every model, in a fixed order.
     Bounded by models x classes (the model, not the data)."""
-    rows = model["classes"].select("model_id", "label").orderBy("model_id", "label").collect()
+    return [(m, c) for m, c, _ in _class_rows(model)]
+
+
+def _class_rows(model: dict) -> list[tuple[int, int, int]]:
+    rows = model["classes"].select("model_id", "label", "n").orderBy("model_id", "label").collect()
     if not rows:
         raise ValueError("model has no classes")
-    return [(int(r[0]), int(r[1])) for r in rows]
+    return [(int(r[0]), int(r[1]), int(r[2])) for r in rows]
+
+
+def class_constants(model: dict, n_features: int, kind: str, alpha: float,
+                    smoothing: float) -> dict[tuple[int, int], float]:
+    """The per-(model, class) part of the score, from the two small model
+    tables (models x classes and models x features rows):
+    laplace: ln P(c) + sum_f ln(a / (n_c + a k_f)); reference: ln P(c) + F s."""
+    classes = _class_rows(model)
+    totals: dict[int, int] = {}
+    for m, _, n in classes:
+        totals[m] = totals.get(m, 0) + n
+    card: dict[int, list[int]] = {}
+    if kind == "laplace":
+        for r in model["cardinality"].select("model_id", "k").collect():
+            card.setdefault(int(r[0]), []).append(int(r[1]))
+    out = {}
+    for m, c, n in classes:
+        base = math.log(n / totals[m])
+        if kind == "reference":
+            base += n_features * smoothing
+        else:
+            ks = card.get(m, [])
+            base += sum(math.log(alpha / (n + alpha * k)) for k in ks)
+            base += (n_features - len(ks)) * math.log(alpha / n)
+        out[(m, c)] = base
+    return out
 
 
 def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int,
@@ -114,18 +129,15 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
     all slots (zero where the class never saw the value); a row adds the
     arrays of its features' values to the per-slot constants. The lookup is
     a broadcast join on (feature, value) of the exploded row (the gain table
-    is bounded by features x values and checked); the per-row sum groups
-    the row's own feature entries, so no (row, class) rows are ever
-    created."""
+    is bounded by features x values and checked); the per-row sums fold the
+    row's own feature entries, so no (row, class) rows are ever created."""
     if kind not in ("laplace", "reference"):
         raise ValueError("kind must be 'laplace' or 'reference'")
     if kind == "laplace" and alpha <= 0:
         raise ValueError("alpha must be > 0")
-    slots = _slots(model)
+    base = class_constants(model, n_features, kind, alpha, smoothing)
+    slots = sorted(base)
     n_slots = len(slots)
-    base = {(int(r["model_id"]), int(r["label"])): float(r["base"]) for r in
-            _class_constants(model, n_features, kind, alpha, smoothing).collect()}
-    base_arr = F.array(*[F.lit(base[sl]) for sl in slots])
     keys = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(c).alias("label")) for m, c in slots])
     vals = model["values"].join(model["classes"].withColumnRenamed("n", "n_c"), ["model_id", "label"])
     if kind == "laplace":
@@ -142,9 +154,16 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
             lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("g"))
     exploded = points.select("row_id", F.posexplode("features").alias("feature", "value")) \
         .withColumn("feature", F.col("feature").cast("int"))
-    looked = exploded.join(checked_broadcast(per_value), ["feature", "value"], "left")
-    per_row = looked.groupBy("row_id").agg(F.collect_list("g").alias("gs"))
-    total = F.aggregate("gs", base_arr, lambda acc, g: F.zip_with(acc, g, lambda x, y: x + y))
+    gains = (bounded_broadcast(per_value, model["values_rows"]) if "values_rows" in model
+             else checked_broadcast(per_value))
+    looked = exploded.join(gains, ["feature", "value"], "left")
+    # One sum per slot: a row's feature entries sit in one task, so the
+    # partial aggregation folds them before the shuffle, which then carries
+    # one value per slot per row (never the per-feature arrays).
+    per_row = looked.groupBy("row_id").agg(
+        *[F.sum(F.col("g").getItem(i)).alias(f"s{i}") for i in range(n_slots)])
+    total = F.array(*[F.lit(base[sl]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0))
+                      for i, sl in enumerate(slots)])
     return per_row.select("row_id", total.alias("scores")), slots
 
 
