@@ -277,8 +277,8 @@ def _nodes_out(nodes):
 
 
 def q_tree_depth2_nodes(spark, sf):
-    _, bag = _tree_inputs(spark, sf)
-    return _nodes_out(T.fit(bag, ORACLE_DEPTH, SEED))
+    enc = _encoded_orders(spark, sf)
+    return _nodes_out(T.fit_bags(enc, N_MODELS, FRACTION, SEED, ORACLE_DEPTH))
 
 
 def _sql_nodes_select():
@@ -295,8 +295,8 @@ WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
 
 
 def _tree_predictions(spark, sf, depth=ORACLE_DEPTH):
-    enc, bag = _tree_inputs(spark, sf)
-    nodes = T.fit(bag, depth, SEED)
+    enc = _encoded_orders(spark, sf)
+    nodes = T.fit_bags(enc, N_MODELS, FRACTION, SEED, depth)
     return T.predict(nodes, enc, depth, list(range(N_MODELS))), enc
 
 
@@ -331,8 +331,8 @@ SELECT row_id, pred, votes FROM mv"""
 
 
 def _tree_vote(spark, sf, depth):
-    enc, bag = _tree_inputs(spark, sf)
-    nodes = T.fit(bag, depth, SEED)
+    enc = _encoded_orders(spark, sf)
+    nodes = T.fit_bags(enc, N_MODELS, FRACTION, SEED, depth)
     return T.predict_vote(nodes, enc), enc
 
 
@@ -590,8 +590,8 @@ DEFAULT_DEPTH = 5
 
 def q_tree_depth5_nodes(spark, sf):
     """T7/T8 at the reference's default depth 5 over 4 bags."""
-    _, bag = _tree_inputs(spark, sf)
-    return _nodes_out(T.fit(bag, DEFAULT_DEPTH, SEED))
+    enc = _encoded_orders(spark, sf)
+    return _nodes_out(T.fit_bags(enc, N_MODELS, FRACTION, SEED, DEFAULT_DEPTH))
 
 
 def sql_tree_depth5_nodes():
