@@ -114,3 +114,29 @@ def test_stream_scoring(spark, tmp_path):
     q.stop()
     got = spark.sql("SELECT * FROM scored_stream").count()
     assert got == enc.count()
+
+
+def test_many_labels_use_long_form(spark):
+    # 70 classes (> WIDE_MAX_LABELS): one row per class with x = class id.
+    rows = [(c, [float(c)]) for c in range(70)] + [(c, [float(c)]) for c in range(70)]
+    bag = _bag(spark, rows)
+    nodes = {r.node_id: r for r in T.fit(bag, 1, 3).collect()}
+    root = nodes[1]
+    assert not root.is_leaf and root.feature == 0
+    left, right = nodes[2], nodes[3]
+    assert left.n + right.n == root.n == 140
+    # brute force over the thinned candidate set of the root
+    base = bag.select("model_id", "w", "label", "features").withColumn("node_id", F.lit(1).cast("bigint"))
+    vt = E.value_table(base)
+    _, summary = T.node_stats(base)
+    cands = [r.threshold for r in T.candidates(vt, summary, 3).collect()]
+
+    def score(t):
+        lc = sum(1 for _, f in rows if f[0] <= t)
+        rc = len(rows) - lc
+        gl = 1 - sum((2 / lc) ** 2 for c in range(70) if c <= t)
+        gr = 1 - sum((2 / rc) ** 2 for c in range(70) if c > t)
+        return (gl * lc + gr * rc) / len(rows)
+    valid = [t for t in cands if 0 <= t < 69]
+    best = min(valid, key=lambda t: (round(score(t), 9), t))
+    assert root.threshold == best
