@@ -331,8 +331,8 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     vt = cut_lineage(value_table(base))
-    vt_rows = vt.count()
-    n_models = vt.select("model_id").distinct().count()
+    sizes = vt.agg(F.count("*").alias("rows"), F.count_distinct("model_id").alias("models")).first()
+    vt_rows, n_models = int(sizes["rows"]), int(sizes["models"])
     labels = sorted(r[0] for r in base.select("label").distinct().limit(WIDE_MAX_LABELS + 1).collect())
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
