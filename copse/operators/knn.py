@@ -136,7 +136,7 @@ def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: li
     top = pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k)
     before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     top = top.withColumn("before", before).where(F.col("before") < k) \
-        .withColumn("slots", F.least(F.col("w"), F.lit(k) - F.col("before")))
+        .withColumn("slots", F.least(F.col("w"), F.lit(k) - F.col("before")).cast("int"))
     return top.withColumn("covered", F.sum("slots").over(part)) \
         .withColumn("worst", F.max("dist").over(part))
 
