@@ -617,6 +617,73 @@ SELECT count(*)::BIGINT AS n_total, count_if(mv.pred = e.label)::BIGINT AS n_cor
 FROM mv JOIN enc e ON e.row_id = mv.row_id"""
 
 
+# ------------------------------------------------------ other ensemble mixes
+def q_ensemble_mixed_bernoulli(spark, sf):
+    """V1 with the sampling of the reference's mixed ensemble: bags drawn
+    without replacement (B1); trees (depth 1) on bags 0..1, naive Bayes on
+    bags 2..3, per-row vote."""
+    enc = _encoded_orders(spark, sf)
+    bag = bagging.bernoulli(enc, N_MODELS, FRACTION, SEED)
+    half = N_MODELS // 2
+    nodes = T.fit(bag.where(F.col("model_id") < half), 1, SEED)
+    tp = T.predict(nodes, enc, 1, list(range(half)))
+    nbp = NB.predict(NB.fit(bag.where(F.col("model_id") >= half)), enc,
+                     len(tables.ORDER_FEATURES), alpha=ALPHA)
+    return V.majority(V.union_predictions(tp, nbp))
+
+
+def sql_ensemble_mixed_bernoulli():
+    half = N_MODELS // 2
+    return f"""
+WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
+{O.bernoulli_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
+bag AS (SELECT * FROM allbag WHERE model_id < {half}),
+{O.tree_ctes(1, SEED)},
+{O.tree_predict_ctes(1, 'enc', half)},
+nbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
+{O.nb_model_ctes('nbag')},
+{O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()},
+allp AS (SELECT model_id, row_id, pred FROM tp UNION ALL SELECT model_id, row_id, pred FROM npred),
+{O.majority_cte('allp')}
+SELECT row_id, pred, votes FROM mv"""
+
+
+def q_ensemble_tree_knn(spark, sf):
+    """V6 as intended (D16): trees on bags 0..1 and k-NN on bags 2..3 of
+    one Poisson bagging pass over the embeddings; per-row vote. Queries
+    are every row (k-NN leaves the query itself out)."""
+    e = tables.embedding_points(spark, sf)
+    enc = encode.encode(e, profile.profile(e))
+    bag = bagging.poisson(enc, N_MODELS, FRACTION, SEED)
+    half = N_MODELS // 2
+    nodes = T.fit(bag.where(F.col("model_id") < half), ORACLE_DEPTH, SEED)
+    tp = T.predict(nodes, enc, ORACLE_DEPTH, list(range(half)))
+    q = enc.select("row_id", "features").withColumn(
+        "model_id", F.explode(F.sequence(F.lit(half), F.lit(N_MODELS - 1))))
+    kp = KNN.predict(bag.where(F.col("model_id") >= half), q, K, "l2",
+                     within=["model_id"], exclude_self=True)
+    return V.majority(V.union_predictions(tp, kp))
+
+
+def sql_ensemble_tree_knn():
+    half = N_MODELS // 2
+    return f"""
+WITH {O.encoded_points_ctes(O.EMBEDDING_POINTS)},
+{O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
+bag AS (SELECT * FROM allbag WHERE model_id < {half}),
+{O.tree_ctes(ORACLE_DEPTH, SEED)},
+{O.tree_predict_ctes(ORACLE_DEPTH, 'enc', half)},
+kbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
+qm AS (SELECT m.model_id, p.row_id, p.features FROM enc p,
+       (SELECT range::INTEGER AS model_id FROM range({half}, {N_MODELS})) m),
+{O.knn_ctes('kbag', 'qm', K, 'l2', 'model_id', True)},
+allp AS (SELECT model_id, row_id, pred FROM tp
+         UNION ALL SELECT grp AS model_id, row_id, pred FROM kp),
+{O.majority_cte('allp')}
+SELECT row_id, pred, votes FROM mv"""
+
+
 QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "parse_ranked_lines": (q_parse_ranked_lines, sql_parse_ranked_lines),
     "feature_profile": (q_feature_profile, sql_feature_profile),
@@ -650,6 +717,8 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "knn_selftest": (q_knn_selftest, sql_knn_selftest),
     "tree_depth5_nodes": (q_tree_depth5_nodes, sql_tree_depth5_nodes),
     "tree_depth5_ensemble": (q_tree_depth5_ensemble, sql_tree_depth5_ensemble),
+    "ensemble_mixed_bernoulli": (q_ensemble_mixed_bernoulli, sql_ensemble_mixed_bernoulli),
+    "ensemble_tree_knn": (q_ensemble_tree_knn, sql_ensemble_tree_knn),
 }
 
 
