@@ -321,6 +321,32 @@ def _level_long(rows: DataFrame, vt: DataFrame, seed: int, depth: int, max_depth
         "threshold", "is_leaf", "prediction", "n", "impurity")
 
 
+def _route_expression(node_rows, depth: int):
+    """Node id at ``depth`` for every (model, row), as one CASE WHEN over the
+    splits grown so far; rows that stopped at a shallower leaf get -1.
+    Replaces ``depth`` broadcast joins (one broadcast job each) by a
+    projection of the cached bag."""
+    trees: dict[int, dict[int, object]] = {}
+    for r in node_rows:
+        trees.setdefault(int(r["model_id"]), {})[int(r["node_id"])] = r
+
+    def build(tree, node_id: int, d: int):
+        if d == depth:
+            return F.lit(node_id).cast("bigint")
+        r = tree[node_id]
+        if r["is_leaf"]:
+            return F.lit(-1).cast("bigint")
+        x = F.element_at(F.col("features"), F.lit(int(r["feature"]) + 1))
+        return F.when(x <= F.lit(float(r["threshold"])), build(tree, 2 * node_id, d + 1)) \
+            .otherwise(build(tree, 2 * node_id + 1, d + 1))
+
+    expr = None
+    for m, tree in sorted(trees.items()):
+        arm = build(tree, 1, 0)
+        expr = (F.when if expr is None else expr.when)(F.col("model_id") == F.lit(m), arm)
+    return expr.otherwise(F.lit(-1).cast("bigint"))
+
+
 def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_CANDIDATES,
         persist: bool = True) -> DataFrame:
     """Grow one tree per ``model_id`` of ``bagged``
@@ -336,6 +362,7 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     labels = sorted(r[0] for r in base.select("label").distinct().limit(WIDE_MAX_LABELS + 1).collect())
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
+    grown: list = []
     wide = len(labels) <= WIDE_MAX_LABELS
     for depth in range(max_depth + 1):
         bound = max(1, n_models) * (2 ** depth)
@@ -346,9 +373,20 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
             level = _level_long(rows, vt, seed, depth, max_depth, bound, max_candidates)
         level = cut_lineage(level)
         levels.append(level)
-        if depth == max_depth or level.where(~F.col("is_leaf")).limit(1).count() == 0:
+        if depth == max_depth:
+            break
+        # The level's node rows are small (models x 2^depth); read once, they
+        # decide whether any split remains and feed the routing expression.
+        new_rows = level.select("model_id", "node_id", "is_leaf", "feature", "threshold") \
+            .limit(COMPILE_MAX_NODES + 1).collect()
+        if not any(not r["is_leaf"] for r in new_rows):
             break
-        rows = route(rows, level, bound)
+        grown.extend(new_rows)
+        if len(grown) <= COMPILE_MAX_NODES:
+            rows = base.withColumn("node_id", _route_expression(grown, depth + 1)) \
+                .where(F.col("node_id") > 0)
+        else:
+            rows = route(rows, level, bound)
     if persist:
         base.unpersist()
     out = levels[0]
