@@ -1,8 +1,9 @@
 """Registered queries: each binds operators to the driver's tables and has a
 DuckDB twin in :func:`oracle_sql` with the same column names.
 
-Every query reads whole tables; the only row limit is ``bag_fixed``,
-whose limit is the sampling operator itself.
+Every query reads whole tables; the only row limits belong to the
+fixed-size sampler (``bag_fixed`` and the query sample of
+``knn_selftest_sampled``), where the limit is the sampling operator.
 """
 
 from __future__ import annotations
@@ -684,6 +685,27 @@ allp AS (SELECT model_id, row_id, pred FROM tp
 SELECT row_id, pred, votes FROM mv"""
 
 
+def q_knn_selftest_sampled(spark, sf):
+    """K8 as in the reference's self-test: FIXED_N query rows drawn by the
+    fixed-size sampler (B4; the limit is that operator) and searched
+    against every row of the table, the query itself excluded."""
+    e = _emb(spark, sf)
+    q = bagging.fixed_sample(e, FIXED_N, SEED)
+    preds = KNN.predict(e, q.select("row_id", "features"), K, "l2", exclude_self=True)
+    return E.accuracy(E.with_truth(preds, e))
+
+
+def sql_knn_selftest_sampled():
+    u = O.uniform_sql(SEED, "0", "row_id")
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+qs AS (SELECT * FROM pts ORDER BY {u}, row_id LIMIT {FIXED_N}),
+{O.knn_ctes('pts', 'qs', K, 'l2', None, True)}
+SELECT count(*)::BIGINT AS n_total, count_if(kp.pred = q.label)::BIGINT AS n_correct,
+       count_if(kp.pred = q.label) * 100.0 / count(*) AS accuracy_pct
+FROM qs q LEFT JOIN kp ON kp.row_id = q.row_id"""
+
+
 QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "parse_ranked_lines": (q_parse_ranked_lines, sql_parse_ranked_lines),
     "feature_profile": (q_feature_profile, sql_feature_profile),
@@ -719,6 +741,7 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "tree_depth5_ensemble": (q_tree_depth5_ensemble, sql_tree_depth5_ensemble),
     "ensemble_mixed_bernoulli": (q_ensemble_mixed_bernoulli, sql_ensemble_mixed_bernoulli),
     "ensemble_tree_knn": (q_ensemble_tree_knn, sql_ensemble_tree_knn),
+    "knn_selftest_sampled": (q_knn_selftest_sampled, sql_knn_selftest_sampled),
 }
 
 
