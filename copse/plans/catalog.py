@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copse.functions.draws import md5_bucket, uniform
 from copse.operators import bagging, encode, profile
 from copse.plans import oracle as O
 from copse.sources import tables
