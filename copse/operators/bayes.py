@@ -211,3 +211,56 @@ def predict(model: dict[str, DataFrame], points: DataFrame, n_features: int,
 def log_laplace_reference(n_cfv: int, n_c: int, k: int, alpha: float) -> float:
     """Plain-Python single-term value, used by tests."""
     return math.log((n_cfv + alpha) / (n_c + alpha * k))
+
+
+def compile_scores(model: dict, n_features: int, kind: str = "laplace", alpha: float = 1.0,
+                   smoothing: float = 1.0, features: str = "features",
+                   max_entries: int = 100_000):
+    """Scores as a row-local expression: ``(scores array column, slots)``.
+
+    Each feature position gets a literal map from value to its gain array
+    over all (model, class) slots; a row's scores are the per-slot
+    constants plus the gains of its values. No join and no aggregation, so
+    it runs on a stream. The model's value table (features x values x
+    classes rows) must be under ``max_entries``; larger models use
+    :func:`score_arrays`."""
+    base = class_constants(model, n_features, kind, alpha, smoothing)
+    slots = sorted(base)
+    index = {sl: i for i, sl in enumerate(slots)}
+    n_c = {(m, c): n for m, c, n in _class_rows(model)}
+    rows = model["values"].select("model_id", "label", "feature", "value", "n") \
+        .limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
+        raise ValueError("naive Bayes model too large to compile; use score_arrays()")
+    gains: dict[int, dict[float, list[float]]] = {}
+    for r in rows:
+        sl = (int(r["model_id"]), int(r["label"]))
+        n = float(r["n"])
+        g = math.log1p(n / alpha) if kind == "laplace" else n / n_c[sl] - smoothing
+        gains.setdefault(int(r["feature"]), {}).setdefault(float(r["value"]), [0.0] * len(slots))[index[sl]] = g
+    total = F.array(*[F.lit(base[sl]) for sl in slots])
+    zeros = F.array(*[F.lit(0.0) for _ in slots])
+    for f in range(n_features):
+        table = gains.get(f)
+        if not table:
+            continue
+        lookup = F.create_map(*[x for v, arr in sorted(table.items())
+                                for x in (F.lit(v), F.array(*[F.lit(a) for a in arr]))])
+        hit = F.coalesce(F.element_at(lookup, F.element_at(F.col(features), F.lit(f + 1))), zeros)
+        total = F.zip_with(total, hit, lambda a, b: a + b)
+    return total, slots
+
+
+def decide_expression(scores, slots: list[tuple[int, int]]):
+    """Per-model labels inside one row, ordered by model id: highest score
+    rounded to 9 places, smallest label on ties."""
+    per_model: dict[int, list[int]] = {}
+    for i, (m, _) in enumerate(slots):
+        per_model.setdefault(m, []).append(i)
+    picks = []
+    for m, idx in sorted(per_model.items()):
+        cands = F.array(*[F.struct(F.round(scores.getItem(i), 9).alias("s"),
+                                   F.lit(-slots[i][1]).alias("neg"),
+                                   F.lit(slots[i][1]).alias("label")) for i in idx])
+        picks.append(F.array_max(cands).getField("label").cast("bigint"))
+    return F.array(*picks), sorted(per_model)

@@ -101,3 +101,27 @@ def test_weighted_slots(spark):
     slots = {r.t_id: r.slots for r in nb}
     assert slots == {1: 3, 2: 1}
     assert K.vote(nb and K.search(train, query, 4, "l1", within=["model_id"]), ["model_id"]).collect()[0].pred == 7
+
+
+def test_bayes_stream_scoring_matches_batch(spark, tmp_path):
+    from copse.operators import bagging as B
+    from copse.operators import encode as E
+    from copse.operators import profile as P
+    from copse.sources.tables import order_points
+    from copse.streaming.score import score_bayes
+    from tests.conftest import SF001 as SF
+    pts = order_points(spark, SF)
+    enc = E.encode(pts, P.profile(pts))
+    model = NB.fit(B.poisson(enc, 3, 0.7, 5))
+    batch = {(r.model_id, r.row_id): r.pred for r in NB.predict(model, enc, 6).collect()}
+    src = tmp_path / "in"
+    enc.select("row_id", "features").write.parquet(str(src))
+    stream = spark.readStream.schema("row_id bigint, features array<double>").parquet(str(src))
+    q = score_bayes(stream, model, 6).select("row_id", "preds").writeStream.format("memory") \
+        .queryName("nb_stream").option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.sql("SELECT * FROM nb_stream").collect()
+    assert len(rows) == enc.count()
+    for r in rows:
+        assert list(r.preds) == [batch[(m, r.row_id)] for m in range(3)]
