@@ -70,7 +70,8 @@ def encode_sql(params, features: str = "features") -> str:
     return "[" + ", ".join(parts) + "]"
 
 
-def value_table(bagged: DataFrame, features: str = "features") -> DataFrame:
+def value_table(bagged: DataFrame, features: str = "features",
+                with_labels: bool = False) -> DataFrame:
     """Per (model_id, feature), the sorted distinct encoded values with
     their 0-based position and the distinct count.
 
@@ -78,8 +79,15 @@ def value_table(bagged: DataFrame, features: str = "features") -> DataFrame:
     nd/1000 + 1, categoricals at 1000), so the windows here run over
     small groups regardless of row count.
     """
-    vals = bagged.select("model_id", F.posexplode(features).alias("feature", "value")) \
-        .distinct()
+    if with_labels:
+        # The label domain rides along as feature -1, so one pass over the
+        # bag yields both the value table and the labels.
+        arr = F.concat(F.array(F.col("label").cast("double")), F.col(features))
+        vals = bagged.select("model_id", F.posexplode(arr).alias("feature", "value")) \
+            .withColumn("feature", F.col("feature") - 1).distinct()
+    else:
+        vals = bagged.select("model_id", F.posexplode(features).alias("feature", "value")) \
+            .distinct()
     w = Window.partitionBy("model_id", "feature")
     return vals.select(
         "model_id", F.col("feature").cast("int").alias("feature"), "value",

@@ -356,10 +356,12 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     base = bagged.select("model_id", "w", "label", "features")
     if persist:
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    vt = cut_lineage(value_table(base))
+    vt_all = cut_lineage(value_table(base, with_labels=True))
+    vt = vt_all.where(F.col("feature") >= 0)
     sizes = vt.agg(F.count("*").alias("rows"), F.count_distinct("model_id").alias("models")).first()
     vt_rows, n_models = int(sizes["rows"]), int(sizes["models"])
-    labels = sorted(r[0] for r in base.select("label").distinct().limit(WIDE_MAX_LABELS + 1).collect())
+    labels = sorted({int(r[0]) for r in vt_all.where(F.col("feature") == -1).select("value")
+                    .distinct().limit(WIDE_MAX_LABELS + 1).collect()})
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
     grown: list = []
