@@ -1,13 +1,13 @@
 import pytest
 
-import __spark_entry__ as entry
+from copse.plans import catalog
 from tests.conftest import SF001
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_runs_on_smallest_tables(spark, name):
-    df = entry.queries()[name](spark, SF001)
+    df = catalog.queries()[name](spark, SF001)
     assert df.columns and len(set(df.columns)) == len(df.columns)
     assert df.count() >= 1
