@@ -25,7 +25,6 @@ documents give repeated rows; empty tables give an empty or a clean result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ WINDOW = 13
 GRAM = 5
 #: Words of one block of the benchmark (8 bytes each, twice).
 BLOCK_WORDS = 1_000_000
-RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+RESULT = "n_words long, n_hit long, contaminated boolean, items array<string>, spans array<long>"
 
 
 class Index:
@@ -151,8 +150,9 @@ def benchmark_blocks(items: DataFrame, item_id: str, text: str) -> list[tuple[li
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated, items (ids in string order)."""
+    """Per document: doc_id, n_words, n_hit, contaminated, items (distinct
+    ids in string order), spans (start and exclusive end of each run of hit
+    words, flat)."""
     spark = docs.sparkSession
     parts = benchmark_blocks(items, item_id, item_text)
     thin = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
@@ -161,12 +161,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         thin = steps.save(thin.withColumn("row", F.monotonically_increasing_id()), "rows")
         found = None
         for part in parts:
-            one = _scan(thin, part, "row", with_spans=True)
+            one = _scan(thin, part, "row")
             found = one if found is None else found.unionByName(one)
         merged = found.groupBy("row").applyInPandas(
             _merge, "row long, " + RESULT)
         return thin.drop("text").join(merged, "row").drop("row")
-    return _scan(thin, parts[0], "doc_id", with_spans=False)
+    return _scan(thin, parts[0], "doc_id")
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
@@ -179,25 +179,22 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
         *[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
 
 
-def _digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
-
-
 def _merge(pdf):
     import pandas as pd
     n = int(pdf["n_words"].iloc[0])
     spans = np.concatenate([np.asarray(s, np.int64) for s in pdf["spans"]])
-    hit = int(X.cover(n, spans[::2], spans[1::2]).sum())
-    ids = sorted({i for s in pdf["items"] for i in s})
+    s, e = X.runs(X.cover(n, spans[::2], spans[1::2]))
+    hit = int((e - s).sum())
     return pd.DataFrame([{"row": pdf["row"].iloc[0], "n_words": n, "n_hit": hit,
-                          "n_items": len(ids), "items_sha256": _digest(ids),
-                          "contaminated": hit > 0 and 20 * hit >= n, "items": ids}])
+                          "contaminated": hit > 0 and 20 * hit >= n,
+                          "items": sorted({i for x in pdf["items"] for i in x}),
+                          "spans": np.stack((s, e), axis=1).ravel()}])
 
 
-def _scan(thin: DataFrame, part: tuple[list, list[bytes]], key: str, with_spans: bool) -> DataFrame:
+def _scan(thin: DataFrame, part: tuple[list, list[bytes]], key: str) -> DataFrame:
     shared = thin.sparkSession.sparkContext.broadcast(part)
-    schema = T.StructType([thin.schema[key]]
-                          + T.StructType.fromDDL(RESULT + ", spans array<long>" * with_spans).fields)
+    schema = T.StructType([thin.schema[key], *T.StructType.fromDDL(RESULT).fields])
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.string()), pa.list_(pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
@@ -205,9 +202,7 @@ def _scan(thin: DataFrame, part: tuple[list, list[bytes]], key: str, with_spans:
             texts = X.batch_bytes(b.column(b.schema.get_field_index("text")))
             out = [row for lo, hi in X.blocks(texts) for row in _block(index, texts[lo:hi])]
             cols = [b.column(b.schema.get_field_index(key))] + [
-                pa.array([r[i] for r in out], t) for i, t in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.string()))
-                    + (pa.list_(pa.int64()),) * with_spans)]
+                pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
     return thin.mapInArrow(run, schema)
@@ -225,10 +220,9 @@ def _block(index: Index, texts: list[bytes]) -> Iterator[tuple]:
         a, z = cut[d], cut[d + 1]
         n, base = int(w.count[d]), w.first[d]
         if a == z:
-            yield n, 0, 0, _digest([]), False, [], []
+            yield n, 0, False, [], []
             continue
         s, e = X.runs(X.cover(n, pos[a:z] - base, end[a:z] - base))
         hit = int((e - s).sum())
         ids = sorted({index.ids[i] for i in np.unique(item[a:z]).tolist()})
-        yield (n, hit, len(ids), _digest(ids), 20 * hit >= n, ids,
-               np.stack((s, e), axis=1).ravel().tolist())
+        yield n, hit, 20 * hit >= n, ids, np.stack((s, e), axis=1).ravel().tolist()

@@ -15,10 +15,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import suffix
+    return suffix.repeated_substrings(table(spark, sf_dir, "documents"), 200).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import neardup
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 4, 80) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2),
+                                          lambda i: array_to_string(w[i:i + 3], ' '))
+                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.r < b.r GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+u AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT r, r AS q FROM d UNION SELECT reach.r, u.y FROM reach JOIN u ON u.x = reach.q),
+c AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.q GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN c USING (r) LEFT JOIN n USING (r)"""
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import decontam
-    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
-        .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 OP6_SQL = r"""
@@ -79,12 +111,15 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_near_duplicates": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
 }

@@ -165,7 +165,6 @@ def runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def cover(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Boolean array of length n, true inside any of the ranges."""
-    depth = np.zeros(n + 1, np.int32)
-    np.add.at(depth, start, 1)
-    np.add.at(depth, end, -1)
+    depth = np.bincount(start, minlength=n + 1)
+    depth -= np.bincount(end, minlength=n + 1)
     return np.cumsum(depth[:n]) > 0
