@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import quality
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("score")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import suffix
     return suffix.repeated_substrings(table(spark, sf_dir, "documents"), 200).select(
@@ -74,6 +79,15 @@ SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGIN
 FROM d LEFT JOIN n USING (r) LEFT JOIN it USING (r)"""
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import pii
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(*pii.BASE), 256).alias("base_sha256"),
+        pii.listed(*[k.name for k in pii.KINDS]).alias("spans"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import mixing
     return mixing.copies(table(spark, sf_dir, "documents"), SEED).select(
@@ -111,9 +125,11 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
+    "op7_personal_data": op7_personal_data,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
 }
