@@ -20,6 +20,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("score")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import toxicity
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import suffix
     return suffix.repeated_substrings(table(spark, sf_dir, "documents"), 200).select(
@@ -126,6 +132,7 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
