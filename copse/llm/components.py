@@ -30,19 +30,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("u", F.col("m").alias("w")))
 
 
-def components(edges: DataFrame, steps: Steps) -> DataFrame:
-    """(v, comp) for every vertex of ``edges`` (u, w: long, not null), comp
-    being the smallest vertex that v reaches, itself included."""
-    now = steps.save(edges.select("u", "w").where("u != w").distinct(), "edges")
-    seen = None
-    while True:
-        n, check = now.agg(F.count("*"), F.sum(F.hash("u", "w").cast("long"))).first()
-        if (n, check) == seen or n == 0:
+def contract(edges: DataFrame, steps: Steps, rounds: int | None = None) -> DataFrame:
+    """Edges (u, w: long, not null) rewired for ``rounds`` rounds, or until
+    every vertex but the smallest of its component points at that one."""
+    now = steps.save(edges.select("u", "w").where("u != w"), "edges")
+    seen, done = None, 0
+    while rounds is None or done < rounds:
+        now = steps.save(_small_star(_large_star(now)).distinct(), "star")
+        state = now.agg(F.count("*"), F.sum(F.hash("u", "w").cast("long"))).first()
+        if state == seen or state[0] == 0:
             break
-        seen = (n, check)
-        large = _large_star(now).distinct()
-        new = steps.save(_small_star(large).distinct(), "star")
-        steps.drop(now)
-        now = new
-    return now.select(F.col("u").alias("v"), F.col("w").alias("comp")) \
-        .unionByName(now.select(F.col("w").alias("v"), F.col("w").alias("comp")).distinct())
+        seen, done = state, done + 1
+    return now
+
+
+def labels(contracted: DataFrame) -> DataFrame:
+    """(v, comp) for each vertex of contracted edges that is not the
+    smallest of its component (of those contracted so far)."""
+    return contracted.groupBy(F.col("u").alias("v")).agg(F.min("w").alias("comp"))
+
+
+def components(edges: DataFrame, steps: Steps) -> DataFrame:
+    """(v, comp) for every vertex of ``edges``, comp being the smallest
+    vertex that v reaches, itself included."""
+    found = labels(contract(edges, steps))
+    return found.unionByName(found.select(F.col("comp").alias("v"), "comp").distinct())

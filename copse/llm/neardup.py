@@ -12,14 +12,19 @@ must have three or more differing values of six).
 Pairs within a key are not listed. Documents with equal sets are one class
 from the start. Each class is compared with the smallest class of its
 keys; what these links connect needs no more comparisons. Only for keys
-whose classes are then still in several components are the pairs across
-components compared, leaving out those inside the largest one. Candidates
-pass a signature distance test and are confirmed on full sets computed
-from whole texts.
+whose classes are then still in several components are signatures compared
+across components, inside the tasks, in blocks: the classes outside a
+key's largest component against all of it. Pairs that meet under several
+keys are taken up under the first.
 
-Hot groups: equal sets and keys are aggregated before the shuffle; a
-popular class's comparisons are salted into groups of ``GROUP`` partners,
-each of which streams through a task in sorted order.
+A second sketch (the smallest shingle hash of each of 256 bins, 8 bits)
+tests a pair before its texts are fetched; a pair at similarity 0.8 fails
+the test with probability below 1e-6. Candidates are confirmed on full sets
+computed from whole texts.
+
+Hot groups: equal sets and keys are aggregated before the shuffle; the
+comparisons under a popular key, and those of a popular class, are dealt
+into groups of bounded size that stream through a task in sorted order.
 
 Defined cases: a null, empty or blank text has an empty set, is linked
 with nothing and is its own component; rows with equal ids are separate
@@ -42,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from copse.llm import text as X
-from copse.llm.components import components
+from copse.llm.components import contract, labels
 from copse.llm.scratch import Steps, shuffle_parts
 
 CHUNKS, WIDTH, ERRORS = 5, 6, 2
@@ -50,6 +55,11 @@ VALUES = CHUNKS * WIDTH
 #: Signature distances up to here are guaranteed to be found.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 GROUP = 64
+#: Classes of one block of comparisons under a key: outside, and in all.
+BLOCK_LEFT, BLOCK_RIGHT = 1024, 4096
+BINS = 256
+#: Standard deviations that a sketch may fall short of the similarity.
+SLACK = 5.0
 
 _rng = np.random.default_rng(20240301)
 _FACTORS = _rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -73,30 +83,51 @@ def signature(s: np.ndarray) -> bytes:
     return (X.mix(low) >> np.uint64(48)).astype("<u2").tobytes()
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """For each of 256 ranges of hash values, 8 bits of the smallest shingle
+    hash in it (1 to 255; 0 for an empty range)."""
+    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(56)
+    first = np.searchsorted(s, edges)
+    has = np.diff(np.append(first, len(s))) > 0
+    out = np.zeros(BINS, np.uint8)
+    out[has] = X.mix(s[first[has]]) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def plausible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of sketches can belong to sets similar enough."""
+    used = ((a | b) > 0).sum(axis=-1)
+    same = ((a == b) & (a > 0)).sum(axis=-1)
+    p = percent / 100
+    return same >= p * used - SLACK * np.sqrt(used * p * (1 - p)) - 1
+
+
 def describe(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, h (hash of the text), n, digest of the set, signature."""
+    """doc_id, h (hash of the text), n, digest of the set, signature, sketch."""
     thin = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("h"), docs[text].alias("text"))
     schema = T.StructType([thin.schema["doc_id"], *T.StructType.fromDDL(
-        "h long, n long, digest binary, sig binary").fields])
+        "h long, n long, digest binary, sig binary, sketch binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = X.batch_bytes(b.column(2))
-            n, digest, sig = [], [], []
+            n, digest, sig, sk = [], [], [], []
             for lo, hi in X.blocks(texts):
                 for s in sets(texts[lo:hi], k):
                     n.append(len(s))
                     digest.append(hashlib.md5(s.tobytes()).digest())
                     sig.append(signature(s) if len(s) else None)
+                    sk.append(sketch(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(sig, pa.binary())], schema.names)
+                 pa.array(sig, pa.binary()), pa.array(sk, pa.binary())], schema.names)
 
     return thin.mapInArrow(run, schema).withColumn("r", F.monotonically_increasing_id())
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """(key, v): every chunk of a signature under every choice of values."""
+    """(key, no, v): every chunk of a signature under every choice of values;
+    ``no`` counts the combinations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -110,33 +141,38 @@ def index_keys(classes: DataFrame) -> DataFrame:
                     keys[:, :, j] = X.mix(X.mix(packed) + np.arange(CHUNKS, dtype=np.uint64) * np.uint64(64)
                                           + np.uint64(j + 1))
                 flat = keys.reshape(len(sig), -1).view(np.int64)
+                no = np.tile(np.arange(flat.shape[1], dtype=np.int32), len(sig))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), flat.shape[1]))],
-                    ["key", "v"])
+                    [pa.array(flat.ravel()), pa.array(no), pa.array(np.repeat(part.column(0).to_numpy(), flat.shape[1]))],
+                    ["key", "no", "v"])
 
-    return classes.select("v", "sig").mapInArrow(run, "key long, v long")
+    return classes.select("v", "sig").mapInArrow(run, "key long, no int, v long")
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, VALUES)
+def _matrix(column, kind: str = "<u2", width: int = VALUES) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+def _sketches(column) -> np.ndarray:
+    return _matrix(column, "u1", BINS)
 
 
 def close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) within the signature distance whose sizes allow a link,
-    with what is needed to find the texts of both."""
-    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sig", "doc_id", "h")])
+    """Pairs (a, b) whose signatures, sketches and sizes allow a link, with
+    what is needed to find the texts of both."""
+    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sig", "sketch", "doc_id", "h")])
     both = pairs.join(side("a_"), F.col("a") == F.col("a_v")).join(side("b_"), F.col("b") == F.col("b_v")) \
         .where((F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent))
     out = both.select("a", "b", "a_doc_id", "a_h", "b_doc_id", "b_h")
     names, schema = out.columns, out.schema
-    full = both.select(*names, "a_sig", "b_sig")
+    full = both.select(*names, "a_sig", "b_sig", "a_sketch", "b_sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 far = (_matrix(b.column(6)) != _matrix(b.column(7))).sum(axis=1)
-                kept = pa.RecordBatch.from_arrays(b.columns[:6], names)
-                yield kept.filter(pa.array(far <= DISTANCE))
+                like = plausible(_sketches(b.column(8)), _sketches(b.column(9)), percent)
+                yield pa.RecordBatch.from_arrays(b.columns[:6], names).filter(pa.array((far <= DISTANCE) & like))
 
     return full.mapInArrow(run, schema)
 
@@ -179,20 +215,61 @@ def confirm(near: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str,
     return rows.mapInArrow(run, "u long, w long").distinct()
 
 
-def across(members: DataFrame) -> DataFrame:
-    """(a, b): classes of the same key in different components, the largest
-    component of the key taken on one side only. ``members``: key, v, comp,
-    pivot (whose comparisons are done)."""
-    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where("lo != hi").select("key")
+def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of a key in different components whose signatures and
+    sketches allow a link. ``members``: key, no, v, comp, pivot (which has
+    been compared with all others of its key)."""
+    mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     rest = members.join(mixed, "key").where("v != pivot")
-    main = rest.groupBy("key", "comp").count().groupBy("key") \
-        .agg(F.max(F.struct("count", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-    rest = rest.join(main, "key")
-    one = rest.where("comp != main").select("key", F.col("v").alias("a"), F.col("comp").alias("ca"))
-    two = rest.select("key", F.col("v").alias("b"), F.col("comp").alias("cb"), (F.col("comp") == F.col("main")).alias("in"))
-    return one.join(two, "key").where((F.col("ca") != F.col("cb")) & (F.col("in") | (F.col("a") < F.col("b")))) \
-        .select("a", "b").distinct()
+    size = rest.groupBy("key", "comp").count().groupBy("key").agg(
+        F.max(F.struct("count", "comp")).alias("m"), F.sum("count").alias("n"))
+    size = size.select("key", F.col("m.comp").alias("main"),
+                       F.ceil((F.col("n") - F.col("m.count")) / BLOCK_LEFT).cast("int").alias("ps"),
+                       F.ceil(F.col("n") / BLOCK_RIGHT).cast("int").alias("qs")).where("ps > 0")
+    rows = rest.join(size, "key").join(classes.select("v", "sig", "sketch"), "v") \
+        .withColumn("in", F.col("comp") == F.col("main"))
+    own = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    columns = ["v", "comp", "in", "no", "sig", "sketch"]
+    left = rows.where("not in").select("key", own("ps").alias("p"), every("qs").alias("q"), F.lit(0).alias("side"), *columns)
+    right = rows.select("key", every("ps").alias("p"), own("qs").alias("q"), F.lit(1).alias("side"), *columns)
+    dealt = left.unionByName(right).repartition(shuffle_parts(members.sparkSession), "key", "p", "q") \
+        .sortWithinPartitions("key", "p", "q", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lefts = None, []
+        for b in batches:
+            ids = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
+            side, v, comp, no = (b.column(i).to_numpy() for i in (3, 4, 5, 7))
+            inside = b.column(6).to_numpy(zero_copy_only=False)
+            sig, sk = _matrix(b.column(8)), _sketches(b.column(9))
+            new = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1) | (side[1:] != side[:-1])) + 1
+            found = [np.empty((0, 2), np.int64)]
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
+                if lo == hi:
+                    continue
+                if group != tuple(ids[lo]):
+                    group, lefts = tuple(ids[lo]), []
+                if side[lo] == 0:
+                    lefts += [(v[i], comp[i], sig[i], sk[i]) for i in range(lo, hi)]
+                    continue
+                for a, ca, sa, ka in lefts:
+                    at = lo + np.flatnonzero((comp[lo:hi] != ca) & (inside[lo:hi] | (v[lo:hi] > a)))
+                    at = at[plausible(ka, sk[at], percent)]
+                    at = at[_first_key(sa == sig[at], int(no[lo]))]
+                    found.append(np.stack((np.full(len(at), a), v[at]), axis=1))
+            pairs = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _first_key(same: np.ndarray, no: int) -> np.ndarray:
+    """Rows (equal values of two signatures) without a common key before
+    ``no`` and within the guaranteed distance."""
+    chunks = same.reshape(len(same), CHUNKS, WIDTH)
+    keys = np.stack([chunks[:, :, keep].all(axis=2) for keep in _KEEP], axis=2).reshape(len(same), CHUNKS * len(_KEEP))
+    return ~keys[:, :no].any(axis=1) & ((~same).sum(axis=1) <= DISTANCE)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -204,23 +281,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     order = lambda *c: F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *c)
     classes = steps.save(
         rows.where("n > 0").groupBy("digest").agg(F.min(order("h", "r")).alias("rep"),
-                                                  F.max("n").alias("n"), F.max("sig").alias("sig"))
-        .select("digest", "n", "sig", "rep", "rep.doc_id", "rep.h").withColumn("v", F.monotonically_increasing_id()),
+                                                  F.max("n").alias("n"), F.max("sig").alias("sig"),
+                                                  F.max("sketch").alias("sketch"))
+        .select("digest", "n", "sig", "sketch", "rep", "rep.doc_id", "rep.h").withColumn("v", F.monotonically_increasing_id()),
         "classes")
     keys = index_keys(classes)
     buckets = steps.save(keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
                          .where("size > 1"), "buckets")
-    members = steps.save(keys.join(buckets, "key").select("key", "v", "pivot", "size"), "members")
+    members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot", "size"), "members")
     pairs = members.where("v != pivot").select(F.col("v").alias("a"), F.col("pivot").alias("b")).distinct()
     near = steps.save(close(pairs, classes, percent), "near")
     links = steps.save(confirm(near, docs, k, percent, doc_id, text), "links")
-    label = components(links, steps)
-    open_keys = members.where("size > 2").join(label, "v", "left") \
-        .withColumn("comp", F.coalesce("comp", "v"))
-    near = steps.save(close(across(open_keys), classes, percent), "near")
-    if near.limit(1).count():
-        more = confirm(near, docs, k, percent, doc_id, text)
-        label = components(links.unionByName(steps.save(more, "links")), steps)
+    star = contract(links, steps)
+    named = labels(star)
+    named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
+    open_keys = members.where("size > 2").join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+    near = steps.save(close(across(open_keys, classes, percent), classes, percent), "near")
+    more = steps.save(confirm(near, docs, k, percent, doc_id, text), "links")
+    label = labels(contract(star.unionByName(more), steps))
     return _result(rows, classes, label, order)
 
 
