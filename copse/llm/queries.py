@@ -15,6 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import warc
+    return warc.round_trip(table(spark, sf_dir, "pages")) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT r, page_id, url, octet_length(encode(html)) AS n, sha1(html) AS h FROM p),
+f AS (SELECT *, first(r) OVER same AS first_r, first(page_id) OVER same AS first_id FROM d
+      WINDOW same AS (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS LAST, r))
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(h, (i // 8 * 10 + 1)::INTEGER, 10))::BIGINT >> (35 - 5 * (i % 8))::INTEGER) & 31) + 1)::INTEGER, 1)), '')
+           AS payload_digest,
+       CASE WHEN r = first_r THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN r <> first_r THEN first_id END AS refers_to
+FROM f"""
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import quality
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("score")
@@ -131,6 +151,7 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
@@ -142,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc_round_trip": OP1_SQL,
     "op5_near_duplicates": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
