@@ -114,6 +114,13 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.listed(*[k.name for k in pii.KINDS]).alias("spans"))
 
 
+def op8_near_duplicate_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import passages
+    found = passages.near_duplicate_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "passage_words", F.size("spans").cast("long").alias("n_passages"),
+                        F.array_min("partners").alias("partner_id"), "partners")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import mixing
     return mixing.copies(table(spark, sf_dir, "documents"), SEED).select(
@@ -158,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
     "op7_personal_data": op7_personal_data,
+    "op8_near_duplicate_passages": op8_near_duplicate_passages,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
 }

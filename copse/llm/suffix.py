@@ -194,9 +194,9 @@ def _store(docs: DataFrame, steps: Steps, doc_id: str, text: str) -> DataFrame:
     schema = T.StructType([*T.StructType.fromDDL("chunk long, i int").fields, *thin.schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, no, size, i = TaskContext.get().partitionId() << 32, 0, 0, 0
+        base, no, size, i = TaskContext.get().partitionId() << 22, 0, 0, 0
         for b in batches:
-            n = [len(x or b"") for x in b.column(1).cast(pa.binary()).to_pylist()]
+            n = [len(x or b"") + 16 for x in b.column(1).cast(pa.binary()).to_pylist()]
             chunk, place = [], []
             for k in n:
                 if size and size + k > CHUNK_BYTES:
