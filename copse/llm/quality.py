@@ -14,7 +14,7 @@ the trusted ones (Spark broadcasts the ids if they are few).
 
 Defined cases: a null text has no words and fails the base rules; labels
 without a document, repeated labels and null ids do no harm (a null id is
-never trusted); with no trusted text at all every score is 0; an empty
+never trusted); with no trusted text at all every score is 0 (nothing to compare with); an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -30,7 +30,10 @@ from copse.llm.expressions import let, total, upto, words
 
 BUCKETS = 1 << 14
 #: Mean log ratio, in nats for each n-gram, that a kept document reaches.
-THRESHOLD = -0.06
+THRESHOLD = -0.075
+#: Occurrences added to every bucket, on both sides at the trusted texts'
+#: scale, so that n-grams too rare to have been trusted weigh little.
+PSEUDO = 20.0
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
@@ -51,15 +54,14 @@ def _counts(docs: DataFrame, text: str) -> dict[int, int]:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[float]:
-    """log p_trusted - log p_raw by bucket, each count raised by one."""
+    """log p_trusted - log p_raw by bucket. The raw counts are brought to the
+    trusted texts' number of n-grams, then both get ``PSEUDO`` more."""
     good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).distinct()
     thin = docs.select(docs[doc_id].alias("id"), docs[text].alias("body"))
     trusted = _counts(thin.join(good, F.col("id") == F.col("good_id"), "left_semi"), "body")
     raw = _counts(thin, "body")
-    if not trusted:
-        return [0.0] * BUCKETS
-    log_p = lambda c: (lambda n: [math.log((c.get(b, 0) + 1) / n) for b in range(BUCKETS)])(sum(c.values()) + BUCKETS)
-    return [t - r for t, r in zip(log_p(trusted), log_p(raw))]
+    scale = sum(trusted.values()) / max(1, sum(raw.values()))
+    return [math.log((trusted.get(b, 0) + PSEUDO) / (scale * raw.get(b, 0) + PSEUDO)) for b in range(BUCKETS)]
 
 
 def score(text: Column, ratios: list[float]) -> Column:

@@ -3,23 +3,27 @@ one before it kept."""
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
 from copse.llm import stages
 
 STAGES = [
+    ("quality_rules", stages.quality_rules),
+    ("near_duplicates", stages.near_duplicates),
     ("decontamination", stages.decontamination),
+    ("personal_data", stages.personal_data),
     ("mixing", stages.mixing),
 ]
 
-#: The quality and near-duplicate stages have no SQL form; see tests/llm.
+#: The quality and near-duplicate stages have no SQL form that would finish;
+#: tests/llm holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, one after the other."""
     docs = stages.table(spark, sf_dir, "documents")
-    return functools.reduce(lambda d, stage: stages.kept(stage[1](spark, d, sf_dir), stage[0])
-                            if stage is not STAGES[-1] else stage[1](spark, d, sf_dir), STAGES, docs)
+    *before, (_, last) = STAGES
+    for name, stage in before:
+        docs = stages.kept(stage(spark, docs, sf_dir), name)
+    return last(spark, docs, sf_dir)

@@ -57,8 +57,8 @@ def test_verdict_is_the_mean_log_ratio(spark, tables):
         grams.setdefault(r.doc_id, []).append(r.b)
     raw = Counter(b for docs_ in grams.values() for g in docs_ for b in g)
     good = Counter(b for i in range(40) for g in grams[i] for b in g)
-    n, m = sum(good.values()) + quality.BUCKETS, sum(raw.values()) + quality.BUCKETS
-    ratio = lambda b: math.log((good[b] + 1) / n) - math.log((raw[b] + 1) / m)
+    scale = sum(good.values()) / sum(raw.values())
+    ratio = lambda b: math.log((good[b] + 20) / (raw[b] * scale + 20))
     for r in quality.judge(docs, labels).collect():
         g = grams[r.doc_id][0]
         if g:
