@@ -17,9 +17,9 @@ across components, inside the tasks, in blocks: the classes outside a
 key's largest component against all of it. Pairs that meet under several
 keys are taken up under the first.
 
-A second sketch (the smallest shingle hash of each of 256 bins, 8 bits)
-tests a pair before its texts are fetched; a pair at similarity 0.8 fails
-the test with probability below 1e-6. Candidates are confirmed on full sets
+A sketch (the smallest shingle hash of each of 1,024 bins, 8 bits) tests a
+pair before its texts are fetched; a pair at similarity 0.8 fails by six
+standard deviations or not at all. Candidates are confirmed on full sets
 computed from whole texts.
 
 Hot groups: equal sets and keys are aggregated before the shuffle; the
@@ -49,6 +49,7 @@ from pyspark.sql import types as T
 from copse.llm import text as X
 from copse.llm.components import contract, labels
 from copse.llm.scratch import Steps, shuffle_parts
+from copse.llm.store import keep_texts, key, with_texts
 
 CHUNKS, WIDTH, ERRORS = 5, 6, 2
 VALUES = CHUNKS * WIDTH
@@ -57,9 +58,9 @@ DISTANCE = CHUNKS * (ERRORS + 1) - 1
 GROUP = 64
 #: Classes of one block of comparisons under a key: outside, and in all.
 BLOCK_LEFT, BLOCK_RIGHT = 1024, 4096
-BINS = 256
+BINS = 1024
 #: Standard deviations that a sketch may fall short of the similarity.
-SLACK = 5.0
+SLACK = 6.0
 
 _rng = np.random.default_rng(20240301)
 _FACTORS = _rng.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,9 +85,9 @@ def signature(s: np.ndarray) -> bytes:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """For each of 256 ranges of hash values, 8 bits of the smallest shingle
-    hash in it (1 to 255; 0 for an empty range)."""
-    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(56)
+    """For each of ``BINS`` ranges of hash values, 8 bits of the smallest
+    shingle hash in it (1 to 255; 0 for an empty range)."""
+    edges = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
     first = np.searchsorted(s, edges)
     has = np.diff(np.append(first, len(s))) > 0
     out = np.zeros(BINS, np.uint8)
@@ -94,23 +95,28 @@ def sketch(s: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def plausible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether rows of sketches can belong to sets similar enough."""
+def plausible(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of sketches can belong to sets similar enough; ``sizes``
+    is the sum of the two sets' sizes. A sketch sees a share of the union
+    (all of it, for sets much smaller than the sketch); only what it does
+    not see varies."""
     used = ((a | b) > 0).sum(axis=-1)
     same = ((a == b) & (a > 0)).sum(axis=-1)
     p = percent / 100
-    return same >= p * used - SLACK * np.sqrt(used * p * (1 - p)) - 1
+    unseen = np.clip(1 - used * (1 + p) / sizes, 0.02, 1)
+    return same >= p * used - SLACK * np.sqrt(used * p * (1 - p) * unseen) - 2
 
 
-def describe(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
-    """doc_id, h (hash of the text), n, digest of the set, signature, sketch."""
-    thin = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("h"), docs[text].alias("text"))
+def describe(store: DataFrame, k: int) -> DataFrame:
+    """doc_id, r (the text's key), h (hash of the text), n, digest of the
+    set, signature, sketch."""
+    thin = store.select("doc_id", key().alias("r"), F.xxhash64("text").alias("h"), "text")
     schema = T.StructType([thin.schema["doc_id"], *T.StructType.fromDDL(
-        "h long, n long, digest binary, sig binary, sketch binary").fields])
+        "r long, h long, n long, digest binary, sig binary, sketch binary").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = X.batch_bytes(b.column(2))
+            texts = X.batch_bytes(b.column(3))
             n, digest, sig, sk = [], [], [], []
             for lo, hi in X.blocks(texts):
                 for s in sets(texts[lo:hi], k):
@@ -119,10 +125,10 @@ def describe(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
                     sig.append(signature(s) if len(s) else None)
                     sk.append(sketch(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                [*b.columns[:3], pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(sig, pa.binary()), pa.array(sk, pa.binary())], schema.names)
 
-    return thin.mapInArrow(run, schema).withColumn("r", F.monotonically_increasing_id())
+    return thin.mapInArrow(run, schema)
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -158,26 +164,26 @@ def _sketches(column) -> np.ndarray:
 
 
 def close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose signatures, sketches and sizes allow a link, with
-    what is needed to find the texts of both."""
-    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sig", "sketch", "doc_id", "h")])
+    """(a, b, a_r, b_r): the pairs whose signatures, sketches and sizes allow
+    a link, with the keys of their texts."""
+    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sig", "sketch", "r")])
     both = pairs.join(side("a_"), F.col("a") == F.col("a_v")).join(side("b_"), F.col("b") == F.col("b_v")) \
         .where((F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent))
-    out = both.select("a", "b", "a_doc_id", "a_h", "b_doc_id", "b_h")
-    names, schema = out.columns, out.schema
-    full = both.select(*names, "a_sig", "b_sig", "a_sketch", "b_sketch")
+    names = ["a", "b", "a_r", "b_r"]
+    full = both.select(*names, "a_sig", "b_sig", "a_sketch", "b_sketch", (F.col("a_n") + F.col("b_n")).alias("sizes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                far = (_matrix(b.column(6)) != _matrix(b.column(7))).sum(axis=1)
-                like = plausible(_sketches(b.column(8)), _sketches(b.column(9)), percent)
-                yield pa.RecordBatch.from_arrays(b.columns[:6], names).filter(pa.array((far <= DISTANCE) & like))
+            for lo in range(0, b.num_rows, 4096):
+                c = b.slice(lo, 4096)
+                far = (_matrix(c.column(4)) != _matrix(c.column(5))).sum(axis=1)
+                like = plausible(_sketches(c.column(6)), _sketches(c.column(7)), c.column(8).to_numpy(), percent)
+                yield pa.RecordBatch.from_arrays(c.columns[:4], names).filter(pa.array((far <= DISTANCE) & like))
 
-    return full.mapInArrow(run, schema)
+    return full.mapInArrow(run, "a long, b long, a_r long, b_r long")
 
 
-def confirm(near: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def confirm(near: DataFrame, store: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (u, w): the pairs whose full sets are similar enough.
 
     Each b's partners are dealt into groups; a group's rows are b's text and
@@ -185,14 +191,12 @@ def confirm(near: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str,
     """
     degree = near.groupBy("b").agg(F.count("*").alias("n"))
     near = near.join(degree, "b").withColumn(
-        "salt", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / GROUP)))
-    role = lambda s, no: near.select(F.col(f"{s}_doc_id").alias("id"), F.col(f"{s}_h").alias("h"), "b", "salt",
-                                     F.lit(no).alias("side"), F.col(s).alias("v"))
+        "salt", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / GROUP)).cast("long"))
+    role = lambda s, no: near.select(F.col(f"{s}_r").alias("r"), "b", "salt", F.lit(no).alias("side"),
+                                     F.col(s).alias("v"))
     roles = role("a", 1).unionByName(role("b", 0).distinct())
-    body = docs.select(docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("th"), docs[text].alias("text"))
-    rows = body.join(roles, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h"))) \
-        .select("b", "salt", "side", "v", "text") \
-        .repartition(shuffle_parts(docs.sparkSession), "b", "salt").sortWithinPartitions("b", "salt", "side")
+    rows = with_texts(store, roles, "r", ["b", "salt", "side", "v"]) \
+        .repartition(shuffle_parts(store.sparkSession), "b", "salt").sortWithinPartitions("b", "salt", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, first = None, None
@@ -226,11 +230,11 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     size = size.select("key", F.col("m.comp").alias("main"),
                        F.ceil((F.col("n") - F.col("m.count")) / BLOCK_LEFT).cast("int").alias("ps"),
                        F.ceil(F.col("n") / BLOCK_RIGHT).cast("int").alias("qs")).where("ps > 0")
-    rows = rest.join(size, "key").join(classes.select("v", "sig", "sketch"), "v") \
+    rows = rest.join(size, "key").join(classes.select("v", F.col("n").alias("size_"), "sig", "sketch"), "v") \
         .withColumn("in", F.col("comp") == F.col("main"))
     own = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    columns = ["v", "comp", "in", "no", "sig", "sketch"]
+    columns = ["v", "comp", "in", "no", "sig", "sketch", "size_"]
     left = rows.where("not in").select("key", own("ps").alias("p"), every("qs").alias("q"), F.lit(0).alias("side"), *columns)
     right = rows.select("key", every("ps").alias("p"), own("qs").alias("q"), F.lit(1).alias("side"), *columns)
     dealt = left.unionByName(right).repartition(shuffle_parts(members.sparkSession), "key", "p", "q") \
@@ -242,7 +246,7 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ids = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
             side, v, comp, no = (b.column(i).to_numpy() for i in (3, 4, 5, 7))
             inside = b.column(6).to_numpy(zero_copy_only=False)
-            sig, sk = _matrix(b.column(8)), _sketches(b.column(9))
+            sig, sk, n = _matrix(b.column(8)), _sketches(b.column(9)), b.column(10).to_numpy()
             new = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1) | (side[1:] != side[:-1])) + 1
             found = [np.empty((0, 2), np.int64)]
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
@@ -251,11 +255,12 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 if group != tuple(ids[lo]):
                     group, lefts = tuple(ids[lo]), []
                 if side[lo] == 0:
-                    lefts += [(v[i], comp[i], sig[i], sk[i]) for i in range(lo, hi)]
+                    lefts += [(v[i], comp[i], sig[i], sk[i], n[i]) for i in range(lo, hi)]
                     continue
-                for a, ca, sa, ka in lefts:
+                for a, ca, sa, ka, na in lefts:
                     at = lo + np.flatnonzero((comp[lo:hi] != ca) & (inside[lo:hi] | (v[lo:hi] > a)))
-                    at = at[plausible(ka, sk[at], percent)]
+                    at = at[(100 * n[at] >= percent * na) & (100 * na >= percent * n[at])]
+                    at = at[plausible(ka, sk[at], n[at] + na, percent)]
                     at = at[_first_key(sa == sig[at], int(no[lo]))]
                     found.append(np.stack((np.full(len(at), a), v[at]), axis=1))
             pairs = np.concatenate(found)
@@ -277,13 +282,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     """Per document: doc_id, n_shingles, component_id, kept, h (hash of the
     text), first (true for one row of each component)."""
     steps = Steps(docs.sparkSession, "neardup")
-    rows = steps.save(describe(docs, k, doc_id, text), "rows")
+    store = keep_texts(docs, steps, doc_id, text)
+    rows = steps.save(describe(store, k), "rows")
     order = lambda *c: F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *c)
     classes = steps.save(
-        rows.where("n > 0").groupBy("digest").agg(F.min(order("h", "r")).alias("rep"),
+        rows.where("n > 0").groupBy("digest").agg(F.min(order("r")).alias("rep"),
                                                   F.max("n").alias("n"), F.max("sig").alias("sig"),
                                                   F.max("sketch").alias("sketch"))
-        .select("digest", "n", "sig", "sketch", "rep", "rep.doc_id", "rep.h").withColumn("v", F.monotonically_increasing_id()),
+        .select("digest", "n", "sig", "sketch", "rep", "rep.r").withColumn("v", F.monotonically_increasing_id()),
         "classes")
     keys = index_keys(classes)
     buckets = steps.save(keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
@@ -291,13 +297,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot", "size"), "members")
     pairs = members.where("v != pivot").select(F.col("v").alias("a"), F.col("pivot").alias("b")).distinct()
     near = steps.save(close(pairs, classes, percent), "near")
-    links = steps.save(confirm(near, docs, k, percent, doc_id, text), "links")
+    links = steps.save(confirm(near, store, k, percent), "links")
     star = contract(links, steps)
     named = labels(star)
     named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
     open_keys = members.where("size > 2").join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     near = steps.save(close(across(open_keys, classes, percent), classes, percent), "near")
-    more = steps.save(confirm(near, docs, k, percent, doc_id, text), "links")
+    more = steps.save(confirm(near, store, k, percent), "links")
     label = labels(contract(star.unionByName(more), steps))
     return _result(rows, classes, label, order)
 
@@ -306,7 +312,7 @@ def _result(rows: DataFrame, classes: DataFrame, label: DataFrame, order) -> Dat
     named = classes.join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     best = named.groupBy("comp").agg(F.min("rep").alias("best"))
     named = named.join(best, "comp").select(F.col("digest").alias("d"), "best")
-    own = order("h", "r")
+    own = order("r")
     out = rows.join(named, (rows.digest == F.col("d")) & (rows.n > 0), "left") \
         .withColumn("best", F.coalesce("best", own))
     first = F.col("r") == F.col("best.r")

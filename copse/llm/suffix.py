@@ -16,7 +16,7 @@ instead of by letter: equal prefixes are adjacent in any consistent order.
   names of the full prefix, which are sorted, and equal neighbours are the
   repeated prefixes.
 
-Both sorts run on packed blocks of names: a chunk of about ``CHUNK_BYTES`` of
+Both sorts run on packed blocks of names: a chunk of a few megabytes of
 text sends each name once to the name's range (names that repeat inside the
 chunk are marked), and gets one bit for each name back. No range holds more
 than one copy of a name for each chunk, however often a passage occurs.
@@ -34,21 +34,19 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from copse.llm import text as X
-from copse.llm.scratch import Steps, shuffle_parts
+from copse.llm.scratch import Steps
+from copse.llm.store import COPY, PREFIX, SAMPLE, SIDE, keep_texts, per_chunk
 
 LENGTH = 200
-CHUNK_BYTES = 4 << 20
 #: Names that a range holds, on average, at most.
 RANGE_NAMES = 2_000_000
 
@@ -184,35 +182,6 @@ def _compare(names: DataFrame, level: int, width: int) -> DataFrame:
     return names.groupBy("range").applyInArrow(run, SIDE)
 
 
-SIDE = "chunk long, kind int, k int, data binary"
-COPY, SAMPLE, PREFIX = 0, 1, 2
-
-
-def _store(docs: DataFrame, steps: Steps, doc_id: str, text: str) -> DataFrame:
-    """The texts with chunk and place, bucketed by chunk."""
-    thin = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.md5(docs[text]).alias("md5"))
-    schema = T.StructType([*T.StructType.fromDDL("chunk long, i int").fields, *thin.schema.fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, no, size, i = TaskContext.get().partitionId() << 22, 0, 0, 0
-        for b in batches:
-            n = [len(x or b"") + 16 for x in b.column(1).cast(pa.binary()).to_pylist()]
-            chunk, place = [], []
-            for k in n:
-                if size and size + k > CHUNK_BYTES:
-                    no, size, i = no + 1, 0, 0
-                chunk.append(base + no)
-                place.append(i)
-                size, i = size + k, i + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk, pa.int64()), pa.array(place, pa.int32()), *b.columns], schema.names)
-
-    spark, name = docs.sparkSession, f"copse_texts_{uuid.uuid4().hex}"
-    thin.mapInArrow(run, schema).write.option("path", steps.path("texts")).option("compression", "zstd") \
-        .bucketBy(shuffle_parts(spark), "chunk").saveAsTable(name)
-    return spark.table(name)
-
-
 def _copies(store: DataFrame, length: int) -> DataFrame:
     """Texts of at least ``length`` bytes that other rows have too; ``data``
     is empty for the one that stands for them."""
@@ -224,19 +193,6 @@ def _copies(store: DataFrame, length: int) -> DataFrame:
         F.when(F.struct("chunk", "i") == F.col("rep"), F.lit(b"")).otherwise(F.lit(b"c")).alias("data"))
 
 
-def _per_chunk(store: DataFrame, side: DataFrame, schema: str | T.StructType, fn) -> DataFrame:
-    """``fn(rows, copies, bits by kind)`` for each chunk; ``rows`` in place order."""
-
-    def run(rows: pa.Table, notes: pa.Table) -> pa.Table:
-        rows = rows.sort_by("i").combine_chunks()
-        copies, bits = {}, {SAMPLE: {}, PREFIX: {}}
-        for n in notes.to_pylist():
-            (copies if n["kind"] == COPY else bits[n["kind"]])[n["k"]] = n["data"]
-        return fn(rows, copies, bits)
-
-    return store.groupBy("chunk").cogroup(side.groupBy("chunk")).applyInArrow(run, schema)
-
-
 def repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id",
                         text: str = "text") -> DataFrame:
     """Per document: doc_id, n_bytes, spans (maximal runs of bytes that some
@@ -244,7 +200,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str = "do
     exclusive end), kept (the other bytes, concatenated)."""
     spark = docs.sparkSession
     steps = Steps(spark, "suffix")
-    store = _store(docs, steps, doc_id, text)
+    store = keep_texts(docs, steps, doc_id, text)
     total = store.select(F.sum(F.octet_length("text"))).first()[0] or 0
     v, cover = cover_for(length)
     ranges = {SAMPLE: max(1, -(-total * len(cover) // v // RANGE_NAMES)), PREFIX: max(1, -(-total // (2 * RANGE_NAMES)))}
@@ -294,6 +250,6 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str = "do
     names = "chunk long, range int, once binary, many binary"
     side = copies
     for level, width, fn in ((SAMPLE, 6, sample), (PREFIX, 8, prefix)):
-        found = _compare(_per_chunk(store, side, names, fn), level, width)
+        found = _compare(per_chunk(store, side, names, fn), level, width)
         side = side.unionByName(steps.save(found, "bits"))
-    return _per_chunk(store, side, out, finish)
+    return per_chunk(store, side, out, finish)

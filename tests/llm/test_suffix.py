@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from copse.llm import suffix
+from copse.llm import store, suffix
 
 
 def brute(texts, length):
@@ -49,9 +49,9 @@ def fixture():
     return texts
 
 
-@pytest.mark.parametrize("length,chunk", [(200, suffix.CHUNK_BYTES), (200, 700), (64, 3000), (5, 4000)])
+@pytest.mark.parametrize("length,chunk", [(200, store.CHUNK_BYTES), (200, 700), (64, 3000), (5, 4000)])
 def test_equals_listing_every_string(spark, monkeypatch, length, chunk):
-    monkeypatch.setattr(suffix, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(store, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(suffix, "RANGE_NAMES", 2000)
     texts = fixture()
     rows = [(i if i % 9 else None, t, t, 1) for i, t in enumerate(texts)]
