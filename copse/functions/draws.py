@@ -2,9 +2,9 @@
 
 ``DataFrame.sample`` and ``rand(seed)`` depend on how rows are laid out
 in partitions, so a re-partitioned or recomputed input draws different
-rows. Here a draw is a pure function of (seed, model, key): the first 32
-bits of md5 of the text ``"seed|model|key"`` divided by 2**32. The same
-text and arithmetic run in DuckDB, which is what the oracle relies on.
+rows. Here a draw is a pure function of (seed, model, key): the first 52
+bits of md5 of the text ``"seed|model|key"`` divided by 2**52, so a draw
+times a row count reaches every row up to about 10**15 of them.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO32 = 4294967296.0
+TWO52 = 4503599627370496.0
+HEX_DIGITS = 13
 
 
 def _key_text(*parts) -> Column:
@@ -22,61 +23,51 @@ def _key_text(*parts) -> Column:
     return F.concat_ws("|", *[c.cast("string") for c in cols])
 
 
+def hash52(key) -> Column:
+    """The first 52 bits of md5 of the key's text, as a bigint."""
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, HEX_DIGITS), 16, 10).cast("bigint")
+
+
 def uniform(seed: int, model, key) -> Column:
     """U[0,1) draw from md5 of ``seed|model|key``."""
-    hexed = F.substring(F.md5(_key_text(seed, model, key)), 1, 8)
-    return F.conv(hexed, 16, 10).cast("bigint").cast("double") / F.lit(TWO32)
+    return hash52(_key_text(seed, model, key)).cast("double") / F.lit(TWO52)
 
 
-def md5_bucket(key, n_buckets: int) -> Column:
-    """Stable bucket in [0, n_buckets) from md5 of the key's text."""
-    hexed = F.substring(F.md5(F.lit(key).cast("string") if not isinstance(key, Column)
-                              else key.cast("string")), 1, 8)
-    return F.pmod(F.conv(hexed, 16, 10).cast("bigint"), F.lit(n_buckets))
+def hash_range(h: Column, n_ranges: int) -> Column:
+    """Range in [0, n_ranges) of a 52-bit hash; increases with the hash, so
+    ranges follow the hash order whatever their number."""
+    return F.floor(h.cast("double") * F.lit(float(n_ranges)) / F.lit(TWO52)).cast("bigint")
 
 
 def poisson_cuts(rate: float, tail: float = 1e-12) -> list[float]:
     """Cumulative Poisson(rate) probabilities P(N <= k), k = 0, 1, ...
 
-    Stops once the remaining tail is below ``tail``; a draw above the
-    last cut gets weight len(cuts). The same list is pasted into the
-    oracle SQL, so the weights are bit-identical there.
+    Terms come from their logarithms, so no rate underflows. Stops beyond
+    the mean once a term is below ``tail`` times a hundredth; a draw above
+    the last cut gets weight len(cuts).
     """
     if rate <= 0:
         return []
-    cuts, term, acc, k = [], math.exp(-rate), 0.0, 0
+    cuts, acc, k = [], 0.0, 0
     while True:
+        term = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
         acc += term
         cuts.append(acc)
-        if 1.0 - acc < tail or k > 200:
+        if k > rate and (1.0 - acc < tail or term < tail / 100):
             return cuts
         k += 1
-        term *= rate / k
 
 
 def poisson_weight(u: Column, rate: float) -> Column:
-    """Inverse-CDF Poisson(rate) count for a uniform draw ``u``."""
+    """Inverse-CDF Poisson(rate) count for a uniform draw ``u``: the number
+    of cuts at or below it."""
     cuts = poisson_cuts(rate)
     if not cuts:
         return F.lit(0).cast("int")
+    if len(cuts) > 64:
+        table = F.from_json(F.lit(str(cuts)), "array<double>")
+        return F.size(F.filter(table, lambda c: c <= u)).cast("int")
     expr = F.when(u < F.lit(cuts[0]), F.lit(0))
     for k, c in enumerate(cuts[1:], start=1):
         expr = expr.when(u < F.lit(c), F.lit(k))
     return expr.otherwise(F.lit(len(cuts))).cast("int")
-
-
-def poisson_case_sql(u_sql: str, rate: float) -> str:
-    """The same inverse CDF as SQL text (used by the DuckDB oracle)."""
-    cuts = poisson_cuts(rate)
-    if not cuts:
-        return "0"
-    arms = " ".join(f"WHEN {u_sql} < CAST('{c!r}' AS DOUBLE) THEN {k}"
-                    for k, c in enumerate(cuts))
-    return f"(CASE {arms} ELSE {len(cuts)} END)"
-
-
-def uniform_sql(seed: int, model_sql: str, key_sql: str) -> str:
-    """DuckDB text of :func:`uniform`."""
-    return (f"(CAST(('0x' || substr(md5(concat_ws('|', CAST({seed} AS VARCHAR), "
-            f"CAST({model_sql} AS VARCHAR), CAST({key_sql} AS VARCHAR))), 1, 8)) AS BIGINT)"
-            f" / 4294967296.0::DOUBLE)")

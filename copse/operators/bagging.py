@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from copse.functions.draws import md5_bucket, poisson_weight, uniform
+from copse.functions.draws import hash52, hash_range, poisson_weight, uniform
 from copse.plans.broadcast import bounded_broadcast
 
 
@@ -47,9 +47,10 @@ def ordinals(points: DataFrame, n_buckets: int = 1024,
              rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
     """Dense ordinals 0..N-1 over ``row_id`` without a single-partition window.
 
-    Rows are hashed (md5 of the key) into buckets, numbered by
-    ``row_number`` inside each bucket, and shifted by the running count of
-    earlier buckets. The bucket count is ``n_buckets`` or more: it grows
+    The order is that of (hash of the key, key). Hash ranges are numbered
+    by ``row_number`` each and shifted by the running count of the earlier
+    ranges, so the ordinals do not depend on the number of ranges. That
+    number is ``n_buckets`` or more: it grows
     with the data so that no bucket (one window partition, one task) holds
     more than about ``rows_per_bucket`` rows. The bucket-count table has
     one row per bucket (at most N / rows_per_bucket + n_buckets rows), so
@@ -58,9 +59,10 @@ def ordinals(points: DataFrame, n_buckets: int = 1024,
     """
     n_rows = points.count()
     buckets = max(n_buckets, -(-n_rows // rows_per_bucket))
-    b = points.select("row_id", md5_bucket(F.col("row_id"), buckets).alias("bucket"))
+    b = points.select("row_id", hash52(F.col("row_id")).alias("h")) \
+        .withColumn("bucket", hash_range(F.col("h"), buckets))
     within = b.withColumn(
-        "rn", F.row_number().over(Window.partitionBy("bucket").orderBy("row_id")) - 1)
+        "rn", F.row_number().over(Window.partitionBy("bucket").orderBy("h", "row_id")) - 1)
     counts = b.groupBy("bucket").agg(F.count("*").alias("n"))
     # Running total over the bucket-count table (one row per bucket).
     offsets = counts.coalesce(1).withColumn(

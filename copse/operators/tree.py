@@ -365,6 +365,7 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
     rows = base.withColumn("node_id", F.lit(1).cast("bigint"))
     levels = []
     grown: list = []
+    n_grown = 0
     wide = len(labels) <= WIDE_MAX_LABELS
     for depth in range(max_depth + 1):
         bound = max(1, n_models) * (2 ** depth)
@@ -377,14 +378,14 @@ def fit(bagged: DataFrame, max_depth: int, seed: int, max_candidates: int = MAX_
         levels.append(level)
         if depth == max_depth:
             break
-        # The level's node rows are small (models x 2^depth); read once, they
-        # decide whether any split remains and feed the routing expression.
-        new_rows = level.select("model_id", "node_id", "is_leaf", "feature", "threshold") \
-            .limit(COMPILE_MAX_NODES + 1).collect()
-        if not any(not r["is_leaf"] for r in new_rows):
+        # Whether any split remains is decided on the whole level; its node
+        # rows are read only while all rows so far are few enough to compile.
+        n_rows, n_splits = level.agg(F.count("*"), F.sum((~F.col("is_leaf")).cast("long"))).first()
+        if not n_splits:
             break
-        grown.extend(new_rows)
-        if len(grown) <= COMPILE_MAX_NODES:
+        n_grown += n_rows
+        if n_grown <= COMPILE_MAX_NODES:
+            grown.extend(level.select("model_id", "node_id", "is_leaf", "feature", "threshold").collect())
             rows = base.withColumn("node_id", _route_expression(grown, depth + 1)) \
                 .where(F.col("node_id") > 0)
         else:
@@ -423,7 +424,12 @@ def predict(nodes: DataFrame, points: DataFrame, max_depth: int,
 
 def predict_vote(nodes: DataFrame, points: DataFrame) -> DataFrame:
     """V6 scoring without a shuffle: every model's label and the majority
-    are computed inside each row: (row_id, pred, votes)."""
+    are computed inside each row: (row_id, pred, votes). Node tables too
+    large to compile are routed by joins and voted on by an aggregation."""
+    n_nodes, depth = nodes.agg(F.count("*"), F.max("depth")).first()
+    if n_nodes > COMPILE_MAX_NODES:
+        from copse.operators.vote import majority
+        return majority(predict_joined(nodes, points, depth))
     exprs = compile_trees(nodes, max_nodes=COMPILE_MAX_NODES)
     preds = F.array(*[exprs[m] for m in sorted(exprs)])
     out = points.select("row_id", preds.alias("preds")).withColumn("pred", vote_expression(F.col("preds")))

@@ -162,13 +162,8 @@ def sql_bag_replace():
     up = O.uniform_sql(SEED, "m.model_id", "'p' || p.row_id::VARCHAR")
     return f"""
 WITH pts AS ({O.ORDER_POINTS}),
-bk AS (SELECT row_id,
-              (CAST(('0x' || substr(md5(row_id::VARCHAR), 1, 8)) AS BIGINT) % {REPLACE_BUCKETS}) AS bucket
-       FROM pts),
-ords AS (SELECT row_id,
-                (row_number() OVER (PARTITION BY bucket ORDER BY row_id) - 1)
-                + coalesce((SELECT count(*) FROM bk b2 WHERE b2.bucket < bk.bucket), 0) AS ordinal
-         FROM bk),
+ords AS (SELECT row_id, row_number() OVER (ORDER BY {O.hash52_sql('row_id::VARCHAR')}, row_id) - 1 AS ordinal
+         FROM pts),
 n AS (SELECT count(*) AS n FROM pts),
 drawn AS (
   SELECT m.model_id, p.row_id AS slot_id,
@@ -426,18 +421,21 @@ SELECT model_id, row_id, pred FROM npred"""
 
 
 def q_nb_documents(spark, sf):
+    """Fitted on the labelled documents; every document is scored."""
     docs = tables.document_points(spark, sf)
     bag = bagging.poisson(docs, N_MODELS, FRACTION, SEED)
-    preds = NB.predict(NB.fit(bag), docs, len(tables.DOCUMENT_FEATURES), alpha=ALPHA)
+    every = tables.all_document_points(spark, sf)
+    preds = NB.predict(NB.fit(bag), every, len(tables.DOCUMENT_FEATURES), alpha=ALPHA)
     return V.majority(preds)
 
 
 def sql_nb_documents():
     return f"""
 WITH pts AS ({O.DOCUMENT_POINTS}),
+every AS ({O.ALL_DOCUMENT_POINTS}),
 {O.poisson_bag_cte('pts', SEED, N_MODELS, FRACTION)},
 {O.nb_model_ctes()},
-{O.nb_score_ctes('pts', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_score_ctes('every', 'laplace', ALPHA, SMOOTHING)},
 {O.nb_decide_cte()},
 {O.majority_cte('npred')}
 SELECT row_id, pred, votes FROM mv"""

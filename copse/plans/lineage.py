@@ -6,43 +6,21 @@ written files, so a lost executor does not force recomputation of every
 earlier level. ``localCheckpoint`` is never used: its blocks live on
 executors and die with them.
 
-The folder is read from the session. Only a local-mode session (tests,
-the bench) may get a fresh folder under the system temp dir when the
-setting is missing; on a cluster a missing setting is an error, because a
-machine-local folder is not visible to the other executors.
+The folder is the session's ``spark.checkpoint.dir``; where that is unset
+(tests, the bench) it is the session's warehouse folder. Driver and
+executors see both.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def step_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext handle: the session conf must say
-        sc = None
-    if sc is not None:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        configured = configured or sc.getConf().get("spark.checkpoint.dir")
-        if configured:
-            sc.setCheckpointDir(configured)
-            return configured
-        if sc.master.startswith("local"):
-            path = tempfile.mkdtemp(prefix="copse-ckpt-")
-            sc.setCheckpointDir(path)
-            return path
-    elif configured:
-        return configured
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set; point it at a folder every executor "
-        "can reach (HDFS/S3/shared FS) before running iterative operators")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -55,7 +33,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     later broadcast decisions, and survives the loss of any executor.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/copse-tables/{uuid.uuid4().hex}"
+    path = f"{step_folder(spark)}/copse-tables/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

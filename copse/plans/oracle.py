@@ -9,9 +9,29 @@ only has to be right at sf0.01.
 
 from __future__ import annotations
 
-from copse.functions.draws import poisson_case_sql, uniform_sql
 from copse.functions.vectors import distance_sql
 
+
+
+def hash52_sql(key_sql: str) -> str:
+    """The first thirteen hex digits of md5 of a text, as a number."""
+    return f"CAST(('0x' || substr(md5({key_sql}), 1, 13)) AS BIGINT)"
+
+
+def uniform_sql(seed: int, model_sql: str, key_sql: str) -> str:
+    key = (f"concat_ws('|', CAST({seed} AS VARCHAR), CAST({model_sql} AS VARCHAR), "
+           f"CAST({key_sql} AS VARCHAR))")
+    return f"({hash52_sql(key)} / 4503599627370496.0::DOUBLE)"
+
+
+def poisson_weight_sql(u_sql: str, rate: float) -> str:
+    """Number of k with P(N <= k) <= u, the probabilities summed in SQL
+    (twenty terms: for the rates of the queries the rest is below 1e-12)."""
+    cuts = (f"list_transform(range(1, 21), lambda n: list_sum(list_transform(range(0, n), "
+            f"lambda k: exp(-{rate!r}::DOUBLE) * pow({rate!r}::DOUBLE, k) / factorial(k::INTEGER))))")
+    return f"len(list_filter({cuts}, lambda c: c <= {u_sql}))"
+
+
 ORDER_POINTS = """
 SELECT o_orderkey::BIGINT AS row_id,
        CAST(substr(o_orderpriority, 1, 1) AS BIGINT) - 1 AS label,
@@ -45,6 +65,16 @@ SELECT d.doc_id::BIGINT AS row_id, l.quality::BIGINT AS label,
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
 
+ALL_DOCUMENT_POINTS = """
+SELECT d.doc_id::BIGINT AS row_id, NULL::BIGINT AS label,
+       [(CASE d.lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 ELSE -1 END)::DOUBLE,
+        TRY_CAST(NULLIF(regexp_extract(d.source, '(\\d+)$', 1), '') AS DOUBLE),
+        (length(bin(greatest(d.n_chars, 1)::BIGINT)) - 1)::DOUBLE,
+        (length(bin(greatest(length(d.text) - length(replace(d.text, chr(10), '')) + 1, 1)::BIGINT)) - 1)::DOUBLE
+       ] AS features
+FROM documents d"""
+
+
 def feature_values(points_cte: str) -> str:
     """(row_id?, label, feature 0-based, value) from a points CTE name."""
     return (f"SELECT *, generate_subscripts(features, 1) - 1 AS feature, "
@@ -100,7 +130,7 @@ def poisson_bag_cte(source: str, seed: int, n_models: int, fraction: float,
     return f"""
 {name} AS (
   SELECT * FROM (
-    SELECT m.model_id, s.row_id, s.label, s.features, {poisson_case_sql(u, fraction)} AS w
+    SELECT m.model_id, s.row_id, s.label, s.features, {poisson_weight_sql(u, fraction)} AS w
     FROM {source} s, (SELECT range::INTEGER AS model_id FROM range(0, {n_models})) m)
   WHERE w > 0)"""
 

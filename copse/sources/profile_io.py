@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from copse.operators.profile import CATEGORICAL_MAX_DISTINCT
-
 
 def write_profile(profile: DataFrame, path: str) -> None:
     """Write the five-field lines, ordered by feature."""
@@ -30,10 +28,12 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
     Columns as produced by ``profile.profile`` (mean/std are not stored in
     the file and come back NULL); ``n_buckets`` is recomputed by the rule
     nd div 1000 + 1 for numeric features."""
-    raw = spark.read.text(path).where(F.length(F.trim("value")) > 0) \
-        .withColumn("__pos", F.monotonically_increasing_id())
-    # Positions from one small file are increasing in line order; the
-    # ranking runs over the profile's own rows (one per feature).
+    # Several part files count in name order (Spark may scan them in another
+    # one); within a split, ids increase in line order. The ranking runs over
+    # the profile's own rows (one per feature).
+    raw = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(
+        "value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                          F.monotonically_increasing_id().alias("line")).alias("__pos"))
     parts = F.split(F.trim("value"), ",")
     prof = raw.select(
         (F.row_number().over(Window.orderBy("__pos")) - 1).cast("int").alias("feature"),
@@ -48,6 +48,3 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.col("is_categorical") == 0, (F.col("num_distinct") / 1000).cast("bigint") + 1)
         .otherwise(F.lit(0)).cast("bigint").alias("n_buckets"))
 
-
-def categorical_rule(num_distinct: int) -> int:
-    return 0 if num_distinct > CATEGORICAL_MAX_DISTINCT else 1

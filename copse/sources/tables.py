@@ -99,12 +99,10 @@ def _log2_band(n: F.Column) -> F.Column:
     return (F.length(F.bin(F.greatest(n.cast("bigint"), F.lit(1)))) - 1).cast("double")
 
 
-def document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents joined to labels -> categorical features for naive Bayes;
-    label = quality (0/1, unbalanced). The whole text is measured (its
-    length and its line count), never a prefix."""
+def all_document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> categorical features for naive Bayes, every row; label
+    NULL. The whole text is measured (its length and its line count)."""
     d = table(spark, sf_dir, "documents")
-    lab = table(spark, sf_dir, "labels")
     n_lines = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
     feats = F.array(
         _code("lang", LANG_CODES).cast("double"),
@@ -112,14 +110,22 @@ def document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         _log2_band(F.col("n_chars")),
         _log2_band(n_lines),
     )
-    return d.join(lab, "doc_id").select(
+    return d.select(
         F.col("doc_id").cast("bigint").alias("row_id"),
-        F.col("quality").cast("bigint").alias("label"),
+        F.lit(None).cast("bigint").alias("label"),
         F.lit(None).cast("bigint").alias("qid"),
         feats.alias("features"),
     )
 
 
+def document_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents' points; label = quality (0/1, unbalanced)."""
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"),
+                                                F.col("quality").cast("bigint").alias("label"))
+    return all_document_points(spark, sf_dir).drop("label").join(lab, "row_id") \
+        .select("row_id", "label", "qid", "features")
+
+
 def as_points(df: DataFrame, features: str = "features") -> DataFrame:
     """accept an ML vector column (dense or sparse) and densify it to
     ``ARRAY<DOUBLE>`` with the JVM-side ``vector_to_array``; array columns

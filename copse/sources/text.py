@@ -31,35 +31,37 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 FIRST_TOKEN = r"^\s*(\S+)"
 SECOND_TOKEN = r"^\s*\S+\s+(\S+)"
 AFTER_TWO = r"^\s*\S+\s+\S+\s*(.*)$"
-PAIR_LIST = r"^([^\s:]*:[^\s:]+(\s+|$))*$"
+# Possessive, so a line of any number of pairs is checked by a loop and not
+# by recursion.
+PAIR_LIST = r"^(?:[^\s:]*+:[^\s:]++(?:\s++|$))*+$"
 PAIR_VALUE = r"[^\s:]*:([^\s:]+)"
 
 
 def content_row_id(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """Row key when the caller has none: a hash of the line plus its ordinal
-    among identical lines.
+    """Row key when the caller has none: md5 (128 bits, as text) of the line's
+    md5 and its ordinal among identical lines.
 
     Identical lines are interchangeable, so any assignment of ordinals to
     copies yields the same set of (id, line) pairs; the result does not
-    depend on partitioning. Copies are counted per input split first and
-    offsets come from those per-split counts, so a line repeated across a
-    third of the input is never gathered into one task. For inputs beyond
-    ~10^9 lines pass an explicit key: a 64-bit hash can collide.
+    depend on partitioning. Copies are counted per input split first, over
+    hashes instead of lines, and offsets come from those per-split counts,
+    so a line repeated across a third of the input is never gathered into
+    one task.
     """
     split = F.concat_ws("@", F.col("_metadata.file_path"),
                         F.col("_metadata.file_block_start").cast("string"))
-    with_split = df.select(F.col(text_col).alias("__line"), split.alias("__split"))
-    rows = with_split.withColumn(
-        "__pos", F.row_number().over(Window.partitionBy("__line", "__split").orderBy("__line")))
-    counts = with_split.groupBy("__line", "__split").agg(F.count("*").alias("__n"))
+    lines = df.select(F.col(text_col).alias("__line"), F.md5(text_col).alias("__h"), split.alias("__split"))
+    rows = lines.withColumn(
+        "__pos", F.row_number().over(Window.partitionBy("__h", "__split").orderBy("__h")))
+    counts = lines.groupBy("__h", "__split").agg(F.count("*").alias("__n"))
     offsets = counts.withColumn(
         "__off",
-        F.coalesce(F.sum("__n").over(Window.partitionBy("__line").orderBy("__split")
+        F.coalesce(F.sum("__n").over(Window.partitionBy("__h").orderBy("__split")
                                      .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    joined = rows.join(offsets.drop("__n"), ["__line", "__split"])
-    return joined.select(
-        F.xxhash64(F.col("__line"), F.col("__off") + F.col("__pos")).alias("row_id"),
-        F.col("__line").alias(text_col))
+    joined = rows.join(offsets.drop("__n"), ["__h", "__split"])
+    ordinal = (F.col("__off") + F.col("__pos")).cast("string")
+    return joined.select(F.md5(F.concat_ws("|", "__h", ordinal)).alias("row_id"),
+                         F.col("__line").alias(text_col))
 
 
 def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
@@ -67,8 +69,10 @@ def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
                  mode: str = "drop"):
     """Parse ranked lines into ``(row_id, label, qid, features ARRAY<DOUBLE>)``.
 
-    ``key`` names a unique row key column already on ``df``; without one the
-    key comes from :func:`content_row_id` (which needs a file scan). With
+    ``key`` names a unique row key column already on ``df``, kept with its
+    type; without one the key is the text from :func:`content_row_id` (which
+    needs a file scan). A line without features, or with a value that is not
+    a number, is malformed. With
     ``with_qid=False`` the second token is skipped without being read, as
     in the plain (label, features) parser; ``qid`` is then NULL.
 
@@ -86,7 +90,7 @@ def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
     # Whole-line native expressions (no per-token lambdas): one regex to
     # validate the pair list, one to pull the values, an array cast.
     parsed = df.select(
-        F.col(key).cast("bigint").alias("row_id"),
+        F.col(key).alias("row_id"),
         line.alias("__line"),
         F.regexp_extract(line, FIRST_TOKEN, 1).try_cast("bigint").alias("label"),
         (F.when(qid_tok.rlike(r"^[^:]*:[^:]+$"),
@@ -102,6 +106,8 @@ def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
         .when(F.lit(with_qid) & F.col("qid").isNull(), F.lit("bad qid"))
         .when(~F.col("__pairs_ok"), F.lit("bad feature"))
         .when(F.size(F.array_compact("features")) != F.size("features"), F.lit("bad feature"))
+        .when(F.exists("features", F.isnan), F.lit("bad feature"))
+        .when(F.size("features") == 0, F.lit("no features"))
     )
     if n_features is not None:
         reason = reason.when(F.size("features") != n_features, F.lit("wrong feature count"))
