@@ -9,8 +9,9 @@ base rules and its score is at least ``THRESHOLD``.
 Built-in functions only. The two counts are grouped by bucket, combined
 before the shuffle, so what is shuffled or reaches the driver is bounded by
 the buckets, not by the corpus; they come back as one array constant and
-the score is row-local. The only shuffle of texts is the join that finds
-the trusted ones (Spark broadcasts the ids if they are few).
+the score is row-local. The trusted ids are broadcast while they are
+measured to be small; beyond that, the join that finds their texts is the
+only shuffle of texts.
 
 Defined cases: a null text has no words and fails the base rules; labels
 without a document, repeated labels and null ids do no harm (a null id is
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from copse.llm.expressions import let, total, upto, words
+from copse.llm.scratch import Steps, broadcast_if_small
 
 BUCKETS = 1 << 14
 #: Mean log ratio, in nats for each n-gram, that a kept document reaches.
@@ -56,9 +58,10 @@ def _counts(docs: DataFrame, text: str) -> dict[int, int]:
 def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[float]:
     """log p_trusted - log p_raw by bucket. The raw counts are brought to the
     trusted texts' number of n-grams, then both get ``PSEUDO`` more."""
-    good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).distinct()
+    good = Steps(docs.sparkSession, "quality").save(
+        labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("good_id")).distinct(), "good")
     thin = docs.select(docs[doc_id].alias("id"), docs[text].alias("body"))
-    trusted = _counts(thin.join(good, F.col("id") == F.col("good_id"), "left_semi"), "body")
+    trusted = _counts(thin.join(broadcast_if_small(good), F.col("id") == F.col("good_id"), "left_semi"), "body")
     raw = _counts(thin, "body")
     scale = sum(trusted.values()) / max(1, sum(raw.values()))
     return [math.log((trusted.get(b, 0) + PSEUDO) / (scale * raw.get(b, 0) + PSEUDO)) for b in range(BUCKETS)]
