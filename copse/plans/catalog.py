@@ -8,15 +8,20 @@ fixed-size sampler (``bag_fixed`` and the query sample of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copse.operators import bagging, encode, profile
+from copse.operators import bagging, encode, ensemble, profile
 from copse.plans import oracle as O
 from copse.sources import tables
-from copse.sources.text import format_ranked, parse_ranked
+from copse.plans.lineage import step_folder
+from copse.sources.profile_io import read_profile, write_profile
+from copse.sources.report import write_predictions
+from copse.sources.text import format_ranked, parse_ranked, read_lines
 from copse.operators import tree as T
 from copse.operators import evaluate as E
 from copse.operators import vote as V
@@ -460,16 +465,10 @@ FROM mv JOIN enc e ON e.row_id = mv.row_id"""
 
 # ----------------------------------------------------------------- mixture
 def q_ensemble_mixed(spark, sf):
-    """V1: trees on bags 0..1 (depth 1) and naive Bayes on bags 2..3 of one
-    bagging pass; per-row vote over all four models."""
-    enc = _encoded_orders(spark, sf)
-    bag = bagging.poisson(enc, N_MODELS, FRACTION, SEED)
-    half = N_MODELS // 2
-    nodes = T.fit(bag.where(F.col("model_id") < half), 1, SEED)
-    tp = T.predict(nodes, enc, 1, list(range(half)))
-    nbp = NB.predict(NB.fit(bag.where(F.col("model_id") >= half)), enc,
-                     len(tables.ORDER_FEATURES), alpha=ALPHA)
-    return V.majority(V.union_predictions(tp, nbp))
+    """V1: two trees and two naive Bayes models on the bags of one bagging
+    pass; per-row vote over all four models."""
+    pts = _orders(spark, sf)
+    return ensemble.run(pts, pts, n_trees=2, n_nb=2, fraction=FRACTION, depth=DEFAULT_DEPTH, smoothing=ALPHA, seed=SEED)
 
 
 def sql_ensemble_mixed():
@@ -478,8 +477,8 @@ def sql_ensemble_mixed():
 WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
 {O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
 bag AS (SELECT * FROM allbag WHERE model_id < {half}),
-{O.tree_ctes(1, SEED)},
-{O.tree_predict_ctes(1, 'enc', half)},
+{O.tree_ctes(DEFAULT_DEPTH, SEED)},
+{O.tree_predict_ctes(DEFAULT_DEPTH, 'enc', half)},
 nbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
 {O.nb_model_ctes('nbag')},
 {O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
@@ -617,17 +616,10 @@ FROM mv JOIN enc e ON e.row_id = mv.row_id"""
 
 # ------------------------------------------------------ other ensemble mixes
 def q_ensemble_mixed_bernoulli(spark, sf):
-    """V1 with the sampling of the reference's mixed ensemble: bags drawn
-    without replacement (B1); trees (depth 1) on bags 0..1, naive Bayes on
-    bags 2..3, per-row vote."""
-    enc = _encoded_orders(spark, sf)
-    bag = bagging.bernoulli(enc, N_MODELS, FRACTION, SEED)
-    half = N_MODELS // 2
-    nodes = T.fit(bag.where(F.col("model_id") < half), 1, SEED)
-    tp = T.predict(nodes, enc, 1, list(range(half)))
-    nbp = NB.predict(NB.fit(bag.where(F.col("model_id") >= half)), enc,
-                     len(tables.ORDER_FEATURES), alpha=ALPHA)
-    return V.majority(V.union_predictions(tp, nbp))
+    """V1 with bags drawn without replacement (B1)."""
+    pts = _orders(spark, sf)
+    return ensemble.run(pts, pts, n_trees=2, n_nb=2, fraction=FRACTION, depth=DEFAULT_DEPTH, smoothing=ALPHA,
+                        seed=SEED, method="bernoulli")
 
 
 def sql_ensemble_mixed_bernoulli():
@@ -636,8 +628,8 @@ def sql_ensemble_mixed_bernoulli():
 WITH {O.encoded_points_ctes(O.ORDER_POINTS)},
 {O.bernoulli_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
 bag AS (SELECT * FROM allbag WHERE model_id < {half}),
-{O.tree_ctes(1, SEED)},
-{O.tree_predict_ctes(1, 'enc', half)},
+{O.tree_ctes(DEFAULT_DEPTH, SEED)},
+{O.tree_predict_ctes(DEFAULT_DEPTH, 'enc', half)},
 nbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
 {O.nb_model_ctes('nbag')},
 {O.nb_score_ctes('enc', 'laplace', ALPHA, SMOOTHING)},
@@ -648,20 +640,11 @@ SELECT row_id, pred, votes FROM mv"""
 
 
 def q_ensemble_tree_knn(spark, sf):
-    """V6 as intended (D16): trees on bags 0..1 and k-NN on bags 2..3 of
-    one Poisson bagging pass over the embeddings; per-row vote. Queries
-    are every row (k-NN leaves the query itself out)."""
+    """V6 as intended (D16): two trees and two k-NN models on the bags of one
+    Poisson pass over the embeddings; per-row vote. Queries are every row
+    (k-NN leaves the query itself out)."""
     e = tables.embedding_points(spark, sf)
-    enc = encode.encode(e, profile.profile(e))
-    bag = bagging.poisson(enc, N_MODELS, FRACTION, SEED)
-    half = N_MODELS // 2
-    nodes = T.fit(bag.where(F.col("model_id") < half), ORACLE_DEPTH, SEED)
-    tp = T.predict(nodes, enc, ORACLE_DEPTH, list(range(half)))
-    q = enc.select("row_id", "features").withColumn(
-        "model_id", F.explode(F.sequence(F.lit(half), F.lit(N_MODELS - 1))))
-    kp = KNN.predict(bag.where(F.col("model_id") >= half), q, K, "l2",
-                     within=["model_id"], exclude_self=True)
-    return V.majority(V.union_predictions(tp, kp))
+    return ensemble.run(e, e, n_trees=2, n_knn=2, k=K, fraction=FRACTION, depth=DEFAULT_DEPTH, seed=SEED, exclude_self=True)
 
 
 def sql_ensemble_tree_knn():
@@ -670,8 +653,8 @@ def sql_ensemble_tree_knn():
 WITH {O.encoded_points_ctes(O.EMBEDDING_POINTS)},
 {O.poisson_bag_cte('enc', SEED, N_MODELS, FRACTION, name='allbag')},
 bag AS (SELECT * FROM allbag WHERE model_id < {half}),
-{O.tree_ctes(ORACLE_DEPTH, SEED)},
-{O.tree_predict_ctes(ORACLE_DEPTH, 'enc', half)},
+{O.tree_ctes(DEFAULT_DEPTH, SEED)},
+{O.tree_predict_ctes(DEFAULT_DEPTH, 'enc', half)},
 kbag AS (SELECT * FROM allbag WHERE model_id >= {half}),
 qm AS (SELECT m.model_id, p.row_id, p.features FROM enc p,
        (SELECT range::INTEGER AS model_id FROM range({half}, {N_MODELS})) m),
@@ -703,6 +686,124 @@ SELECT count(*)::BIGINT AS n_total, count_if(kp.pred = q.label)::BIGINT AS n_cor
 FROM qs q LEFT JOIN kp ON kp.row_id = q.row_id"""
 
 
+# Runs with disjoint training and test rows, files and limits.
+TEST_SHARE = 0.2
+
+
+def q_ensemble_holdout(spark, sf):
+    """Three trees and two naive Bayes models fitted on four fifths of the
+    orders; votes on the remaining fifth."""
+    train, test = ensemble.split(_orders(spark, sf), TEST_SHARE)
+    return ensemble.run(train, test, n_trees=3, n_nb=2, fraction=FRACTION, depth=DEFAULT_DEPTH, smoothing=ALPHA, seed=SEED)
+
+
+def _sql_holdout(n_trees: int, n_nb: int) -> str:
+    """Votes ``mv`` on the held-out orders; the test rows are binned with the
+    training rows' profile."""
+    return f"""
+every AS ({O.ORDER_POINTS}),
+test AS (SELECT * FROM every WHERE {O.hash52_sql('row_id::VARCHAR')}::DOUBLE < {TEST_SHARE!r}::DOUBLE * 4503599627370496.0::DOUBLE),
+{O.encoded_points_ctes('SELECT * FROM every WHERE row_id NOT IN (SELECT row_id FROM test)')},
+tfv AS (
+  SELECT p.row_id, p.label, x.feature,
+         CASE WHEN prm.nd <= 1000 THEN x.value
+              WHEN prm.width IS NULL THEN 0.0::DOUBLE
+              ELSE floor(x.value / prm.width)::DOUBLE END AS value
+  FROM test p, LATERAL (SELECT generate_subscripts(p.features, 1) - 1 AS feature,
+                               unnest(p.features) AS value) x
+  JOIN prm ON prm.feature = x.feature),
+tenc AS (SELECT row_id, label, list(value ORDER BY feature) AS features FROM tfv GROUP BY row_id, label),
+{O.poisson_bag_cte('enc', SEED, n_trees + n_nb, FRACTION, name='allbag')},
+bag AS (SELECT * FROM allbag WHERE model_id < {n_trees}),
+{O.tree_ctes(DEFAULT_DEPTH, SEED)},
+{O.tree_predict_ctes(DEFAULT_DEPTH, 'tenc', n_trees)},
+nbag AS (SELECT * FROM allbag WHERE model_id >= {n_trees}),
+{O.nb_model_ctes('nbag')},
+{O.nb_score_ctes('tenc', 'laplace', ALPHA, SMOOTHING)},
+{O.nb_decide_cte()},
+allp AS (SELECT model_id, row_id, pred FROM tp UNION ALL SELECT model_id, row_id, pred FROM npred),
+{O.majority_cte('allp')}"""
+
+
+def sql_ensemble_holdout():
+    return f"WITH {_sql_holdout(3, 2)} SELECT row_id, pred, votes FROM mv"
+
+
+def q_ensemble_odd_counts(spark, sf):
+    """One tree and two naive Bayes models; the report row of the run."""
+    train, test = ensemble.split(_orders(spark, sf), TEST_SHARE)
+    votes = ensemble.run(train, test, n_trees=1, n_nb=2, fraction=FRACTION, depth=DEFAULT_DEPTH, smoothing=ALPHA, seed=SEED)
+    return ensemble.report(votes, test, n_trees=1, n_nb=2, fraction=FRACTION, depth=DEFAULT_DEPTH)
+
+
+def sql_ensemble_odd_counts():
+    return f"""WITH {_sql_holdout(1, 2)}
+SELECT count(*)::BIGINT AS n_total, count_if(mv.pred = t.label)::BIGINT AS n_correct,
+       count_if(mv.pred = t.label) * 100.0 / count(*) AS accuracy_pct,
+       1::INTEGER AS n_trees, 2::INTEGER AS n_nb, {FRACTION!r}::DOUBLE AS fraction, {DEFAULT_DEPTH}::INTEGER AS depth
+FROM mv JOIN test t USING (row_id)"""
+
+
+def _step(spark, name: str) -> str:
+    return f"{step_folder(spark)}/copse-tables/{name}-{uuid.uuid4().hex}"
+
+
+def q_text_scan(spark, sf):
+    """The orders as ranked lines, written as text and scanned
+    again, keyed by content, parsed, counted by label."""
+    path = _step(spark, "lines")
+    format_ranked(_orders(spark, sf)).select("value").write.text(path)
+    pts = parse_ranked(read_lines(spark, path), n_features=len(tables.ORDER_FEATURES), mode="fail")
+    per = pts.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_distinct("row_id").alias("n_keys"), F.sum("qid").alias("qid_sum"),
+        F.round(F.sum(F.get("features", 0)), 2).alias("price_sum"))
+    return profile.label_domain(pts).join(per, "label")
+
+
+def sql_text_scan():
+    return f"""WITH pts AS ({O.ORDER_POINTS})
+SELECT label, count(*)::BIGINT AS n, count(*)::BIGINT AS n_keys, sum(qid)::BIGINT AS qid_sum,
+       round(sum(features[1]), 2) AS price_sum FROM pts GROUP BY label"""
+
+
+def q_profile_file_bins(spark, sf):
+    """Profile written to a file, read back, and used to encode."""
+    pts, path = _orders(spark, sf), _step(spark, "profile")
+    write_profile(profile.profile(pts), path)
+    enc = encode.encode(pts, read_profile(spark, path))
+    return enc.select("row_id", "label", *[F.col("features").getItem(i).alias(f"e{i}") for i in range(6)])
+
+
+def q_predictions_file(spark, sf):
+    """Naive Bayes predictions written as Parquet and read back."""
+    path = _step(spark, "predictions")
+    write_predictions(_nb_predictions(spark, sf)[0], path)
+    return spark.read.parquet(path)
+
+
+def q_dense_vectors(spark, sf):
+    """embeddings as ML vectors, made arrays again."""
+    e = _emb(spark, sf).withColumn("features", array_to_vector("features"))
+    return tables.as_points(e).select(
+        "row_id", F.size("features").alias("n"), F.round(F.get("features", 0), R6).alias("first"),
+        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), R6).alias("total"))
+
+
+def sql_dense_vectors():
+    return f"""WITH pts AS ({O.EMBEDDING_POINTS})
+SELECT row_id, len(features)::INTEGER AS n, round(features[1], 6) AS first,
+       round(list_reduce(features, lambda a, x: a + x, 0.0::DOUBLE), 6) AS total FROM pts"""
+
+
+def q_limited_rows(spark, sf):
+    """the test rows with the smallest keys (the limit is the operator)."""
+    return E.limit_rows(_orders(spark, sf), FIXED_N).select("row_id", "label", "qid")
+
+
+def sql_limited_rows():
+    return f"WITH pts AS ({O.ORDER_POINTS}) SELECT row_id, label, qid FROM pts ORDER BY row_id LIMIT {FIXED_N}"
+
+
 QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "parse_ranked_lines": (q_parse_ranked_lines, sql_parse_ranked_lines),
     "feature_profile": (q_feature_profile, sql_feature_profile),
@@ -738,6 +839,13 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "tree_depth5_ensemble": (q_tree_depth5_ensemble, sql_tree_depth5_ensemble),
     "ensemble_mixed_bernoulli": (q_ensemble_mixed_bernoulli, sql_ensemble_mixed_bernoulli),
     "ensemble_tree_knn": (q_ensemble_tree_knn, sql_ensemble_tree_knn),
+    "ensemble_holdout": (q_ensemble_holdout, sql_ensemble_holdout),
+    "ensemble_odd_counts": (q_ensemble_odd_counts, sql_ensemble_odd_counts),
+    "text_scan": (q_text_scan, sql_text_scan),
+    "profile_file_bins": (q_profile_file_bins, sql_encode_bins),
+    "predictions_file": (q_predictions_file, sql_nb_predict),
+    "dense_vectors": (q_dense_vectors, sql_dense_vectors),
+    "limited_rows": (q_limited_rows, sql_limited_rows),
     "knn_selftest_sampled": (q_knn_selftest_sampled, sql_knn_selftest_sampled),
 }
 
