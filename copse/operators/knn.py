@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
-from copse.functions.vectors import distance
 from copse.plans.broadcast import checked_broadcast
 from copse.plans.lineage import cut_lineage
 
 MARGIN = 1e-9
+#: Rows of a side of a block: the distance matrix of a block has 32 MB.
+BLOCK = 2048
 
 
 def _proj(metric: str, v: F.Column) -> F.Column:
@@ -45,6 +46,10 @@ def _proj(metric: str, v: F.Column) -> F.Column:
     return total if metric == "l1" else total / F.sqrt(F.size(v).cast("double"))
 
 
+def _required(s: F.Column) -> F.Column:
+    return F.coalesce(s, F.raise_error("a point has no features or a NULL among them").cast("double"))
+
+
 def _block_kernel(metric: str, exclude_self: bool, k: int, within: list[str]):
     """Distances between the training rows and the queries of one block
     (at most ``block`` x ``block``), computed with numpy, left to right over
@@ -53,7 +58,7 @@ def _block_kernel(metric: str, exclude_self: bool, k: int, within: list[str]):
     import numpy as np
     import pandas as pd
 
-    out_cols = within + ["q_id", "t_id", "label", "w", "dist"]
+    out_cols = within + ["q_id", "t_id", "label", "w", "dist", "rd"]
 
     def run(tdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if tdf.empty or qdf.empty:
@@ -85,15 +90,14 @@ def _block_kernel(metric: str, exclude_self: bool, k: int, within: list[str]):
         ti = np.concatenate(rows_t) if rows_t else np.array([], dtype=int)
         out = {c: qdf[c].to_numpy()[qi] for c in within}
         out.update(q_id=q_id[qi], t_id=t_id[ti], label=tdf["label"].to_numpy()[ti],
-                   w=tdf["w"].to_numpy()[ti], dist=dist[qi, ti])
+                   w=tdf["w"].to_numpy()[ti], dist=dist[qi, ti], rd=rd[qi, ti])
         return pd.DataFrame(out, columns=out_cols)
 
     return run
 
 
 def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: list[str],
-               exclude_self: bool, k: int, q_rows: int, dim: int | None,
-               block: int = 512) -> DataFrame:
+               exclude_self: bool, k: int, block: int = BLOCK) -> DataFrame:
     """Candidates with |s_t - s_q| <= width, ranked; the k best slots per
     query with ``covered`` (slots found) and ``worst`` (k-th distance).
 
@@ -114,7 +118,7 @@ def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: li
     hot = tc.join(qc, keys).where((F.col("nt") > block) | (F.col("nq") > block)).select(
         *keys, F.ceil(F.col("nt") / F.lit(block)).cast("int").alias("n_ts"),
         F.ceil(F.col("nq") / F.lit(block)).cast("int").alias("n_qc"))
-    hot = checked_broadcast(hot)
+    hot = checked_broadcast(cut_lineage(hot))
     n_ts = F.coalesce(F.col("n_ts"), F.lit(1))
     n_qc = F.coalesce(F.col("n_qc"), F.lit(1))
     tb = tb.join(hot, keys, "left").select(
@@ -126,12 +130,13 @@ def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: li
         F.explode(F.sequence(F.lit(0), n_ts - 1)).alias("ts"),
         F.pmod(F.xxhash64("q_id"), n_qc).cast("int").alias("qc"))
     schema = ", ".join([f"{c} {dict(t.dtypes)[c]}" for c in within] +
-                       ["q_id bigint", "t_id bigint", "label bigint", "w int", "dist double"])
+                       ["q_id bigint", "t_id bigint", "label bigint", "w int", "dist double", "rd double"])
     gkeys = keys + ["ts", "qc"]
     pairs = tb.groupBy(*gkeys).cogroup(qb.groupBy(*gkeys)).applyInPandas(
         _block_kernel(metric, exclude_self, k, within), schema)
     part = Window.partitionBy(*within, "q_id")
-    order = part.orderBy(F.round("dist", 9), F.col("t_id"))
+    # Ranked by the same rounded distance that the blocks cut by.
+    order = part.orderBy("rd", "t_id")
     # row_number <= k is planned as a partial group limit before the shuffle.
     top = pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k)
     before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -152,11 +157,13 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     (within, q_id); ``slots`` is how many of the k places the row fills.
 
     Pass 1 joins at a narrow band. A query is final when its k-th distance
-    is inside the band; otherwise that k-th distance bounds how wide its
-    band must be. Pass 2 groups the open queries by the smallest width
-    ``w0 * growth^j`` that covers their bound (queries with fewer than k
-    candidates take the full span) and runs one band join per group; all
-    groups run in the same job.
+    is inside the band, or when the band holds all of its group; otherwise
+    that k-th distance, or the group's reach, bounds how wide its band must
+    be. Pass 2 groups the open queries by the smallest width
+    ``w0 * growth^j`` that covers their bound and runs one band join per
+    width; all widths run in the same job. The worst case, vectors whose
+    projections say nothing about their distances, is all pairs of a group,
+    plus the pairs of pass 1.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -165,17 +172,13 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     t = train.select(*within, F.col("row_id").alias("t_id"), "label",
                      F.col("features").alias("t_feat"),
                      (F.col("w") if has_w else F.lit(1)).cast("int").alias("w"))
-    t = t.withColumn("s", _proj(metric, F.col("t_feat")))
+    t = t.withColumn("s", _required(_proj(metric, F.col("t_feat"))))
     q = query.select(*within, F.col("row_id").alias("q_id"), F.col("features").alias("q_feat"))
-    q = q.withColumn("s", _proj(metric, F.col("q_feat")))
+    q = q.withColumn("s", _required(_proj(metric, F.col("q_feat"))))
 
-    both = t.select("s", F.size("t_feat").alias("dim"), F.lit(1).alias("is_t"),
-                    *[F.col(c) for c in within]) \
-        .unionByName(q.select("s", F.size("q_feat").alias("dim"), F.lit(0).alias("is_t"),
-                              *[F.col(c) for c in within]))
+    both = t.select("s", F.lit(1).alias("is_t"), *within).unionByName(q.select("s", F.lit(0).alias("is_t"), *within))
     aggs = [F.min("s").alias("lo"), F.max("s").alias("hi"), F.max(F.abs("s")).alias("amax"),
-            F.sum("is_t").alias("n_train"), F.sum(1 - F.col("is_t")).alias("n_query"),
-            F.min("dim").alias("dim_lo"), F.max("dim").alias("dim_hi")]
+            F.sum("is_t").alias("n_train")]
     if within:
         aggs.append(F.count_distinct(*[F.when(F.col("is_t") == 1, F.col(c)) for c in within])
                     .alias("n_groups"))
@@ -183,43 +186,46 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     if st["lo"] is None or not st["n_train"]:
         return _empty(train.sparkSession, within)
     n_groups = max(1, st["n_groups"]) if within else 1
-    n_query = int(st["n_query"] or 0)
-    # One length for every vector -> unrolled distance; otherwise the
-    # generic form, which raises on the first unequal pair.
-    dim = int(st["dim_lo"]) if st["dim_lo"] is not None and st["dim_lo"] == st["dim_hi"] else None
     per_group = max(1.0, st["n_train"] / n_groups)
     span = float(st["hi"] - st["lo"])
     floor_w = max(float(st["amax"]) * 1e-12, 1e-300)
     full = span * (1 + 1e-9) + floor_w
     w0 = initial_width if initial_width else max(span * min(1.0, 4.0 * k / per_group), floor_w)
     if span == 0.0 or w0 >= full:
-        top = _band_join(t, q, max(full, 1.0), metric, within, exclude_self, k, n_query, dim)
+        top = _band_join(t, q, max(full, 1.0), metric, within, exclude_self, k)
         return top.select(*within, "q_id", "t_id", "label", "dist", "slots")
 
-    first = _band_join(t, q, w0, metric, within, exclude_self, k, n_query, dim)
-    ok = (F.col("covered") >= k) & (F.col("worst") <= F.lit(w0 * (1 - MARGIN) - 1e-8))
-    first = cut_lineage(first.withColumn("resolved", ok).select(
-        *within, "q_id", "t_id", "label", "dist", "slots", "covered", "worst", "resolved"))
+    # How far a query's group reaches from it: a band that wide holds all of
+    # the group, and the query is final.
+    if within:
+        ends = t.groupBy(*within).agg(F.min("s").alias("g_lo"), F.max("s").alias("g_hi"))
+        q = q.join(ends, within)
+    else:
+        q = q.withColumn("g_lo", F.lit(float(st["lo"]))).withColumn("g_hi", F.lit(float(st["hi"])))
+    reach = F.greatest(F.col("s") - F.col("g_lo"), F.col("g_hi") - F.col("s")) * (1 + 1e-9) + F.lit(floor_w)
+    q = cut_lineage(q.withColumn("reach", reach).drop("g_lo", "g_hi"))
+    searched = q.drop("reach")
+    first = _band_join(t, searched, w0, metric, within, exclude_self, k)
+    near = (F.col("covered") >= k) & (F.col("worst") <= F.lit(w0 * (1 - MARGIN) - 1e-8))
+    first = cut_lineage(first.join(q.select(*within, "q_id", "reach"), within + ["q_id"]).select(
+        *within, "q_id", "t_id", "label", "dist", "slots", "covered", "worst",
+        (near | (F.col("reach") <= F.lit(w0))).alias("resolved")))
     done = [first.where("resolved").select(*within, "q_id", "t_id", "label", "dist", "slots")]
 
-    # Open queries and the width each needs (NULL need -> full span).
+    # Open queries and the width each needs: that of its k-th distance, at
+    # most its group's reach. Without a candidate within reach there is none.
     need = first.where(~F.col("resolved")).groupBy(*within, "q_id").agg(
         F.first(F.when(F.col("covered") >= k, F.col("worst"))).alias("need"))
     solved = first.where("resolved").select(*within, "q_id").distinct()
-    n_full = 0
-    while w0 * growth ** n_full < full:
-        n_full += 1
-    open_q = q.join(solved, within + ["q_id"], "left_anti").join(need, within + ["q_id"], "left")
-    # Class j >= 1 with w0 * growth^j >= need * (1 + margin); capped at the full span.
-    ratio = (F.col("need") * F.lit(1 + 1e-6) + F.lit(1e-8)) / F.lit(w0)
-    cls = F.when(F.col("need").isNull(), F.lit(n_full)).otherwise(
-        F.least(F.lit(n_full), F.greatest(F.lit(1), F.ceil(F.log(ratio) / F.lit(math.log(growth))))))
-    open_q = open_q.withColumn("cls", cls.cast("int"))
-    classes = [r[0] for r in open_q.select("cls").distinct().collect()]
-    for j in sorted(classes):
-        width = full if j >= n_full else w0 * growth ** j
-        qj = open_q.where(F.col("cls") == j).drop("cls", "need")
-        top = _band_join(t, qj, width, metric, within, exclude_self, k, n_query, dim)
+    open_q = q.where(F.col("reach") > F.lit(w0)).join(solved, within + ["q_id"], "left_anti") \
+        .join(need, within + ["q_id"], "left")
+    width = F.least(F.col("reach"), F.coalesce(F.col("need") * F.lit(1 + 1e-6) + F.lit(1e-8), F.col("reach")))
+    # Class j >= 1: the smallest with w0 * growth^j >= the width.
+    cls = F.greatest(F.lit(1), F.ceil(F.log(width / F.lit(w0)) / F.lit(math.log(growth)) + F.lit(1e-9)))
+    open_q = cut_lineage(open_q.withColumn("cls", cls.cast("int")))
+    for j in sorted(r[0] for r in open_q.select("cls").distinct().collect()):
+        qj = open_q.where(F.col("cls") == j).drop("cls", "need", "reach")
+        top = _band_join(t, qj, w0 * growth ** j, metric, within, exclude_self, k)
         done.append(top.select(*within, "q_id", "t_id", "label", "dist", "slots"))
     return reduce(DataFrame.unionByName, done)
 
