@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from copse.functions.argmax import argmax_label
-from copse.plans.broadcast import bounded_broadcast, checked_broadcast
+from copse.plans.broadcast import fits_broadcast
 from copse.plans.lineage import cut_lineage
 
 
@@ -120,6 +120,10 @@ def class_constants(model: dict, n_features: int, kind: str, alpha: float,
     return out
 
 
+#: Up to this many features are looked up one by one.
+ROW_LOCAL_FEATURES = 32
+
+
 def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int,
                  kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0):
     """Per row, the scores of every (model, class) slot as one array:
@@ -127,10 +131,11 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
 
     Each seen (feature, value) of the model carries one array of gains over
     all slots (zero where the class never saw the value); a row adds the
-    arrays of its features' values to the per-slot constants. The lookup is
-    a broadcast join on (feature, value) of the exploded row (the gain table
-    is bounded by features x values and checked); the per-row sums fold the
-    row's own feature entries, so no (row, class) rows are ever created."""
+    arrays of its features' values to the per-slot constants. While the gain
+    table is measured to be small, each feature is looked up by a broadcast
+    join of the row itself: no explode and no shuffle. Beyond that the rows
+    are exploded, joined by shuffle and summed up again. Equal row keys stay
+    apart, and a row without features gets the constants, either way."""
     if kind not in ("laplace", "reference"):
         raise ValueError("kind must be 'laplace' or 'reference'")
     if kind == "laplace" and alpha <= 0:
@@ -152,16 +157,23 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
         .select("feature", "value", F.transform(
             F.sequence(F.lit(0), F.lit(n_slots - 1)),
             lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("g"))
-    exploded = points.select("row_id", F.posexplode("features").alias("feature", "value")) \
+    per_value = cut_lineage(per_value)
+    if n_features <= ROW_LOCAL_FEATURES and fits_broadcast(per_value):
+        out = points.select("row_id", "features")
+        for j in range(n_features):
+            gains = per_value.where(F.col("feature") == j).select(F.col("value").alias(f"v{j}"), F.col("g").alias(f"g{j}"))
+            out = out.join(F.broadcast(gains), F.get("features", F.lit(j)) == F.col(f"v{j}"), "left").drop(f"v{j}")
+        total = F.array(*[sum((F.coalesce(F.get(f"g{j}", F.lit(i)), F.lit(0.0)) for j in range(n_features)), F.lit(base[sl]))
+                          for i, sl in enumerate(slots)])
+        return out.select("row_id", total.alias("scores")), slots
+    # A row of its own for each input row: equal keys stay apart and a row
+    # without features keeps the constants.
+    exploded = points.withColumn("__row", F.monotonically_increasing_id()) \
+        .select("__row", "row_id", F.posexplode_outer("features").alias("feature", "value")) \
         .withColumn("feature", F.col("feature").cast("int"))
-    gains = (bounded_broadcast(per_value, model["values_rows"]) if "values_rows" in model
-             else checked_broadcast(per_value))
-    looked = exploded.join(gains, ["feature", "value"], "left")
-    # One sum per slot: a row's feature entries sit in one task, so the
-    # partial aggregation folds them before the shuffle, which then carries
-    # one value per slot per row (never the per-feature arrays).
-    per_row = looked.groupBy("row_id").agg(
-        *[F.sum(F.col("g").getItem(i)).alias(f"s{i}") for i in range(n_slots)])
+    looked = exploded.join(per_value, ["feature", "value"], "left")
+    per_row = looked.groupBy("__row").agg(
+        F.first("row_id").alias("row_id"), *[F.sum(F.col("g").getItem(i)).alias(f"s{i}") for i in range(n_slots)])
     total = F.array(*[F.lit(base[sl]) + F.coalesce(F.col(f"s{i}"), F.lit(0.0))
                       for i, sl in enumerate(slots)])
     return per_row.select("row_id", total.alias("scores")), slots

@@ -86,3 +86,22 @@ def test_split_uses_every_row_once(spark):
     train, test = ensemble.split(points, 0.2)
     a, b = {r[0] for r in train.collect()}, {r[0] for r in test.collect()}
     assert not a & b and len(a | b) == 1000 and 140 < len(b) < 260
+
+
+def test_equal_keys_and_empty_vectors_are_scored(spark, monkeypatch):
+    from copse.operators import bayes
+    rows = [(0, i, 1, i % 2, [float(i % 3), float(i % 2)]) for i in range(30)]
+    bag = spark.createDataFrame(rows, "model_id int, row_id long, w int, label long, features array<double>")
+    model = bayes.fit(bag)
+    points = spark.createDataFrame([(1, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [])], "row_id long, features array<double>")
+
+    def scored():
+        arrays, _ = bayes.score_arrays(model, points, 2)
+        return sorted((r.row_id, [round(x, 9) for x in r.scores]) for r in arrays.collect())
+
+    want = scored()
+    assert [r[0] for r in want] == [1, 1, 2]
+    plan = bayes.score_arrays(model, points, 2)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    monkeypatch.setattr(bayes, "ROW_LOCAL_FEATURES", 0)
+    assert scored() == want
