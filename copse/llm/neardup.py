@@ -10,10 +10,10 @@ at similarity 0.8 is missed with probability below 1e-5 (all five chunks
 must have three or more differing values of six).
 
 Pairs within a key are not listed. Documents with equal sets are one class
-from the start. Each class is compared with the smallest class of its
-keys; what these links connect needs no more comparisons. Only for keys
-whose classes are then still in several components are signatures compared
-across components, inside the tasks, in blocks: the classes outside a
+from the start. Each class is first compared with the smallest class of its
+keys, for the ``FIRST`` smallest of these; what such links connect needs no
+more comparisons. For every key whose classes are then still in several
+components, signatures are compared across components, inside the tasks, in blocks: the classes outside a
 key's largest component against all of it. Pairs that meet under several
 keys are taken up under the first.
 
@@ -56,6 +56,8 @@ VALUES = CHUNKS * WIDTH
 #: Signature distances up to here are guaranteed to be found.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 GROUP = 64
+#: Comparisons of a class before those across components.
+FIRST = 4
 #: Classes of one block of comparisons under a key: outside, and in all.
 BLOCK_LEFT, BLOCK_RIGHT = 1024, 4096
 BINS = 1024
@@ -221,10 +223,9 @@ def confirm(near: DataFrame, store: DataFrame, k: int, percent: int) -> DataFram
 
 def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b): classes of a key in different components whose signatures and
-    sketches allow a link. ``members``: key, no, v, comp, pivot (which has
-    been compared with all others of its key)."""
+    sketches allow a link. ``members``: key, no, v, comp."""
     mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    rest = members.join(mixed, "key").where("v != pivot")
+    rest = members.join(mixed, "key")
     size = rest.groupBy("key", "comp").count().groupBy("key").agg(
         F.max(F.struct("count", "comp")).alias("m"), F.sum("count").alias("n"))
     size = size.select("key", F.col("m.comp").alias("main"),
@@ -294,14 +295,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     keys = index_keys(classes)
     buckets = steps.save(keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
                          .where("size > 1"), "buckets")
-    members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot", "size"), "members")
-    pairs = members.where("v != pivot").select(F.col("v").alias("a"), F.col("pivot").alias("b")).distinct()
+    members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot"), "members")
+    pairs = members.where("v != pivot").groupBy(F.col("v").alias("a")).agg(F.collect_set("pivot").alias("bs")) \
+        .select("a", F.explode(F.slice(F.array_sort("bs"), 1, FIRST)).alias("b"))
     near = steps.save(close(pairs, classes, percent), "near")
     links = steps.save(confirm(near, store, k, percent), "links")
     star = contract(links, steps)
     named = labels(star)
     named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
-    open_keys = members.where("size > 2").join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+    open_keys = members.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     near = steps.save(close(across(open_keys, classes, percent), classes, percent), "near")
     more = steps.save(confirm(near, store, k, percent), "links")
     label = labels(contract(star.unionByName(more), steps))
