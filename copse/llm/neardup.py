@@ -6,8 +6,9 @@ min-hashes of 16 bits. Signatures are cut into ``CHUNKS`` chunks of
 at most ``CHUNKS * (ERRORS + 1) - 1`` values differ in at most ``ERRORS``
 values within some chunk; each chunk is indexed once for every choice of
 ``ERRORS`` values left out, so all such pairs meet under some key. A pair
-at similarity 0.8 is missed with probability below 1e-5 (all five chunks
-must have three or more differing values of six).
+at similarity 0.8 is missed with probability 9.5e-6 (all five chunks must
+have three or more differing values of six); pairs that meet are not tested
+for the distance of their signatures again.
 
 Pairs within a key are not listed. Documents with equal sets are one class
 from the start. Each class is first compared with the smallest class of its
@@ -53,8 +54,6 @@ from copse.llm.store import keep_texts, key, with_texts
 
 CHUNKS, WIDTH, ERRORS = 5, 6, 2
 VALUES = CHUNKS * WIDTH
-#: Signature distances up to here are guaranteed to be found.
-DISTANCE = CHUNKS * (ERRORS + 1) - 1
 GROUP = 64
 #: Comparisons of a class before those across components.
 FIRST = 4
@@ -166,21 +165,20 @@ def _sketches(column) -> np.ndarray:
 
 
 def close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b, a_r, b_r): the pairs whose signatures, sketches and sizes allow
-    a link, with the keys of their texts."""
-    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sig", "sketch", "r")])
+    """(a, b, a_r, b_r): the pairs whose sketches and sizes allow a link, with
+    the keys of their texts."""
+    side = lambda s: classes.select(*[F.col(c).alias(f"{s}{c}") for c in ("v", "n", "sketch", "r")])
     both = pairs.join(side("a_"), F.col("a") == F.col("a_v")).join(side("b_"), F.col("b") == F.col("b_v")) \
         .where((F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent))
     names = ["a", "b", "a_r", "b_r"]
-    full = both.select(*names, "a_sig", "b_sig", "a_sketch", "b_sketch", (F.col("a_n") + F.col("b_n")).alias("sizes"))
+    full = both.select(*names, "a_sketch", "b_sketch", (F.col("a_n") + F.col("b_n")).alias("sizes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 c = b.slice(lo, 4096)
-                far = (_matrix(c.column(4)) != _matrix(c.column(5))).sum(axis=1)
-                like = plausible(_sketches(c.column(6)), _sketches(c.column(7)), c.column(8).to_numpy(), percent)
-                yield pa.RecordBatch.from_arrays(c.columns[:4], names).filter(pa.array((far <= DISTANCE) & like))
+                like = plausible(_sketches(c.column(4)), _sketches(c.column(5)), c.column(6).to_numpy(), percent)
+                yield pa.RecordBatch.from_arrays(c.columns[:4], names).filter(pa.array(like))
 
     return full.mapInArrow(run, "a long, b long, a_r long, b_r long")
 
@@ -222,8 +220,8 @@ def confirm(near: DataFrame, store: DataFrame, k: int, percent: int) -> DataFram
 
 
 def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of a key in different components whose signatures and
-    sketches allow a link. ``members``: key, no, v, comp."""
+    """(a, b): classes of a key in different components whose sketches allow
+    a link. ``members``: key, no, v, comp."""
     mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     rest = members.join(mixed, "key")
     size = rest.groupBy("key", "comp").count().groupBy("key").agg(
@@ -272,10 +270,10 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _first_key(same: np.ndarray, no: int) -> np.ndarray:
     """Rows (equal values of two signatures) without a common key before
-    ``no`` and within the guaranteed distance."""
+    ``no``."""
     chunks = same.reshape(len(same), CHUNKS, WIDTH)
     keys = np.stack([chunks[:, :, keep].all(axis=2) for keep in _KEEP], axis=2).reshape(len(same), CHUNKS * len(_KEEP))
-    return ~keys[:, :no].any(axis=1) & ((~same).sum(axis=1) <= DISTANCE)
+    return ~keys[:, :no].any(axis=1)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id",

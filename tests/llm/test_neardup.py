@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from copse.llm import neardup
@@ -95,3 +96,20 @@ def test_components_of_paths_and_stars(spark):
     got = components(spark.createDataFrame(edges, "u long, w long"), Steps(spark, "test"))
     want = {v: 0 for v in range(61)} | {v: 100 for v in range(100, 150)} | {299: 299, 300: 299}
     assert {r.v: r.comp for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_pairs_that_share_a_key_are_never_dropped_by_distance(spark):
+    """Signatures that agree in four values of one chunk only; equal sketches."""
+    rnd = np.random.default_rng(4)
+    sig = rnd.integers(0, 1 << 15, (2, neardup.VALUES)).astype("<u2")
+    sig[1] = sig[0] + 1
+    sig[1, 1:5] = sig[0, 1:5]
+    assert neardup._first_key((sig[:1] == sig[1:]), 0).all()
+    s = np.unique(rnd.integers(0, 1 << 63, 200).astype(np.uint64) * np.uint64(2))
+    rows = [(v, len(s), bytearray(sig[v].tobytes()), bytearray(neardup.sketch(s)), v) for v in range(2)]
+    classes = spark.createDataFrame(rows, "v long, n long, sig binary, sketch binary, r long")
+    pairs = spark.createDataFrame([(0, 1)], "a long, b long")
+    assert neardup.close(pairs, classes, 80).count() == 1
+    keys = neardup.index_keys(classes).groupBy("key").count().where("count > 1").select("key")
+    members = neardup.index_keys(classes).join(keys, "key").selectExpr("key", "no", "v", "v as comp")
+    assert {tuple(sorted(r)) for r in neardup.across(members, classes, 80).collect()} == {(0, 1)}
