@@ -72,14 +72,13 @@ class Model:
         return out - DRIFT
 
     def evidence(self, n: int, scores: list[float]) -> float:
-        """-log of the smallest tail probability over the r best segments,
-        each r paying r bits for having been tried."""
+        """-log of the smallest tail probability over the r best segments, for
+        every r, each paying r bits for having been tried."""
         best = 0.0
-        for r, s in enumerate(sorted(scores, reverse=True)[:8], 1):
+        for r, s in enumerate(sorted(scores, reverse=True), 1):
             e = self.k * n * math.exp(-self.decay * s)
-            tail = 1.0 - sum(math.exp(-e) * e**j / math.factorial(j) for j in range(r)) if e > 0.05 else \
-                e**r / math.factorial(r)
-            best = max(best, -math.log(max(tail, 1e-300)) - r * math.log(2))
+            if e < r:  # otherwise r or more are as likely as not
+                best = max(best, -log_tail(r, e) - r * math.log(2))
         return min(best, 60.0)
 
     def probability(self, evidence: float) -> float:
@@ -87,6 +86,19 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, a + b * evidence))))
 
 
+def log_tail(r: int, e: float) -> float:
+    """Log of the probability of ``r`` or more events where ``e`` < ``r`` are
+    expected (Poisson): the first term times a falling series."""
+    if e <= 0.0:
+        return -math.inf
+    total, term, j = 1.0, 1.0, r
+    while term > 1e-15 * total:
+        j += 1
+        term *= e / j
+        total += term
+    return r * math.log(e) - e - math.lgamma(r + 1) + math.log(total)
+
+
 def features(roll: X.Rolling, w: X.Words, length: int | None) -> np.ndarray:
     """Hash of each word's first ``length`` bytes, or of the whole word; a
     word is marked as ended where the beginning is all of it."""

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -93,3 +94,21 @@ def test_empty_tables_and_one_class(spark):
     few = docs.where("doc_id < 20")
     for none in (labels.where("false"), labels.where("toxic = 0")):
         assert not any(r.predicted for r in toxicity.score(few, none).collect())
+
+
+def test_evidence_counts_every_segment():
+    """Long texts with many medium passages; figures from exact sums."""
+    model = toxicity.Model(k=0.09, decay=1.0)
+    assert model.evidence(5000, [4.2] * 40) == pytest.approx(12.8, abs=0.05)
+    assert model.evidence(5000, [4.0] * 60) == pytest.approx(28.6, abs=0.05)
+    assert model.evidence(5000, [4.2] * 8) == 0.0 and model.evidence(0, []) == 0.0
+
+
+@pytest.mark.parametrize("r,e", [(1, 1e-6), (1, 0.9), (5, 0.04), (8, 3.0), (40, 6.7), (300, 250.0)])
+def test_log_tail_equals_the_sum(r, e):
+    from fractions import Fraction
+    x, above = Fraction(e), Fraction(0)
+    for j in range(r, r + 400):
+        above += x ** (j - r) * math.factorial(r) / math.factorial(j)
+    want = r * math.log(e) - e - math.lgamma(r + 1) + math.log(above)
+    assert toxicity.log_tail(r, e) == pytest.approx(want, rel=1e-9)
