@@ -26,6 +26,7 @@ documents give repeated rows; empty tables give an empty or a clean result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -134,18 +135,19 @@ def winnow(h: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(best == h)
 
 
-def benchmark_blocks(items: DataFrame, item_id: str, text: str) -> list[tuple[list, list[bytes]]]:
-    """The benchmark, cut into blocks of bounded size, streamed to the driver."""
-    out, ids, texts, size = [], [], [], 0
+def benchmark_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[tuple[list, list[bytes]]]:
+    """The benchmark, cut into blocks of bounded size, streamed through the
+    driver: it holds a block and a partition of the items at a time."""
+    ids, texts, size = [], [], 0
     for row in items.select(F.col(item_id), F.encode(F.col(text), "UTF-8")).toLocalIterator():
         t = bytes(row[1] or b"")
         if ids and size + len(t) > 2 * BLOCK_WORDS:
-            out.append((ids, texts))
+            yield ids, texts
             ids, texts, size = [], [], 0
         ids.append(row[0])
         texts.append(t)
         size += len(t)
-    return out + [(ids, texts)]
+    yield ids, texts
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -156,17 +158,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     spark = docs.sparkSession
     parts = benchmark_blocks(items, item_id, item_text)
     thin = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    if len(parts) > 1:
+    first, second = next(parts), next(parts, None)
+    if second is not None:
         steps = Steps(spark, "decontam")
         thin = steps.save(thin.withColumn("row", F.monotonically_increasing_id()), "rows")
         found = None
-        for part in parts:
+        for part in chain((first, second), parts):  # broadcast, and so on disk, before the next is read
             one = _scan(thin, part, "row")
             found = one if found is None else found.unionByName(one)
         merged = found.groupBy("row").applyInPandas(
             _merge, "row long, " + RESULT)
         return thin.drop("text").join(merged, "row").drop("row")
-    return _scan(thin, parts[0], "doc_id")
+    return _scan(thin, first, "doc_id")
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",

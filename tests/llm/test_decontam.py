@@ -76,3 +76,26 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     assert decontam.decontaminate(d, b).count() == 0
     assert [(r.n_words, r.contaminated) for r in decontam.decontaminate(one, b).collect()] == [(2, False)]
+
+
+def test_blocks_are_broadcast_while_the_benchmark_is_read(spark, monkeypatch):
+    docs, items = fixture()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 20)
+    blocks, scan, read, ahead = decontam.benchmark_blocks, decontam._scan, [], []
+
+    def reading(*a):
+        for part in blocks(*a):
+            read.append(part)
+            yield part
+
+    def scanning(thin, part, key):
+        ahead.append(len(read) - len(ahead))
+        return scan(thin, part, key)
+
+    monkeypatch.setattr(decontam, "benchmark_blocks", reading)
+    monkeypatch.setattr(decontam, "_scan", scanning)
+    decontam.decontaminate(d, b)
+    assert len(ahead) == len(read) > 3 and max(ahead) <= 2
+    assert iter(parts := blocks(b, "item_id", "text")) is parts
