@@ -157,6 +157,74 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import repair
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
+#: crc32 of an ASCII string, bit by bit.
+CRC32_SQL = """xor(list_reduce(list_transform(string_split({0}, ''), lambda ch: ascii(ch)::UBIGINT), lambda c, b:
+    list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, z:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END, xor(c, b)),
+    4294967295::UBIGINT), 4294967295::UBIGINT)"""
+
+OP13_SQL = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {CRC32_SQL.format("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM k, unnest(CASE kind WHEN 0 THEN []::INT[] WHEN 3 THEN [1, 2] ELSE [1] END)),
+g AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again FROM d),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i,
+         trim(text, E' \t\n\x0b\x0c\r') AS words FROM g),
+f AS (
+  SELECT *, substr(role, 1, 1) AS r,
+         CASE WHEN words = '' THEN 'blank' WHEN again THEN 'duplicate'
+              WHEN right(words, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+n AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+moves(q, s, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+edits(letter, price) AS (VALUES ('K', 0), ('R', 2), ('D', 3)),
+-- one insert at most before a row: two in a gap are never cheapest
+p(conv_id, i, q, cost, audit, lines) AS (
+  SELECT conv_id, 0::BIGINT, 0, 0::BIGINT, '', []::VARCHAR[] FROM n
+  UNION ALL
+  SELECT conv_id, i, q, (least_).cost, (least_).audit, (least_).lines FROM (
+    SELECT p.conv_id, f.i, w.t AS q, min(struct_pack(
+             cost := p.cost + w.inserted * 2 + e.price + (e.letter <> 'D' AND f.fault = 'truncated')::INT,
+             audit := p.audit || CASE WHEN w.inserted = 1 THEN 'I' ELSE '' END || e.letter,
+             lines := p.lines || CASE WHEN w.inserted = 1 THEN [w.made || ':'] ELSE [] END
+                      || CASE e.letter WHEN 'K' THEN [f.role || ':' || f.text] WHEN 'R' THEN [w.named || ':' || f.text] ELSE [] END)) AS least_
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1 CROSS JOIN edits e
+    JOIN (SELECT a.q, a.inserted, a.made, b.letter, b.s, b.t, CASE b.s WHEN 'u' THEN 'user' WHEN 'a' THEN 'assistant' END AS named
+          FROM (SELECT DISTINCT q, 0 AS inserted, NULL AS made, q AS mid FROM (SELECT q FROM moves UNION SELECT t FROM moves)
+                UNION ALL SELECT q, 1, CASE s WHEN 'u' THEN 'user' ELSE 'assistant' END, t FROM moves WHERE s <> 's') a
+          JOIN (SELECT q, l AS letter, s, t FROM moves, (VALUES ('K'), ('R')) v(l) WHERE l = 'K' OR s <> 's'
+                UNION ALL SELECT DISTINCT q, 'D', NULL, q FROM (SELECT q FROM moves UNION SELECT t FROM moves)) b ON b.q = a.mid) w
+      ON w.q = p.q AND w.letter = e.letter AND (e.letter <> 'K' OR w.s = f.r)
+     AND (e.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+    GROUP BY p.conv_id, f.i, w.t)),
+z AS (
+  SELECT conv_id, min(struct_pack(cost := cost + (q = 2)::INT * 2, audit := audit || CASE WHEN q = 2 THEN 'I' ELSE '' END,
+                                  lines := lines || CASE WHEN q = 2 THEN ['assistant:'] ELSE [] END)) AS best
+  FROM p JOIN n USING (conv_id) WHERE p.i = n.rows AND q <> 1 GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce((best).cost, 0)::BIGINT AS cost, coalesce((best).audit, '') AS audit,
+       sha256(coalesce(array_to_string((best).lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n USING (conv_id) LEFT JOIN z USING (conv_id)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_quality_rules": op2_quality_rules,
@@ -168,6 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicate_passages": op8_near_duplicate_passages,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
+    "op13_repair_conversations": op13_repair_conversations,
 }
 
 ORACLES: dict[str, str] = {
@@ -175,4 +244,5 @@ ORACLES: dict[str, str] = {
     "op5_near_duplicates": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
+    "op13_repair_conversations": OP13_SQL,
 }
