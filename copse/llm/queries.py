@@ -157,6 +157,21 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from copse.llm import periods
+    d = table(spark, sf_dir, "documents")
+    found = periods.periodic_runs(d, 6, 4, text=periods.repeat_tail(d["doc_id"], d["text"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import repair
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
@@ -168,6 +183,31 @@ CRC32_SQL = """xor(list_reduce(list_transform(string_split({0}, ''), lambda ch:
         CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END, xor(c, b)),
     4294967295::UBIGINT), 4294967295::UBIGINT)"""
 
+OP12_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS v,
+                  {CRC32_SQL.format("doc_id::VARCHAR")} AS h FROM documents),
+m AS (SELECT *, len(v) AS n, h // 10 % greatest(len(v), 1) AS a FROM t),
+x AS (SELECT *, 1 + (n - a) // (3 + h // 10 % 8) AS p FROM m),
+d AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+             THEN list_transform(range(n), lambda i: v[(1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END)::BIGINT])
+             ELSE v END AS w FROM x),
+g AS (SELECT r, n, unnest(range(n - 4)) AS i,
+             unnest(list_transform(range(n - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS gram FROM d WHERE n >= 6),
+e AS (SELECT a.r, a.i, b.i - a.i AS q FROM g a JOIN g b ON a.r = b.r AND a.gram = b.gram AND a.i < b.i
+      WHERE 4 * (b.i - a.i) <= a.n),
+s AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM e),
+c AS (SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM s GROUP BY r, q, island),
+runs AS (SELECT r, start, length, min(q) AS period FROM c WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+drops AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+u AS (SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS listed,
+             min(struct_pack(l := -length, s := start, p := period)) AS best FROM runs GROUP BY r),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS text
+         FROM (SELECT r, unnest(w) AS x, unnest(range(n)) AS i FROM d WHERE r IN (SELECT r FROM runs)) ANTI JOIN drops USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, (best).s::BIGINT AS start, -(best).l::BIGINT AS length,
+       (best).p::BIGINT AS period, (1000 * -(best).l // (best).p)::BIGINT AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, array_to_string(w, ' '))) AS collapsed_sha256
+FROM d LEFT JOIN u USING (r) LEFT JOIN kept USING (r)"""
+
 OP13_SQL = rf"""
 WITH RECURSIVE k AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
@@ -236,6 +276,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicate_passages": op8_near_duplicate_passages,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_repair_conversations": op13_repair_conversations,
 }
 
@@ -244,5 +285,6 @@ ORACLES: dict[str, str] = {
     "op5_near_duplicates": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op9_mix_sources": OP9_SQL,
+    "op12_periodic_runs": OP12_SQL,
     "op13_repair_conversations": OP13_SQL,
 }
