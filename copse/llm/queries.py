@@ -157,6 +157,16 @@ def op10_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_encode_and_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from copse.llm import bpe
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from copse.llm import periods
     d = table(spark, sf_dir, "documents")
@@ -276,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicate_passages": op8_near_duplicate_passages,
     "op9_mix_sources": op9_mix_sources,
     "op10_count_tokens": op10_count_tokens,
+    "op11_encode_and_decode": op11_encode_and_decode,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_repair_conversations": op13_repair_conversations,
 }
