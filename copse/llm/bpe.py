@@ -45,7 +45,7 @@ from copse.llm.tokens import PLAIN, byte_symbols
 
 #: Pre-tokens that a task remembers before it starts anew.
 CACHE_ENTRIES = 400_000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 
 #: Fixed value: the pre-token rule of byte-level BPE, and the same for texts
 #: of ``PLAIN`` characters, where Python's classes agree.
@@ -183,7 +183,7 @@ class Encoder:
         self.numbers = Numbers()
         for token in self.vocabulary.special:
             self.numbers["special", token] = len(self.numbers)
-        self.ids = np.array(list(self.vocabulary.special.values()), np.int64)
+        self.ids = np.array(list(self.vocabulary.special.values()), np.int32)
         self.count = np.ones(len(self.ids), np.int64)
         self.start = np.arange(len(self.ids))
 
@@ -209,12 +209,12 @@ class Encoder:
         number = self.numbers.__getitem__
         if self.special is None or not self.special.search(text):
             words = self.pre_tokens(text)
-            return np.fromiter(map(number, words), np.int64, len(words))
+            return np.fromiter(map(number, words), np.int32, len(words))
         out, done = [], 0
         for m in self.special.finditer(text):
             out += [*map(number, self.pre_tokens(text[done:m.start()])), number(("special", m.group()))]
             done = m.end()
-        return np.array([*out, *map(number, self.pre_tokens(text[done:]))], np.int64)
+        return np.array([*out, *map(number, self.pre_tokens(text[done:]))], np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, concatenated, and the number of each text's."""
@@ -224,9 +224,9 @@ class Encoder:
         if self.numbers.new:
             ids, count = merge([w.encode() for w in self.numbers.new], self.vocabulary)
             self.start = np.concatenate((self.start, len(self.ids) + np.cumsum(count) - count))
-            self.ids, self.count = np.concatenate((self.ids, ids)), np.concatenate((self.count, count))
+            self.ids, self.count = np.concatenate((self.ids, ids.astype(np.int32))), np.concatenate((self.count, count))
             self.numbers.new.clear()
-        words = np.concatenate([np.empty(0, np.int64), *coded])
+        words = np.concatenate([np.empty(0, np.int32), *coded])
         count = self.count[words]
         place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         ids = self.ids[np.repeat(self.start[words], count) + place]
@@ -251,7 +251,7 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
             for lo, hi in X.blocks(raw, BLOCK_BYTES):
                 ids, count = encoder.encode([t.decode() for t in raw[lo:hi]])
                 offsets = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), lists], ["doc_id", "ids"])
 
     return thin.mapInArrow(run, T.StructType([thin.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
