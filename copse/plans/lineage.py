@@ -6,9 +6,9 @@ written files, so a lost executor does not force recomputation of every
 earlier level. ``localCheckpoint`` is never used: its blocks live on
 executors and die with them.
 
-The folder is the session's ``spark.checkpoint.dir``; where that is unset
-(tests, the bench) it is the session's warehouse folder. Driver and
-executors see both.
+The folder is the session's ``spark.checkpoint.dir``. Where that is unset,
+a local master (tests, the bench) uses its warehouse folder, and any other is
+refused: the default warehouse is a folder of the driver alone.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def step_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 

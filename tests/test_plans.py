@@ -1,7 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from copse.plans.broadcast import bounded_broadcast, checked_broadcast
-from copse.plans.lineage import cut_lineage, ensure_checkpoint_dir
+from copse.plans.lineage import cut_lineage, step_folder
 from copse.plans.partitioning import parallelism, spread
 from copse.sources.tables import table
 from tests.conftest import SF001
@@ -20,13 +21,28 @@ def test_checked_broadcast_respects_limit(spark):
 
 
 def test_cut_lineage_reads_back_from_checkpoint_folder(spark):
-    root = ensure_checkpoint_dir(spark)
     df = spark.range(100).withColumn("x", F.col("id") * 2)
     cut = cut_lineage(df)
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "parquet" in plan.lower() and "Range" not in plan
     assert sorted(r.x for r in cut.collect()) == [2 * i for i in range(100)]
-    assert root
+    assert all(f.startswith(("file:", "/")) and "/copse-tables/" in f for f in cut.inputFiles())
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+        conf = spark.conf
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(RuntimeError):
+            step_folder(Cluster)
+    spark.conf.set("spark.checkpoint.dir", "/shared/steps/")
+    try:
+        assert step_folder(Cluster) == "/shared/steps"
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_spread_only_when_too_few_partitions(spark):
