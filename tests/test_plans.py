@@ -29,20 +29,19 @@ def test_cut_lineage_reads_back_from_checkpoint_folder(spark):
     assert all(f.startswith(("file:", "/")) and "/copse-tables/" in f for f in cut.inputFiles())
 
 
-def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
-    class Cluster:
-        class sparkContext:
-            master = "spark://host:7077"
-        conf = spark.conf
-
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        with pytest.raises(RuntimeError):
-            step_folder(Cluster)
-    spark.conf.set("spark.checkpoint.dir", "/shared/steps/")
-    try:
-        assert step_folder(Cluster) == "/shared/steps"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+class FakeSession:
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = conf
+
+
+def test_a_cluster_needs_a_shared_folder():
+    warehouse = {"spark.sql.warehouse.dir": "file:/here/"}
+    assert step_folder(FakeSession("local[4]", **warehouse)) == "file:/here"
+    with pytest.raises(RuntimeError):
+        step_folder(FakeSession("spark://host:7077", **warehouse))
+    named = warehouse | {"spark.checkpoint.dir": "/shared/steps/"}
+    assert step_folder(FakeSession("spark://host:7077", **named)) == "/shared/steps"
 
 
 def test_spread_only_when_too_few_partitions(spark):
