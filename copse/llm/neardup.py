@@ -14,9 +14,13 @@ Pairs within a key are not listed. Documents with equal sets are one class
 from the start. Each class is first compared with the smallest class of its
 keys, for the ``FIRST`` smallest of these; what such links connect needs no
 more comparisons. For every key whose classes are then still in several
-components, signatures are compared across components, inside the tasks, in blocks: the classes outside a
-key's largest component against all of it. Pairs that meet under several
-keys are taken up under the first.
+components, signatures are compared across components, inside the tasks, in
+blocks: the classes outside a key's largest component against all of it. A
+class gives out its likeliest partners only, few at first; they are
+confirmed, what they connect drops out, and the next round gives out more of
+what is still apart. A round that held nothing back is the last, so every pair
+has been confirmed, refused, or connected otherwise. Pairs that meet under
+several keys are taken up under the first.
 
 A sketch (the smallest shingle hash of each of 1,024 bins, 8 bits) tests a
 pair before its texts are fetched; a pair at similarity 0.8 fails by six
@@ -43,14 +47,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from copse.llm import text as X
 from copse.llm.components import contract, labels
 from copse.llm.scratch import Steps, shuffle_parts
-from copse.llm.store import keep_texts, key, with_texts
+from copse.llm.store import keep_texts, key, pick, with_texts
 
 CHUNKS, WIDTH, ERRORS = 5, 6, 2
 VALUES = CHUNKS * WIDTH
@@ -59,6 +62,8 @@ GROUP = 64
 FIRST = 4
 #: Classes of one block of comparisons under a key: outside, and in all.
 BLOCK_LEFT, BLOCK_RIGHT = 1024, 4096
+#: Partners that a class gives out in a block, by round; all in the last.
+ROUNDS = (4, 64, None)
 BINS = 1024
 #: Standard deviations that a sketch may fall short of the similarity.
 SLACK = 6.0
@@ -101,13 +106,17 @@ def plausible(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, percent: int) ->
     is the sum of the two sets' sizes. A sketch sees a share of the union
     (all of it, for sets much smaller than the sketch); only what it does
     not see varies."""
-    used = ((a | b) > 0).sum(axis=-1)
-    same = ((a == b) & (a > 0)).sum(axis=-1)
+    used, same = _shared(a, b)
     p = percent / 100
     unseen = np.clip(1 - used * (1 + p) / sizes, 0.02, 1)
     return same >= p * used - SLACK * np.sqrt(used * p * (1 - p) * unseen) - 2
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bins that a pair of sketches uses, and those in which they agree."""
+    return ((a | b) > 0).sum(axis=-1), ((a == b) & (a > 0)).sum(axis=-1)
+
+
 def describe(store: DataFrame, k: int) -> DataFrame:
     """doc_id, r (the text's key), h (hash of the text), n, digest of the
     set, signature, sketch."""
@@ -219,9 +228,10 @@ def confirm(near: DataFrame, store: DataFrame, k: int, percent: int) -> DataFram
     return rows.mapInArrow(run, "u long, w long").distinct()
 
 
-def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): classes of a key in different components whose sketches allow
-    a link. ``members``: key, no, v, comp."""
+def across(members: DataFrame, classes: DataFrame, percent: int, most: int | None = None) -> DataFrame:
+    """(a, b, more): classes of a key in different components whose sketches
+    allow a link; for each a in a block, the ``most`` likeliest, ``more`` telling
+    that some were held back. ``members``: key, no, v, comp."""
     mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     rest = members.join(mixed, "key")
     size = rest.groupBy("key", "comp").count().groupBy("key").agg(
@@ -247,7 +257,7 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             inside = b.column(6).to_numpy(zero_copy_only=False)
             sig, sk, n = _matrix(b.column(8)), _sketches(b.column(9)), b.column(10).to_numpy()
             new = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1) | (side[1:] != side[:-1])) + 1
-            found = [np.empty((0, 2), np.int64)]
+            found = [np.empty((0, 3), np.int64)]
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
                 if lo == hi:
                     continue
@@ -261,11 +271,16 @@ def across(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                     at = at[(100 * n[at] >= percent * na) & (100 * na >= percent * n[at])]
                     at = at[plausible(ka, sk[at], n[at] + na, percent)]
                     at = at[_first_key(sa == sig[at], int(no[lo]))]
-                    found.append(np.stack((np.full(len(at), a), v[at]), axis=1))
+                    more = most is not None and len(at) > most
+                    if more:
+                        used, same = _shared(ka, sk[at])
+                        at = at[np.lexsort((v[at], -same / used))[:most]]
+                    found.append(np.stack((np.full(len(at), a), v[at], np.full(len(at), more)), axis=1))
             pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()),
+                                              pa.array(pairs[:, 2].astype(bool))], ["a", "b", "more"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, more boolean")
 
 
 def _first_key(same: np.ndarray, no: int) -> np.ndarray:
@@ -281,7 +296,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     """Per document: doc_id, n_shingles, component_id, kept, h (hash of the
     text), first (true for one row of each component)."""
     steps = Steps(docs.sparkSession, "neardup")
-    store = keep_texts(docs, steps, doc_id, text)
+    return _groups(keep_texts(docs, steps, doc_id, text), steps, k, percent).drop("r")
+
+
+def _groups(store: DataFrame, steps: Steps, k: int, percent: int) -> DataFrame:
     rows = steps.save(describe(store, k), "rows")
     order = lambda *c: F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *c)
     classes = steps.save(
@@ -294,18 +312,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     buckets = steps.save(keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
                          .where("size > 1"), "buckets")
     members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot"), "members")
+    steps.drop(buckets)
     pairs = members.where("v != pivot").groupBy(F.col("v").alias("a")).agg(F.collect_set("pivot").alias("bs")) \
         .select("a", F.explode(F.slice(F.array_sort("bs"), 1, FIRST)).alias("b"))
     near = steps.save(close(pairs, classes, percent), "near")
     links = steps.save(confirm(near, store, k, percent), "links")
     star = contract(links, steps)
-    named = labels(star)
-    named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
-    open_keys = members.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
-    near = steps.save(close(across(open_keys, classes, percent), classes, percent), "near")
-    more = steps.save(confirm(near, store, k, percent), "links")
-    label = labels(contract(star.unionByName(more), steps))
-    return _result(rows, classes, label, order)
+    tried = None
+    for most in ROUNDS:
+        named = labels(star)
+        named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
+        apart = members.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+        pairs = steps.save(across(apart, classes, percent, most), "pairs")
+        new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        near = steps.save(close(new, classes, percent), "near")
+        links = steps.save(confirm(near, store, k, percent), "links")
+        star = contract(star.unionByName(links), steps)
+        if most is None or pairs.where("more").isEmpty():
+            break
+        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
+    steps.drop(members)
+    return _result(rows, classes, labels(star), order)
 
 
 def _result(rows: DataFrame, classes: DataFrame, label: DataFrame, order) -> DataFrame:
@@ -319,17 +346,13 @@ def _result(rows: DataFrame, classes: DataFrame, label: DataFrame, order) -> Dat
     kept: Column = F.when(F.col("best.doc_id").isNull(), first) \
         .otherwise(F.col("doc_id").eqNullSafe(F.col("best.doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("best.doc_id").alias("component_id"),
-                      kept.alias("kept"), "h", first.alias("first"))
+                      kept.alias("kept"), "h", first.alias("first"), "r")
 
 
 def dedupe(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id",
            text: str = "text") -> DataFrame:
-    """One document of each component, with all columns of ``docs``."""
-    first = near_duplicates(docs, k, percent, doc_id, text).where("first") \
-        .select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-    body = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), docs[doc_id].alias("_i"),
-                       F.xxhash64(docs[text]).alias("_t"))
-    same = W.partitionBy("_h", "_id").orderBy(F.xxhash64("_doc"))
-    return body.join(first, F.col("_t").eqNullSafe(F.col("_h")) & F.col("_i").eqNullSafe(F.col("_id"))) \
-        .withColumn("_n", F.row_number().over(same)).where("_n = 1") \
-        .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
+    """One document of each component, with all columns of ``docs``; only row
+    keys are shuffled to the rows."""
+    steps = Steps(docs.sparkSession, "dedupe")
+    store = keep_texts(docs, steps, doc_id, text, whole=True)
+    return pick(store, _groups(store, steps, k, percent).where("first"), "r", docs, text)

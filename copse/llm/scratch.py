@@ -2,9 +2,8 @@
 
 Operators that need several jobs write each step as Parquet below
 ``spark.checkpoint.dir`` and go on from the files, so a lost executor
-costs one step at most. Where the session names no folder (tests), the
-warehouse folder of the session is used; both are visible to the driver
-and all executors.
+costs one step at most. Where the session names no folder, a local master
+(tests) uses its warehouse folder, and any other is refused.
 """
 
 from __future__ import annotations
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 def root(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not conf and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return (conf or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
@@ -42,7 +43,7 @@ class Steps:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        """Empty step tables that nothing reads any more."""
+        """Empties step tables that nothing reads any more."""
         for t in tables:
             self.spark.createDataFrame([], t.schema).write.mode("overwrite").parquet(t._copse_path)
 

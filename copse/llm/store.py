@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +39,13 @@ def chunk_of(text_key: str | Column) -> Column:
     return F.shiftright(text_key, PLACE_BITS)
 
 
-def keep_texts(docs: DataFrame, steps: Steps, doc_id: str, text: str) -> DataFrame:
-    """The texts with chunk and place, bucketed by chunk."""
+def keep_texts(docs: DataFrame, steps: Steps, doc_id: str, text: str, whole: bool = False) -> DataFrame:
+    """The texts with chunk and place, bucketed by chunk; with ``whole``, the
+    other columns too, in the struct ``rest``."""
     thin = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.md5(docs[text]).alias("md5"))
+    if whole:
+        rest = F.struct(*[docs[c] for c in docs.columns if c != text] or [F.lit(None).alias("none")])
+        thin = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.md5(docs[text]).alias("md5"), rest.alias("rest"))
     schema = T.StructType([*T.StructType.fromDDL("chunk long, i int").fields, *thin.schema.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,6 +68,20 @@ def keep_texts(docs: DataFrame, steps: Steps, doc_id: str, text: str) -> DataFra
     return spark.table(name)
 
 
+def pick(store: DataFrame, wanted: DataFrame, key: str, docs: DataFrame, text: str) -> DataFrame:
+    """The rows that the column ``key`` of ``wanted`` names, with the columns of
+    ``docs``, from a store of ``whole`` rows. Keys are shuffled to the rows."""
+    asked = wanted.select(chunk_of(F.col(key)).alias("chunk"),
+                          F.col(key).bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int").alias("i"))
+    schema = T.StructType([store.schema["text"], store.schema["rest"]])
+
+    def run(rows: pa.Table, asks: pa.Table) -> pa.Table:
+        return rows.filter(pc.is_in(rows["i"], asks["i"].combine_chunks())).select(["text", "rest"])
+
+    found = store.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(run, schema)
+    return found.select(*[F.col("text") if c == text else F.col("rest").getField(c) for c in docs.columns]).toDF(*docs.columns)
+
+
 def per_chunk(store: DataFrame, side: DataFrame, schema: str | T.StructType, fn) -> DataFrame:
     """``fn(rows, copies, bits by kind)`` for each chunk; ``rows`` in place order."""
 
