@@ -9,6 +9,7 @@ times a row count reaches every row up to about 10**15 of them.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column
@@ -33,6 +34,11 @@ def uniform(seed: int, model, key) -> Column:
     return hash52(_key_text(seed, model, key)).cast("double") / F.lit(TWO52)
 
 
+def draw(seed: int, model, key) -> float:
+    """``uniform`` of one model and key, on the driver."""
+    return int(hashlib.md5(f"{seed}|{model}|{key}".encode()).hexdigest()[:HEX_DIGITS], 16) / TWO52
+
+
 def hash_range(h: Column, n_ranges: int) -> Column:
     """Range in [0, n_ranges) of a 52-bit hash; increases with the hash, so
     ranges follow the hash order whatever their number."""

@@ -51,9 +51,7 @@ def run(train: DataFrame, test: DataFrame, n_trees: int = 0, n_nb: int = 0, n_kn
             preds.append(bayes.predict(bayes.fit(of(n_trees, n_nb)), queries, n_features, alpha=smoothing))
         if n_knn:
             first = n_trees + n_nb
-            each = queries.select("row_id", "features").withColumn(
-                "model_id", F.explode(F.sequence(F.lit(first), F.lit(n_models - 1))))
-            preds.append(knn.predict(of(first, n_knn), each, k, metric, within=["model_id"], exclude_self=exclude_self))
+            preds.append(knn.bagged_predict(of(first, n_knn), queries, k, metric, n_knn, exclude_self, first))
         return vote.majority(vote.union_predictions(*preds))
     finally:
         points.unpersist()

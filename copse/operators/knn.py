@@ -1,154 +1,207 @@
 """k-nearest neighbours as joins (K1-K8).
 
-Exact search without a cross join
----------------------------------
-Every point gets a 1-D projection ``s`` that never exceeds the distance
-between two points (see ``functions.vectors.projection``). In a round with
-band width ``W``, training rows are keyed by ``band = floor(s / W)`` and
-each open query is replicated to bands b-1, b, b+1; an equi-join on
-(group keys, band) then yields every training row with |s_t - s_q| <= W,
-and no other row can be closer than W. The k best candidates per query
-(``row_number <= k``, which Spark plans as a per-partition group limit)
-are final when the k-th distance is <= W; the remaining queries go to the
-next round with W multiplied by ``growth``. Once W covers the whole span
-of projections the band holds every row of the group, so the search is
-exact for every query. Each round's output is bounded by queries x k and
-is checkpointed.
-
-On data whose projection spreads points out, a round touches a few times
-k candidates per query. On high-dimensional data with no structure the
-bound is weak and late rounds approach all pairs of a group; the
-bucketed search (K6) is the operator for that regime.
-
-Weights: a bag row with multiplicity w fills up to w neighbour slots.
-Ties: (distance rounded to 9 places, train id).
+Exact search over pivot cells
+-----------------------------
+A few training rows are pivots; every training row belongs to the cell of its
+nearest one, and a cell's count and its least and greatest distance from the
+pivot are kept (one row a cell). By the triangle inequality no row of a
+cell is nearer to a query than ``max(d - greatest, least - d)``, d being the
+query's distance from the pivot.
+
+1. Each query is joined with its nearest cells, as many as hold k rows.
+   Its k-th distance there bounds the final one.
+2. It is joined with every other cell whose bound allows a nearer or equal
+   row. No cell meets a query twice.
+
+The joins are on the cell; cells and their queries are cut into blocks, so a
+cell with a third of all rows is spread over many tasks. A block's distances
+are computed by numpy and only the k best of each query leave it. On vectors
+without structure the bounds exclude nothing, and all pairs are compared
+once; hashing (``lsh_predict``, ``bucketed_predict``) is for that regime.
+
+Bags (K7) share one search: candidates do not depend on the bag, weights are
+joined afterwards, and queries whose bag had too few of them go on with more.
+
+Keys and labels may have any orderable type. Weights: a bag row with
+multiplicity w fills up to w neighbour slots. Ties: (distance rounded to 9
+places, train id).
 """
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from copse.functions.argmax import argmax_label
+from copse.functions.draws import draw
 from copse.plans.broadcast import checked_broadcast
 from copse.plans.lineage import cut_lineage
+from copse.plans.partitioning import parallelism
 
-MARGIN = 1e-9
 #: Rows of a side of a block: the distance matrix of a block has 32 MB.
 BLOCK = 2048
+#: Pivots at most, their bytes at most, and the rows for which one is added.
+PIVOTS, PIVOT_BYTES, CELL = 128, 32 << 20, 256
 
 
-def _proj(metric: str, v: F.Column) -> F.Column:
+def _required(v: F.Column) -> F.Column:
     total = F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return total if metric == "l1" else total / F.sqrt(F.size(v).cast("double"))
+    return F.when(total.isNotNull(), v).otherwise(
+        F.raise_error("a point has no features or a NULL among them").cast("array<double>"))
+
 
+def _matrix(column) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64, copy=False)
 
-def _required(s: F.Column) -> F.Column:
-    return F.coalesce(s, F.raise_error("a point has no features or a NULL among them").cast("double"))
 
+def _distances(metric: str, q: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Left to right over the dimensions, as the SQL fold sums them, so that
+    values are bit-identical."""
+    if q.shape[1] != t.shape[1]:
+        raise ValueError("vectors of unequal length")
+    acc = np.zeros((len(q), len(t)))
+    for j in range(q.shape[1]):
+        d = q[:, j:j + 1] - t[None, :, j]
+        acc += np.abs(d) if metric == "l1" else d * d
+    return acc if metric == "l1" else np.sqrt(acc)
 
-def _block_kernel(metric: str, exclude_self: bool, k: int, within: list[str]):
-    """Distances between the training rows and the queries of one block
-    (at most ``block`` x ``block``), computed with numpy, left to right over
-    the dimensions as the SQL fold does (so values are bit-identical); the
-    k best (rounded distance, train id) per query are returned."""
-    import numpy as np
-    import pandas as pd
 
-    out_cols = within + ["q_id", "t_id", "label", "w", "dist", "rd"]
+def _block_kernel(metric: str, exclude_self: bool, k: int, keys: list[str]):
+    """The k best training rows of a block for each query of it, by (rounded
+    distance, train id)."""
+    columns = keys + ["q_id", "t_id", "label", "w", "dist", "rd"]
 
     def run(tdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if tdf.empty or qdf.empty:
-            return pd.DataFrame({c: [] for c in out_cols})
-        tx = np.stack(tdf["t_feat"].to_numpy()).astype(np.float64, copy=False)
-        qx = np.stack(qdf["q_feat"].to_numpy()).astype(np.float64, copy=False)
-        if tx.shape[1] != qx.shape[1]:
-            raise ValueError("vectors of unequal length")
-        acc = np.zeros((qx.shape[0], tx.shape[0]))
-        for j in range(tx.shape[1]):
-            d = qx[:, j:j + 1] - tx[None, :, j]
-            acc += np.abs(d) if metric == "l1" else d * d
-        dist = acc if metric == "l1" else np.sqrt(acc)
-        t_id = tdf["t_id"].to_numpy()
-        q_id = qdf["q_id"].to_numpy()
+            return pd.DataFrame(columns=columns, dtype=object)
+        tdf = tdf.sort_values("t_id", ignore_index=True)
+        dist = _distances(metric, _matrix(qdf["q_feat"]), _matrix(tdf["t_feat"]))
         rd = np.round(dist, 9)
         if exclude_self:
-            rd = np.where(q_id[:, None] == t_id[None, :], np.inf, rd)
-        kk = min(k, tx.shape[0])
-        rows_q, rows_t = [], []
-        cut = np.partition(rd, kk - 1, axis=1)[:, kk - 1] if kk < tx.shape[0] else np.full(len(q_id), np.inf)
-        for i in range(len(q_id)):
-            cand = np.nonzero(rd[i] <= cut[i])[0]
-            cand = cand[np.isfinite(rd[i, cand])]
-            order = np.lexsort((t_id[cand], rd[i, cand]))[:kk]
-            rows_q.append(np.full(len(order), i))
-            rows_t.append(cand[order])
-        qi = np.concatenate(rows_q) if rows_q else np.array([], dtype=int)
-        ti = np.concatenate(rows_t) if rows_t else np.array([], dtype=int)
-        out = {c: qdf[c].to_numpy()[qi] for c in within}
-        out.update(q_id=q_id[qi], t_id=t_id[ti], label=tdf["label"].to_numpy()[ti],
+            own = pd.Index(tdf["t_id"]).get_indexer_for(qdf["q_id"]) if tdf["t_id"].is_unique else None
+            if own is None:
+                rd[qdf["q_id"].to_numpy()[:, None] == tdf["t_id"].to_numpy()[None, :]] = np.inf
+            else:
+                rd[np.flatnonzero(own >= 0), own[own >= 0]] = np.inf
+        kk = min(k, len(tdf))
+        cut = np.partition(rd, kk - 1, axis=1)[:, kk - 1]
+        qi, ti = np.nonzero((rd <= cut[:, None]) & np.isfinite(rd))
+        order = np.lexsort((ti, rd[qi, ti], qi))
+        qi, ti = qi[order], ti[order]
+        first = np.searchsorted(qi, qi)
+        best = np.arange(len(qi)) - first < kk
+        qi, ti = qi[best], ti[best]
+        out = {c: qdf[c].to_numpy()[qi] for c in keys}
+        out.update(q_id=qdf["q_id"].to_numpy()[qi], t_id=tdf["t_id"].to_numpy()[ti], label=tdf["label"].to_numpy()[ti],
                    w=tdf["w"].to_numpy()[ti], dist=dist[qi, ti], rd=rd[qi, ti])
-        return pd.DataFrame(out, columns=out_cols)
+        return pd.DataFrame(out, columns=columns)
 
     return run
 
 
-def _band_join(t: DataFrame, q: DataFrame, width: float, metric: str, within: list[str],
-               exclude_self: bool, k: int, block: int = BLOCK) -> DataFrame:
-    """Candidates with |s_t - s_q| <= width, ranked; the k best slots per
-    query with ``covered`` (slots found) and ``worst`` (k-th distance).
+def _block_join(t: DataFrame, q: DataFrame, keys: list[str], k: int, metric: str, exclude_self: bool,
+                block: int) -> DataFrame:
+    """(keys, q_id, t_id, label, w, dist, rd): the k best candidates of every
+    block of the equi-join on ``keys``.
 
-    The band equi-join is decomposed into blocks: training rows of a
-    (group, band) are split into ``ceil(n_train / block)`` salts by train
-    id and its queries into ``ceil(n_query / block)`` chunks by query id;
-    each train salt meets each query chunk once. Every block holds at most
-    block x block pairs, so a band holding a third of all rows is spread
-    over many tasks instead of landing in one. Only bands above ``block``
-    rows (at most rows / block of them, checked) need the split table.
-    """
-    tb = t.withColumn("band", F.floor(F.col("s") / F.lit(width))).drop("s")
-    qb = q.withColumn("band", F.explode(F.array(
-        *[F.floor(F.col("s") / F.lit(width)) + F.lit(d) for d in (-1, 0, 1)]))).drop("s")
-    keys = within + ["band"]
-    tc = tb.groupBy(*keys).agg(F.count("*").alias("nt"))
-    qc = qb.groupBy(*keys).agg(F.count("*").alias("nq"))
+    Training rows of a key are split into ``ceil(n / block)`` salts by train
+    id and its queries into chunks by query id; each salt meets each chunk
+    once. Only keys above ``block`` rows (at most rows / block of them,
+    checked) need the split table."""
+    tc = t.groupBy(*keys).agg(F.count("*").alias("nt"))
+    qc = q.groupBy(*keys).agg(F.count("*").alias("nq"))
     hot = tc.join(qc, keys).where((F.col("nt") > block) | (F.col("nq") > block)).select(
         *keys, F.ceil(F.col("nt") / F.lit(block)).cast("int").alias("n_ts"),
         F.ceil(F.col("nq") / F.lit(block)).cast("int").alias("n_qc"))
     hot = checked_broadcast(cut_lineage(hot))
-    n_ts = F.coalesce(F.col("n_ts"), F.lit(1))
-    n_qc = F.coalesce(F.col("n_qc"), F.lit(1))
-    tb = tb.join(hot, keys, "left").select(
-        *keys, "t_id", "label", "w", "t_feat",
-        F.pmod(F.xxhash64("t_id"), n_ts).cast("int").alias("ts"),
-        F.explode(F.sequence(F.lit(0), n_qc - 1)).alias("qc"))
-    qb = qb.join(hot, keys, "left").select(
-        *keys, "q_id", "q_feat",
-        F.explode(F.sequence(F.lit(0), n_ts - 1)).alias("ts"),
-        F.pmod(F.xxhash64("q_id"), n_qc).cast("int").alias("qc"))
-    schema = ", ".join([f"{c} {dict(t.dtypes)[c]}" for c in within] +
-                       ["q_id bigint", "t_id bigint", "label bigint", "w int", "dist double", "rd double"])
-    gkeys = keys + ["ts", "qc"]
-    pairs = tb.groupBy(*gkeys).cogroup(qb.groupBy(*gkeys)).applyInPandas(
-        _block_kernel(metric, exclude_self, k, within), schema)
-    part = Window.partitionBy(*within, "q_id")
-    # Ranked by the same rounded distance that the blocks cut by.
-    order = part.orderBy("rd", "t_id")
+    n_ts, n_qc = F.coalesce("n_ts", F.lit(1)), F.coalesce("n_qc", F.lit(1))
+    own = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    tb = t.join(hot, keys, "left").select(*keys, "t_id", "label", "w", "t_feat", own("t_id", n_ts).alias("ts"), every(n_qc).alias("qc"))
+    qb = q.join(hot, keys, "left").select(*keys, "q_id", "q_feat", every(n_ts).alias("ts"), own("q_id", n_qc).alias("qc"))
+    schema = T.StructType([*[t.schema[c] for c in keys], q.schema["q_id"], t.schema["t_id"], t.schema["label"],
+                           *T.StructType.fromDDL("w int, dist double, rd double").fields])
+    by = keys + ["ts", "qc"]
+    return tb.groupBy(*by).cogroup(qb.groupBy(*by)).applyInPandas(_block_kernel(metric, exclude_self, k, keys), schema)
+
+
+def _top(pairs: DataFrame, part: list[str], k: int) -> DataFrame:
+    """The k best slots of each query, with ``slots``, ``covered`` (slots found)
+    and ``worst`` (the last one's distance)."""
+    own = Window.partitionBy(*part)
+    order = own.orderBy("rd", "t_id")
     # row_number <= k is planned as a partial group limit before the shuffle.
     top = pairs.withColumn("rk", F.row_number().over(order)).where(F.col("rk") <= k)
     before = F.coalesce(F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     top = top.withColumn("before", before).where(F.col("before") < k) \
         .withColumn("slots", F.least(F.col("w"), F.lit(k) - F.col("before")).cast("int"))
-    return top.withColumn("covered", F.sum("slots").over(part)) \
-        .withColumn("worst", F.max("dist").over(part))
+    return top.withColumn("covered", F.sum("slots").over(own)).withColumn("worst", F.max("dist").over(own))
+
+
+class Cells:
+    """Pivots of the training rows and the radii of their cells. The pivots
+    (``PIVOT_BYTES`` at most) and one row for each cell reach the driver."""
+
+    def __init__(self, train: DataFrame, metric: str, pivots: int):
+        rows = train.select("t_id", "t_feat").orderBy(F.xxhash64("t_id"), "t_id").limit(pivots).collect()
+        self.metric = metric
+        x = np.array([r.t_feat for r in rows], np.float64)
+        self.pivots = x[:max(1, PIVOT_BYTES // max(1, 8 * x.shape[1]))]
+        self.rows = cut_lineage(self._nearest(train))
+        found = self.rows.groupBy("cell").agg(F.count("*"), F.min("d"), F.max("d")).collect()
+        self.count = np.zeros(len(self.pivots), np.int64)
+        self.least, self.greatest = np.full(len(self.pivots), np.inf), np.full(len(self.pivots), -np.inf)
+        for cell, n, lo, hi in found:
+            self.count[cell], self.least[cell], self.greatest[cell] = n, lo, hi
+
+    def _nearest(self, train: DataFrame) -> DataFrame:
+        pivots, metric = self.pivots, self.metric
+        schema = T.StructType([*train.schema.fields, *T.StructType.fromDDL("cell int, d double").fields])
+
+        def run(batches):
+            for b in batches:
+                for lo in range(0, len(b), BLOCK):
+                    part = b.iloc[lo:lo + BLOCK]
+                    dist = _distances(metric, _matrix(part["t_feat"]), pivots)
+                    yield part.assign(cell=dist.argmin(axis=1).astype(np.int32), d=dist.min(axis=1))
+
+        return train.mapInPandas(run, schema)
+
+    def queries(self, q: DataFrame, k: int, further: bool) -> DataFrame:
+        """(q_id, q_feat, cell): the nearest cells that hold k rows, or, given the
+        k-th distance there (``worst``), all others that can hold a nearer row."""
+        pivots, metric, count, least, greatest = self.pivots, self.metric, self.count, self.least, self.greatest
+        schema = T.StructType([q.schema["q_id"], q.schema["q_feat"], T.StructField("cell", T.IntegerType())])
+
+        def run(batches):
+            for b in batches:
+                for lo in range(0, len(b), BLOCK):
+                    part = b.iloc[lo:lo + BLOCK]
+                    dist = _distances(metric, _matrix(part["q_feat"]), pivots)
+                    order = np.argsort(np.where(count > 0, dist, np.inf), axis=1, kind="stable")
+                    held = np.cumsum(count[order], axis=1) - count[order]
+                    take = np.zeros(dist.shape, bool)
+                    np.put_along_axis(take, order, held < k, axis=1)
+                    if further:
+                        bound = np.maximum(dist - greatest, least - dist)
+                        worst = part["worst"].to_numpy(np.float64, na_value=np.nan)
+                        worst = np.where(np.isnan(worst), np.inf, worst)
+                        # Slack for the rounding of distances to 9 places and of sums.
+                        take = ~take & (bound <= worst[:, None] * (1 + 1e-9) + 1e-8)
+                    row, cell = np.nonzero(take & (count > 0))
+                    if len(row):
+                        yield pd.DataFrame({"q_id": part["q_id"].to_numpy()[row], "q_feat": part["q_feat"].to_numpy()[row],
+                                            "cell": cell.astype(np.int32)})
+
+        return q.mapInPandas(run, schema)
 
 
 def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
            within: tuple[str, ...] | list[str] = (), exclude_self: bool = False,
-           growth: float = 2.0, initial_width: float | None = None) -> DataFrame:
+           pivots: int | None = None) -> DataFrame:
     """Exact top-k neighbours.
 
     train: (row_id, label, features[, w][, *within])
@@ -156,84 +209,37 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     returns (*within, q_id, t_id, label, dist, slots): at most k slots per
     (within, q_id); ``slots`` is how many of the k places the row fills.
 
-    Pass 1 joins at a narrow band. A query is final when its k-th distance
-    is inside the band, or when the band holds all of its group; otherwise
-    that k-th distance, or the group's reach, bounds how wide its band must
-    be. Pass 2 groups the open queries by the smallest width
-    ``w0 * growth^j`` that covers their bound and runs one band join per
-    width; all widths run in the same job. The worst case, vectors whose
-    projections say nothing about their distances, is all pairs of a group,
-    plus the pairs of pass 1.
+    With ``within``, a query meets all training rows of its group, in blocks;
+    without, pivot cells exclude rows (``pivots`` of them, by default one
+    for ``CELL`` training rows, ``PIVOTS`` at most).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
+    if metric not in ("l1", "l2"):
+        raise ValueError(f"unknown metric {metric!r}; use 'l1' or 'l2'")
     within = list(within)
-    has_w = "w" in train.columns
-    t = train.select(*within, F.col("row_id").alias("t_id"), "label",
-                     F.col("features").alias("t_feat"),
-                     (F.col("w") if has_w else F.lit(1)).cast("int").alias("w"))
-    t = t.withColumn("s", _required(_proj(metric, F.col("t_feat"))))
-    q = query.select(*within, F.col("row_id").alias("q_id"), F.col("features").alias("q_feat"))
-    q = q.withColumn("s", _required(_proj(metric, F.col("q_feat"))))
-
-    both = t.select("s", F.lit(1).alias("is_t"), *within).unionByName(q.select("s", F.lit(0).alias("is_t"), *within))
-    aggs = [F.min("s").alias("lo"), F.max("s").alias("hi"), F.max(F.abs("s")).alias("amax"),
-            F.sum("is_t").alias("n_train")]
-    if within:
-        aggs.append(F.count_distinct(*[F.when(F.col("is_t") == 1, F.col(c)) for c in within])
-                    .alias("n_groups"))
-    st = both.agg(*aggs).first()
-    if st["lo"] is None or not st["n_train"]:
-        return _empty(train.sparkSession, within)
-    n_groups = max(1, st["n_groups"]) if within else 1
-    per_group = max(1.0, st["n_train"] / n_groups)
-    span = float(st["hi"] - st["lo"])
-    floor_w = max(float(st["amax"]) * 1e-12, 1e-300)
-    full = span * (1 + 1e-9) + floor_w
-    w0 = initial_width if initial_width else max(span * min(1.0, 4.0 * k / per_group), floor_w)
-    if span == 0.0 or w0 >= full:
-        top = _band_join(t, q, max(full, 1.0), metric, within, exclude_self, k)
-        return top.select(*within, "q_id", "t_id", "label", "dist", "slots")
-
-    # How far a query's group reaches from it: a band that wide holds all of
-    # the group, and the query is final.
-    if within:
-        ends = t.groupBy(*within).agg(F.min("s").alias("g_lo"), F.max("s").alias("g_hi"))
-        q = q.join(ends, within)
-    else:
-        q = q.withColumn("g_lo", F.lit(float(st["lo"]))).withColumn("g_hi", F.lit(float(st["hi"])))
-    reach = F.greatest(F.col("s") - F.col("g_lo"), F.col("g_hi") - F.col("s")) * (1 + 1e-9) + F.lit(floor_w)
-    q = cut_lineage(q.withColumn("reach", reach).drop("g_lo", "g_hi"))
-    searched = q.drop("reach")
-    first = _band_join(t, searched, w0, metric, within, exclude_self, k)
-    near = (F.col("covered") >= k) & (F.col("worst") <= F.lit(w0 * (1 - MARGIN) - 1e-8))
-    first = cut_lineage(first.join(q.select(*within, "q_id", "reach"), within + ["q_id"]).select(
-        *within, "q_id", "t_id", "label", "dist", "slots", "covered", "worst",
-        (near | (F.col("reach") <= F.lit(w0))).alias("resolved")))
-    done = [first.where("resolved").select(*within, "q_id", "t_id", "label", "dist", "slots")]
-
-    # Open queries and the width each needs: that of its k-th distance, at
-    # most its group's reach. Without a candidate within reach there is none.
-    need = first.where(~F.col("resolved")).groupBy(*within, "q_id").agg(
-        F.first(F.when(F.col("covered") >= k, F.col("worst"))).alias("need"))
-    solved = first.where("resolved").select(*within, "q_id").distinct()
-    open_q = q.where(F.col("reach") > F.lit(w0)).join(solved, within + ["q_id"], "left_anti") \
-        .join(need, within + ["q_id"], "left")
-    width = F.least(F.col("reach"), F.coalesce(F.col("need") * F.lit(1 + 1e-6) + F.lit(1e-8), F.col("reach")))
-    # Class j >= 1: the smallest with w0 * growth^j >= the width.
-    cls = F.greatest(F.lit(1), F.ceil(F.log(width / F.lit(w0)) / F.lit(math.log(growth)) + F.lit(1e-9)))
-    open_q = cut_lineage(open_q.withColumn("cls", cls.cast("int")))
-    for j in sorted(r[0] for r in open_q.select("cls").distinct().collect()):
-        qj = open_q.where(F.col("cls") == j).drop("cls", "need", "reach")
-        top = _band_join(t, qj, w0 * growth ** j, metric, within, exclude_self, k)
-        done.append(top.select(*within, "q_id", "t_id", "label", "dist", "slots"))
-    return reduce(DataFrame.unionByName, done)
-
-
-def _empty(spark, within):
-    cols = ", ".join([f"{c} bigint" for c in within] +
-                     ["q_id bigint", "t_id bigint", "label bigint", "dist double", "slots int"])
-    return spark.createDataFrame([], cols)
+    t = train.select(*within, F.col("row_id").alias("t_id"), "label", _required(F.col("features")).alias("t_feat"),
+                     (F.col("w") if "w" in train.columns else F.lit(1)).cast("int").alias("w"))
+    q = query.select(*within, F.col("row_id").alias("q_id"), _required(F.col("features")).alias("q_feat"))
+    n = t.count()
+    block = min(BLOCK, max(128, -(-n // parallelism(train.sparkSession))))
+    out = within + ["q_id", "t_id", "label", "dist", "slots"]
+    if within or not n:
+        keys = within or ["cell"]
+        pairs = _block_join(t if within else t.withColumn("cell", F.lit(0)), q if within else q.withColumn("cell", F.lit(0)),
+                            keys, k, metric, exclude_self, block)
+        return _top(pairs, within + ["q_id"], k).select(*out)
+    cells = Cells(t, metric, pivots or max(1, min(PIVOTS, n // CELL)))
+    enough = k + exclude_self
+    near = cells.queries(q, enough, False)
+    kept = ["q_id", "t_id", "label", "w", "dist", "rd"]
+    join = lambda part: _block_join(cells.rows, part, ["cell"], k, metric, exclude_self, block).select(*kept)
+    if len(cells.pivots) == 1:
+        return _top(join(near), ["q_id"], k).select(*out)
+    first = cut_lineage(_top(join(near), ["q_id"], k).select(*kept, "covered", "worst"))
+    bound = first.groupBy("q_id").agg(F.max(F.when(F.col("covered") >= k, F.col("worst"))).alias("worst"))
+    more = join(cells.queries(q.join(bound, "q_id", "left"), enough, True))
+    return _top(first.select(*kept).unionByName(more), ["q_id"], k).select(*out)
 
 
 def vote(neighbours: DataFrame, within: tuple[str, ...] | list[str] = ()) -> DataFrame:
@@ -244,11 +250,12 @@ def vote(neighbours: DataFrame, within: tuple[str, ...] | list[str] = ()) -> Dat
 
 
 def predict(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
-            within: tuple[str, ...] | list[str] = (), exclude_self: bool = False) -> DataFrame:
+            within: tuple[str, ...] | list[str] = (), exclude_self: bool = False,
+            pivots: int | None = None) -> DataFrame:
     """K3 + K4 with a left join back to the queries, so a query with no
     neighbour (empty bucket) gets a NULL prediction: (*within, row_id, pred)."""
     within = list(within)
-    nb = search(train, query, k, metric, within, exclude_self)
+    nb = search(train, query, k, metric, within, exclude_self, pivots)
     votes = vote(nb, within).withColumnRenamed("q_id", "row_id")
     return query.select(*within, "row_id").join(votes, within + ["row_id"], "left")
 
@@ -264,8 +271,8 @@ def grid_bucket(features: str | F.Column, cell: float, metric: str = "l1") -> F.
 
 def bucketed_predict(train: DataFrame, query: DataFrame, k: int, cell: float,
                      metric: str = "l1", exclude_self: bool = False) -> DataFrame:
-    """K6: search only the query's own bucket (exactly, by the banded join
-    inside it); a query whose bucket holds no training row gets NULL."""
+    """K6: search only the query's own bucket (exactly, in
+    blocks); a query whose bucket holds no training row gets NULL."""
     tb = train.withColumn("bucket", grid_bucket("features", cell))
     qb = query.withColumn("bucket", grid_bucket("features", cell))
     out = predict(tb, qb, k, metric, within=["bucket"], exclude_self=exclude_self)
@@ -273,13 +280,77 @@ def bucketed_predict(train: DataFrame, query: DataFrame, k: int, cell: float,
 
 
 def bagged_predict(bag: DataFrame, query: DataFrame, k: int, metric: str = "l2",
-                   n_models: int | None = None, exclude_self: bool = False) -> DataFrame:
-    """K7: per-bag k-NN vote for every query, (model_id, row_id, pred).
-
-    ``bag`` is (model_id, row_id, w, label, features); queries are
-    replicated per model by a generator (no join)."""
+                   n_models: int | None = None, exclude_self: bool = False, first_model: int = 0,
+                   spare: int = 4) -> DataFrame:
+    """K7: per-bag k-NN vote for every query, (model_id, row_id, pred), for the
+    ``n_models`` models from ``first_model`` on.
+
+    ``bag`` is (model_id, row_id, w, label, features). One search finds the
+    ``spare * k`` nearest of all rows that any bag has; their weights are joined
+    afterwards. Where a bag has fewer than k slots among them, the query goes
+    on with ``spare`` times as many, until every bag has k or no row is left.
+    """
     if n_models is None:
-        n_models = bag.agg(F.max("model_id")).first()[0] + 1
-    q = query.select("row_id", "features").withColumn(
-        "model_id", F.explode(F.sequence(F.lit(0), F.lit(n_models - 1))))
-    return predict(bag, q, k, metric, within=["model_id"], exclude_self=exclude_self)
+        n_models = bag.agg(F.max("model_id")).first()[0] + 1 - first_model
+    weights = cut_lineage(bag.groupBy("row_id", "model_id").agg(F.sum("w").cast("int").alias("w"))
+                          .select(F.col("row_id").alias("t_id"), "model_id", "w"))
+    base = cut_lineage(bag.groupBy("row_id").agg(F.first("label").alias("label"), F.first("features").alias("features")))
+    n = base.count()
+    models = F.explode(F.sequence(F.lit(first_model), F.lit(first_model + n_models - 1)))
+    todo = cut_lineage(query.select("row_id", "features"))
+    each = todo.select("row_id", models.alias("model_id"))
+    done, size = None, spare * k
+    while True:
+        found = cut_lineage(search(base, todo, size, metric, exclude_self=exclude_self))
+        ranked = found.drop("slots").join(weights, "t_id").withColumn("rd", F.round("dist", 9))
+        top = cut_lineage(_top(ranked, ["model_id", "q_id"], k).select("model_id", "q_id", "label", "slots", "covered"))
+        if size >= n:
+            done = top if done is None else done.unionByName(top)
+            break
+        full = top.where(F.col("covered") >= k).groupBy("q_id").agg(F.count_distinct("model_id").alias("m")) \
+            .where(F.col("m") == n_models).select(F.col("q_id").alias("row_id"))
+        left = cut_lineage(todo.join(full, "row_id", "left_anti"))
+        final = top.join(left.select(F.col("row_id").alias("q_id")), "q_id", "left_anti").select(top.columns)
+        done = final if done is None else done.unionByName(final)
+        if left.isEmpty():
+            break
+        todo, size = left, spare * size
+    votes = vote(done, ["model_id"]).withColumnRenamed("q_id", "row_id")
+    return each.join(votes.withColumn("model_id", F.col("model_id").cast("int")), ["model_id", "row_id"], "left") \
+        .select("model_id", "row_id", "pred")
+
+
+def lsh_keys(features: str | F.Column, tables: int, projections: int, width: float, dim: int, seed: int,
+             probe: bool = False) -> F.Column:
+    """Array of (table, key): for every table, the cells of ``projections``
+    random projections (coefficients 1 or -1, drawn by md5). With ``probe``, also
+    the keys that differ by one step in one projection."""
+    v = F.col(features) if isinstance(features, str) else features
+    out = []
+    for j in range(tables):
+        cells = []
+        for p in range(projections):
+            signs = F.lit([1.0 if draw(seed, j * projections + p, i) < 0.5 else -1.0 for i in range(dim)])
+            total = F.aggregate(F.zip_with(v, signs, lambda x, s: x * s), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+            cells.append(F.floor(F.round(total, 6) / F.lit(float(width))).cast("long"))
+        steps = [[0] * projections]
+        if probe:
+            steps += [[d if i == p else 0 for i in range(projections)] for p in range(projections) for d in (-1, 1)]
+        out += [F.struct(F.lit(j).alias("table"), F.concat_ws(",", *[(c + F.lit(d)).cast("string") for c, d in zip(cells, s)])
+                         .alias("key")) for s in steps]
+    return F.array(*out)
+
+
+def lsh_predict(train: DataFrame, query: DataFrame, k: int, tables: int, projections: int, width: float, dim: int,
+                seed: int, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
+    """K6 with several hash tables: a query probes its cell and the
+    neighbouring ones of every table; candidates that share several cells
+    with it are taken once. The k best of each cell are found in blocks (no
+    pair of a cell is listed). A query without candidates gets NULL."""
+    keyed = lambda df, probe: df.withColumn("cell", F.explode(
+        lsh_keys("features", tables, projections, width, dim, seed, probe))).withColumn(
+        "table", F.col("cell.table")).withColumn("key", F.col("cell.key")).drop("cell")
+    found = search(keyed(train, False), keyed(query, True), k, metric, within=["table", "key"], exclude_self=exclude_self)
+    once = found.groupBy("q_id", "t_id").agg(F.first("label").alias("label"), F.first("dist").alias("dist"))
+    top = _top(once.withColumn("w", F.lit(1)).withColumn("rd", F.round("dist", 9)), ["q_id"], k)
+    return query.select("row_id").join(vote(top).withColumnRenamed("q_id", "row_id"), "row_id", "left")

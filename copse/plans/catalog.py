@@ -26,6 +26,7 @@ from copse.operators import tree as T
 from copse.operators import evaluate as E
 from copse.operators import vote as V
 from copse.operators import bayes as NB
+from copse.functions.vectors import distance_sql
 from copse.operators import knn as KNN
 
 # Fixed parameters of the registered queries (the reference's defaults
@@ -546,6 +547,34 @@ pts AS (SELECT *, floor(round({s}, 6) / CAST('{KNN_CELL!r}' AS DOUBLE))::BIGINT
 SELECT p.row_id, kp.pred FROM pts p LEFT JOIN kp ON kp.row_id = p.row_id"""
 
 
+#: Tables, cell width and vector length of the hashed search.
+LSH_TABLES, LSH_WIDTH, LSH_DIM = 6, 4.0, 64
+
+
+def q_knn_lsh(spark, sf):
+    """K6 with several tables: cells of random projections, neighbours probed."""
+    e = _emb(spark, sf)
+    return KNN.lsh_predict(e, e, K, LSH_TABLES, 1, LSH_WIDTH, LSH_DIM, SEED, "l2", exclude_self=True).select("row_id", "pred")
+
+
+def sql_knn_lsh():
+    return f"""
+WITH pts AS ({O.EMBEDDING_POINTS}),
+signs AS (SELECT j, list(CASE WHEN {O.uniform_sql(SEED, 'j', 'i')} < 0.5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END ORDER BY i) AS s
+          FROM range({LSH_TABLES}) a(j), range({LSH_DIM}) b(i) GROUP BY j),
+cells AS (SELECT row_id, j, floor(round(list_reduce(list_transform(list_zip(features, s), lambda p: p[1] * p[2]),
+                 lambda acc, x: acc + x, 0.0::DOUBLE), 6) / {LSH_WIDTH}::DOUBLE)::BIGINT AS cell FROM pts, signs),
+met AS (SELECT DISTINCT q.row_id AS q_id, t.row_id AS t_id FROM cells q JOIN cells t
+        ON q.j = t.j AND abs(q.cell - t.cell) <= 1 AND q.row_id <> t.row_id),
+ranked AS (SELECT q_id, t.label, row_number() OVER (PARTITION BY q_id ORDER BY
+             round({distance_sql('l2', 'q.features', 't.features')}, 9), t_id) AS rk
+           FROM met JOIN pts q ON q.row_id = q_id JOIN pts t ON t.row_id = t_id),
+votes AS (SELECT q_id, label, count(*) AS n FROM ranked WHERE rk <= {K} GROUP BY q_id, label),
+won AS (SELECT q_id, label AS pred FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY n DESC, label) AS rn FROM votes)
+        WHERE rn = 1)
+SELECT row_id, pred FROM pts LEFT JOIN won ON q_id = row_id"""
+
+
 def q_knn_bagged(spark, sf):
     e = _emb(spark, sf)
     bag = bagging.poisson(e, N_MODELS, FRACTION, SEED)
@@ -833,6 +862,7 @@ QUERIES: dict[str, tuple[Callable, Callable | None]] = {
     "knn_l1_predict": (q_knn_l1_predict, sql_knn_l1_predict),
     "knn_l2_predict": (q_knn_l2_predict, sql_knn_l2_predict),
     "knn_bucketed": (q_knn_bucketed, sql_knn_bucketed),
+    "knn_lsh": (q_knn_lsh, sql_knn_lsh),
     "knn_bagged": (q_knn_bagged, sql_knn_bagged),
     "knn_selftest": (q_knn_selftest, sql_knn_selftest),
     "tree_depth5_nodes": (q_tree_depth5_nodes, sql_tree_depth5_nodes),

@@ -77,14 +77,66 @@ def test_exact_knn_matches_brute_force(spark):
         assert got == want
 
 
-def test_knn_small_initial_width_still_exact(spark):
+def test_knn_many_pivots_still_exact(spark):
     e = embedding_points(spark, SF001)
     rows = [(r.row_id, r.label, r.features) for r in e.collect()]
-    nb = K.search(e, e, 3, "l1", exclude_self=True, initial_width=1e-3)
+    nb = K.search(e, e, 3, "l1", exclude_self=True, pivots=40)
     got = {r.q_id: r.pred for r in K.vote(nb).collect()}
     assert got == _brute_knn(rows, [(i, f) for i, _, f in rows], 3, "l1", True)
 
 
+def test_clustered_vectors_compare_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 50, (30, 8))
+    x = (centres[rng.integers(0, 30, 1500)] + rng.normal(0, 1, (1500, 8))).round(3)
+    rows = [(f"k{i:04d}", int(i % 4), v) for i, v in enumerate(x.tolist())]
+    e = spark.createDataFrame(rows, "row_id string, label bigint, features array<double>")
+    pairs, join = [], K._block_join
+
+    def counted(t, q, keys, *rest):
+        both = t.groupBy(*keys).count().join(q.groupBy(*keys).agg(F.count("*").alias("m")), keys)
+        pairs.append(both.agg(F.sum(F.col("count") * F.col("m"))).first()[0] or 0)
+        return join(t, q, keys, *rest)
+
+    monkeypatch.setattr(K, "_block_join", counted)
+    got = {r.row_id: r.pred for r in K.predict(e, e, 5, "l2", exclude_self=True, pivots=60).collect()}
+    assert got == _brute_knn(rows, [(i, f) for i, _, f in rows], 5, "l2", True)
+    assert sum(pairs) < 0.2 * len(rows) ** 2
+
+
+def test_bagged_search_goes_on_for_small_bags(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"r{i}", int(rng.integers(0, 3)), rng.normal(0, 1, 4).round(3).tolist()) for i in range(120)]
+    bag = [(m, i, int(rng.integers(1, 3)), lab, f) for m, share in ((3, 0.04), (4, 0.7), (5, 0.02))
+           for i, lab, f in rows if rng.random() < share]
+    b = spark.createDataFrame(bag, "model_id int, row_id string, w int, label bigint, features array<double>")
+    q = spark.createDataFrame([(i, f) for i, _, f in rows], "row_id string, features array<double>")
+    got = {(r.model_id, r.row_id): r.pred for r in K.bagged_predict(b, q, 3, "l1", 3, True, 3, spare=2).collect()}
+    want = {}
+    for m in (3, 4, 5):
+        own = [(i, lab, f) for mm, i, w, lab, f in bag if mm == m for _ in range(w)]
+        want |= {(m, i): p for i, p in _brute_knn(own, [(i, f) for i, _, f in rows], 3, "l1", True).items()}
+    assert got == want
+
+
+def test_lsh_recall_and_empty(spark):
+    e = embedding_points(spark, SF001)
+    rows = [(r.row_id, r.label, r.features) for r in e.collect()]
+    near = lambda df: {(r.q_id, r.t_id) for r in df.collect()}
+    exact = near(K.search(e, e, 5, "l2", exclude_self=True))
+    keyed = K.lsh_keys("features", 6, 1, 4.0, 64, 3, True)
+    probes = {(r.row_id, c.table, c.key) for r in e.select("row_id", keyed.alias("c")).collect() for c in r.c}
+    own = {(r.row_id, c.table, c.key) for r in e.select("row_id", K.lsh_keys("features", 6, 1, 4.0, 64, 3).alias("c")).collect() for c in r.c}
+    of = {}
+    for i, t, c in own:
+        of.setdefault((t, c), set()).add(i)
+    met = {(q, t) for q, j, c in probes for t in of.get((j, c), ())}
+    assert len(exact & met) >= 0.9 * len(exact)
+    far = spark.createDataFrame([(-1, [1e6] + [0.0] * 63)], "row_id bigint, features array<double>")
+    got = K.lsh_predict(e, far, 5, 6, 1, 4.0, 64, 3).collect()
+    assert [(r.row_id, r.pred) for r in got] == [(-1, None)]
+
+
 def test_empty_bucket_gives_null(spark):
     train = spark.createDataFrame([(1, 0, [0.0, 0.0]), (2, 1, [0.1, 0.0])],
                                   "row_id bigint, label bigint, features array<double>")
