@@ -32,8 +32,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from copse.functions.argmax import argmax_label
 from copse.plans.broadcast import fits_broadcast
@@ -120,10 +124,59 @@ def class_constants(model: dict, n_features: int, kind: str, alpha: float,
     return out
 
 
-#: Up to this many features are looked up one by one.
+#: Up to this many features are looked up by joins of the row, one by one.
 ROW_LOCAL_FEATURES = 32
 
 
+def _slot_keys(slots: list[tuple[int, int]]):
+    """The (model, label) of every slot; labels are any BIGINT."""
+    return F.array(*[F.struct(F.lit(m).cast("int").alias("model_id"), F.lit(c).cast("bigint").alias("label"))
+                     for m, c in slots])
+
+
+def _packed_scores(per_value: DataFrame, points: DataFrame, base: list[float], n_features: int) -> DataFrame:
+    """(row_id, scores): each feature's values, sorted, and their gains travel
+    to the tasks (the caller has measured them); a batch of rows looks up one
+    feature after the other by binary search. No join and no shuffle."""
+    table: dict[int, tuple[list[float], list[list[float]]]] = {}
+    for feature, value, gains in per_value.where(F.col("value").isNotNull()).select("feature", "value", "g").collect():
+        of = table.setdefault(feature, ([], []))
+        of[0].append(value)
+        of[1].append(gains)
+    packed = {}
+    for feature, (values, gains) in table.items():
+        x = np.array(values, np.float64)
+        order = np.argsort(x, kind="stable")
+        packed[feature] = x[order], np.array(gains, np.float64)[order]
+    shared = points.sparkSession.sparkContext.broadcast(packed)
+    thin = points.select("row_id", F.col("features").cast("array<double>").alias("features"))
+    schema = T.StructType([thin.schema["row_id"], T.StructField("scores", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        for b in batches:
+            lists = b.column(1)
+            flat = lists.flatten()
+            value = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+            null = flat.is_null().to_numpy(zero_copy_only=False)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            start = np.cumsum(size) - size
+            total = np.tile(np.array(base), (b.num_rows, 1))
+            for j in range(n_features):
+                if j not in shared.value:
+                    continue
+                known, gains = shared.value[j]
+                row = np.flatnonzero(size > j)
+                x = value[start[row] + j]
+                at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+                hit = ((known[at] == x) | (np.isnan(known[at]) & np.isnan(x))) & ~null[start[row] + j]
+                total[row[hit]] += gains[at[hit]]
+            offsets = np.arange(b.num_rows + 1, dtype=np.int32) * len(base)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(total.ravel()))], ["row_id", "scores"])
+
+    return thin.mapInArrow(run, schema)
+
+
 def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int,
                  kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0):
     """Per row, the scores of every (model, class) slot as one array:
@@ -132,8 +185,9 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
     Each seen (feature, value) of the model carries one array of gains over
     all slots (zero where the class never saw the value); a row adds the
     arrays of its features' values to the per-slot constants. While the gain
-    table is measured to be small, each feature is looked up by a broadcast
-    join of the row itself: no explode and no shuffle. Beyond that the rows
+    table is measured to be small, features are looked up inside the row, by
+    broadcast joins or, where there are many, in packed arrays: no explode
+    and no shuffle. Beyond that the rows
     are exploded, joined by shuffle and summed up again. Equal row keys stay
     apart, and a row without features gets the constants, either way."""
     if kind not in ("laplace", "reference"):
@@ -143,14 +197,14 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
     base = class_constants(model, n_features, kind, alpha, smoothing)
     slots = sorted(base)
     n_slots = len(slots)
-    keys = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(c).alias("label")) for m, c in slots])
+    keys = _slot_keys(slots)
     vals = model["values"].join(model["classes"].withColumnRenamed("n", "n_c"), ["model_id", "label"])
     if kind == "laplace":
         gain = F.log1p(F.col("n") / F.lit(alpha))
     else:
         gain = F.col("n") / F.col("n_c") - F.lit(smoothing)
     slot = (F.array_position(keys, F.struct(F.col("model_id").cast("int").alias("model_id"),
-                                            F.col("label").cast("int").alias("label"))) - 1).cast("int")
+                                            F.col("label").cast("bigint").alias("label"))) - 1).cast("int")
     per_value = vals.select("feature", "value", slot.alias("slot"), gain.alias("gain")) \
         .groupBy("feature", "value").agg(
             F.map_from_entries(F.collect_list(F.struct("slot", "gain"))).alias("m")) \
@@ -158,7 +212,10 @@ def score_arrays(model: dict[str, DataFrame], points: DataFrame, n_features: int
             F.sequence(F.lit(0), F.lit(n_slots - 1)),
             lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("g"))
     per_value = cut_lineage(per_value)
-    if n_features <= ROW_LOCAL_FEATURES and fits_broadcast(per_value):
+    small = fits_broadcast(per_value)
+    if small and n_features > ROW_LOCAL_FEATURES:
+        return _packed_scores(per_value, points, [base[sl] for sl in slots], n_features), slots
+    if small:
         out = points.select("row_id", "features")
         for j in range(n_features):
             gains = per_value.where(F.col("feature") == j).select(F.col("value").alias(f"v{j}"), F.col("g").alias(f"g{j}"))
@@ -183,7 +240,7 @@ def scores(model: dict[str, DataFrame], points: DataFrame, n_features: int,
            kind: str = "laplace", alpha: float = 1.0, smoothing: float = 1.0) -> DataFrame:
     """(model_id, row_id, label, score) for every row and class."""
     arrays, slots = score_arrays(model, points, n_features, kind, alpha, smoothing)
-    keys = F.array(*[F.struct(F.lit(m).alias("model_id"), F.lit(c).alias("label")) for m, c in slots])
+    keys = _slot_keys(slots)
     return arrays.select("row_id", F.posexplode("scores").alias("i", "score")) \
         .select(F.element_at(keys, F.col("i") + 1).alias("k"), "row_id", "score") \
         .select(F.col("k.model_id").alias("model_id"), "row_id",
@@ -199,8 +256,8 @@ def decide_arrays(arrays: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
     picks = []
     for m, idx in sorted(per_model.items()):
         cands = F.array(*[F.struct(F.round(F.col("scores").getItem(i), 9).alias("s"),
-                                   F.lit(-slots[i][1]).alias("neg"),
-                                   F.lit(slots[i][1]).alias("label")) for i in idx])
+                                   F.lit(-slots[i][1]).cast("bigint").alias("neg"),
+                                   F.lit(slots[i][1]).cast("bigint").alias("label")) for i in idx])
         picks.append(F.struct(F.lit(m).alias("model_id"),
                               F.array_max(cands).getField("label").cast("bigint").alias("pred")))
     return arrays.select("row_id", F.explode(F.array(*picks)).alias("p")).select(
@@ -272,7 +329,7 @@ def decide_expression(scores, slots: list[tuple[int, int]]):
     picks = []
     for m, idx in sorted(per_model.items()):
         cands = F.array(*[F.struct(F.round(scores.getItem(i), 9).alias("s"),
-                                   F.lit(-slots[i][1]).alias("neg"),
-                                   F.lit(slots[i][1]).alias("label")) for i in idx])
+                                   F.lit(-slots[i][1]).cast("bigint").alias("neg"),
+                                   F.lit(slots[i][1]).cast("bigint").alias("label")) for i in idx])
         picks.append(F.array_max(cands).getField("label").cast("bigint"))
     return F.array(*picks), sorted(per_model)

@@ -281,7 +281,7 @@ def bucketed_predict(train: DataFrame, query: DataFrame, k: int, cell: float,
 
 def bagged_predict(bag: DataFrame, query: DataFrame, k: int, metric: str = "l2",
                    n_models: int | None = None, exclude_self: bool = False, first_model: int = 0,
-                   spare: int = 4) -> DataFrame:
+                   spare: int = 6) -> DataFrame:
     """K7: per-bag k-NN vote for every query, (model_id, row_id, pred), for the
     ``n_models`` models from ``first_model`` on.
 

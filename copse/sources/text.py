@@ -85,21 +85,24 @@ def parse_ranked(df: DataFrame, text_col: str = "value", key: str | None = None,
         df = content_row_id(df, text_col)
         key = "row_id"
     line = F.col(text_col)
-    qid_tok = F.regexp_extract(line, SECOND_TOKEN, 1)
-    rest = F.regexp_extract(line, AFTER_TWO, 1)
-    # Whole-line native expressions (no per-token lambdas): one regex to
-    # validate the pair list, one to pull the values, an array cast.
-    parsed = df.select(
-        F.col(key).alias("row_id"),
-        line.alias("__line"),
-        F.regexp_extract(line, FIRST_TOKEN, 1).try_cast("bigint").alias("label"),
-        (F.when(qid_tok.rlike(r"^[^:]*:[^:]+$"),
-                F.regexp_extract(qid_tok, r":(.*)$", 1).try_cast("bigint"))
-         if with_qid else F.lit(None).cast("bigint")).alias("qid"),
-        F.regexp_extract_all(rest, F.lit(PAIR_VALUE), 1).try_cast("array<double>").alias("features"),
-        (qid_tok != F.lit("")).alias("__has_qid"),
-        rest.rlike(PAIR_LIST).alias("__pairs_ok"),
-    )
+    tokens = F.array(F.struct(F.regexp_extract(line, FIRST_TOKEN, 1).alias("label"),
+                              F.regexp_extract(line, SECOND_TOKEN, 1).alias("qid"),
+                              F.regexp_extract(line, AFTER_TWO, 1).alias("rest")))
+
+    def read(t):
+        # Whole-line native expressions (no per-token lambdas): one regex to
+        # validate the pair list, one to pull the values, an array cast.
+        return F.struct(
+            t["label"].try_cast("bigint").alias("label"),
+            (F.when(t["qid"].rlike(r"^[^:]*:[^:]+$"), F.regexp_extract(t["qid"], r":(.*)$", 1).try_cast("bigint"))
+             if with_qid else F.lit(None).cast("bigint")).alias("qid"),
+            F.regexp_extract_all(t["rest"], F.lit(PAIR_VALUE), 1).try_cast("array<double>").alias("features"),
+            (t["qid"] != F.lit("")).alias("__has_qid"),
+            t["rest"].rlike(PAIR_LIST).alias("__pairs_ok"))
+
+    # A generator of one row: what is judged and selected above it is computed
+    # once a line, as filters are not pushed below it.
+    parsed = df.select(F.col(key).alias("row_id"), line.alias("__line"), F.inline(F.transform(tokens, read)))
     reason = (
         F.when(F.col("label").isNull(), F.lit("bad label"))
         .when(~F.col("__has_qid"), F.lit("missing qid token"))

@@ -50,6 +50,24 @@ def test_nb_reference_score(spark):
     assert abs(sc[1] - (math.log(3 / 5) + 1.0 + 1.0)) < 1e-12   # both unseen in class 1
 
 
+def test_nb_labels_beyond_32_bits_and_136_features(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(m, i, 1, 5_000_000_000 * int(rng.integers(-1, 2)), [float(v) for v in rng.integers(0, 4, 136)])
+            for m in range(2) for i in range(60)]
+    bag = spark.createDataFrame(rows, "model_id int, row_id bigint, w int, label bigint, features array<double>")
+    model = NB.fit(bag)
+    pts = spark.createDataFrame([(i, [float(v) for v in rng.integers(0, 5, 136)]) for i in range(40)] + [(99, []), (98, None)],
+                                "row_id bigint, features array<double>")
+    scores = lambda: {(r.model_id, r.row_id, r.label): r.score for r in NB.scores(model, pts, 136).collect()}
+    plan = NB.score_arrays(model, pts, 136)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    packed = scores()
+    monkeypatch.setattr(NB, "fits_broadcast", lambda df: False)
+    shuffled = scores()
+    assert packed.keys() == shuffled.keys() and all(abs(packed[k] - shuffled[k]) < 1e-9 for k in packed)
+    assert {r.pred for r in NB.predict(model, pts, 136).collect()} <= {-5_000_000_000, 0, 5_000_000_000}
+
+
 def _brute_knn(train, query, k, metric, exclude_self):
     out = {}
     for qid, qf in query:
