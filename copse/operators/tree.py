@@ -230,9 +230,10 @@ def level_wide(rows: DataFrame, vt: DataFrame, seed: int, labels: list[int], dep
     """One level of every tree as one job (label domains <= WIDE_MAX_LABELS).
 
     The histogram (partial aggregation before its shuffle) is repartitioned
-    once on (model, node); node totals (the histogram of feature 0 summed
-    over values), slot sums, the running window, the best-split choice and
-    the node table all reuse that partitioning."""
+    once on (model, node, feature), so a level of few nodes still uses a task
+    for each feature; totals, slot sums and the running window reuse that
+    partitioning. Only one candidate split and one set of totals for each of
+    its partitions and nodes are shuffled again, to choose the best split."""
     idx = list(range(len(labels)))
     pivot = [F.sum(F.when(F.col("label") == F.lit(c), F.col("w")).otherwise(F.lit(0)))
              .cast("bigint").alias(f"c{i}") for i, c in zip(idx, labels)]
@@ -250,7 +251,7 @@ def level_wide(rows: DataFrame, vt: DataFrame, seed: int, labels: list[int], dep
     hist = rows.select("model_id", "node_id", "label", "w",
                        F.posexplode("features").alias("feature", "value")) \
         .groupBy("model_id", "node_id", "feature", "value").agg(*pivot) \
-        .repartition("model_id", "node_id")
+        .repartition("model_id", "node_id", "feature")
     hist = hist.select("*", *[F.sum(f"c{i}").over(per_feature).alias(f"t{i}") for i in idx])
     totals = hist.groupBy("model_id", "node_id").agg(*[F.max(f"t{i}").alias(f"t{i}") for i in idx])
     vt_b = bounded_broadcast(vt, vt_rows) if vt_rows is not None else vt

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -25,6 +27,14 @@ def test_single_value_is_leaf(spark):
     assert len(nodes) == 1 and nodes[0].is_leaf and nodes[0].prediction == 1
 
 
+def test_a_level_is_dealt_by_feature(spark):
+    rng = np.random.default_rng(3)
+    bag = _bag(spark, [(int(rng.integers(0, 2)), rng.integers(0, 5, 40).astype(float).tolist()) for _ in range(200)])
+    rows = bag.withColumn("node_id", F.col("row_id") % 2 + 2)
+    plan = T.level_wide(rows, T.value_table(rows), 1, [0, 1], 0, False)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(model_id#\d+, [^,]+, feature#\d+", plan)
+
+
 def test_majority_tie_smallest_label(spark):
     nodes = T.fit(_bag(spark, [(4, [1.0]), (2, [1.0])]), 2, 1).collect()
     assert nodes[0].prediction == 2
