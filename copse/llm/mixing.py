@@ -101,7 +101,11 @@ def _copies(rate: str, u: str) -> Column:
 def mix(docs: DataFrame, seed: int = 0, doc_id: str = "doc_id", source: str = "source",
         text: str = "text", copy_column: str = "copy_no", **options) -> DataFrame:
     """The mixed corpus: every emitted copy as a row of ``docs`` with a copy
-    number from 1 on (``copy_column`` must not be a column of ``docs``)."""
+    number from 1 on, in ``copy_column``; underscores are added to that name
+    while ``docs`` has such a column (in any case of letters)."""
+    taken = {c.lower() for c in docs.columns}
+    while copy_column.lower() in taken:
+        copy_column += "_"
     plan = planned(docs, Steps(docs.sparkSession, "mixing"), source, text, **options) \
         .select(F.struct("source", "rate").alias("_plan"))
     body = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"),

@@ -55,6 +55,13 @@ def test_mix_emits_each_copy_with_all_columns(spark):
     assert out.count() == n
 
 
+def test_mix_of_a_mix(spark, tmp_path):
+    d = mixing.mix(docs(spark), 5).withColumnRenamed("copy_no", "Copy_No")
+    out = mixing.mix(d, 5)
+    assert out.columns == d.columns + ["copy_no_"]
+    out.write.parquet(f"{tmp_path}/mixed")
+
+
 def test_empty_table(spark):
     d = spark.createDataFrame([], SCHEMA)
     assert mixing.copies(d).count() == 0 and mixing.mix(d).count() == 0
