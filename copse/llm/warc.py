@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from copse.llm.scratch import Steps
+from copse.llm.scratch import Steps, shuffle_parts
 
 PIECE = 1 << 20
 END = "\r\n\r\n"
@@ -212,7 +212,8 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
                 out_fs.move(side, f"{base}.idx")
                 yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
-    paths = files.repartition("path")
+    # A number of partitions, as AQE would merge such small rows into one task.
+    paths = files.repartition(shuffle_parts(spark), "path")
     paths.mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
     if files.limit(1).count() == 0:
         return spark.createDataFrame([], INDEX)
