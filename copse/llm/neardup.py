@@ -313,21 +313,25 @@ def _groups(store: DataFrame, steps: Steps, k: int, percent: int) -> DataFrame:
                          .where("size > 1"), "buckets")
     members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot"), "members")
     steps.drop(buckets)
+    steps.release()
     pairs = members.where("v != pivot").groupBy(F.col("v").alias("a")).agg(F.collect_set("pivot").alias("bs")) \
         .select("a", F.explode(F.slice(F.array_sort("bs"), 1, FIRST)).alias("b"))
     near = steps.save(close(pairs, classes, percent), "near")
     links = steps.save(confirm(near, store, k, percent), "links")
     star = contract(links, steps)
+    steps.release()
     tried = None
     for most in ROUNDS:
         named = labels(star)
         named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
         apart = members.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         pairs = steps.save(across(apart, classes, percent, most), "pairs")
+        steps.release()
         new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         near = steps.save(close(new, classes, percent), "near")
         links = steps.save(confirm(near, store, k, percent), "links")
         star = contract(star.unionByName(links), steps)
+        steps.release()
         if most is None or pairs.where("more").isEmpty():
             break
         tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))

@@ -8,6 +8,7 @@ costs one step at most. Where the session names no folder, a local master
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,13 @@ class Steps:
         for t in tables:
             self.spark.createDataFrame([], t.schema).write.mode("overwrite").parquet(t._copse_path)
 
+    def release(self) -> None:
+        """Has the shuffle files of finished steps deleted now. Spark deletes
+        them when the driver's garbage collection meets their plans, which a
+        driver with memory to spare puts off while the disks of executors fill."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
