@@ -17,9 +17,10 @@ more comparisons. For every key whose classes are then still in several
 components, signatures are compared across components, inside the tasks, in
 blocks: the classes outside a key's largest component against all of it. A
 class gives out its likeliest partners only, few at first; they are
-confirmed, what they connect drops out, and the next round gives out more of
-what is still apart. A round that held nothing back is the last, so every pair
-has been confirmed, refused, or connected otherwise. Pairs that meet under
+confirmed, what they connect drops out, and the next round takes up the keys
+that held partners back and gives out more of what is still apart. A round that
+held nothing back is the last, so every pair has been confirmed, refused, or
+connected otherwise. Pairs that meet under
 several keys are taken up under the first.
 
 A sketch (the smallest shingle hash of each of 1,024 bins, 8 bits) tests a
@@ -229,9 +230,9 @@ def confirm(near: DataFrame, store: DataFrame, k: int, percent: int) -> DataFram
 
 
 def across(members: DataFrame, classes: DataFrame, percent: int, most: int | None = None) -> DataFrame:
-    """(a, b, more): classes of a key in different components whose sketches
+    """(a, b, more, key): classes of a key in different components whose sketches
     allow a link; for each a in a block, the ``most`` likeliest, ``more`` telling
-    that some were held back. ``members``: key, no, v, comp."""
+    that the key held some back. ``members``: key, no, v, comp."""
     mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     rest = members.join(mixed, "key")
     size = rest.groupBy("key", "comp").count().groupBy("key").agg(
@@ -257,7 +258,7 @@ def across(members: DataFrame, classes: DataFrame, percent: int, most: int | Non
             inside = b.column(6).to_numpy(zero_copy_only=False)
             sig, sk, n = _matrix(b.column(8)), _sketches(b.column(9)), b.column(10).to_numpy()
             new = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1) | (side[1:] != side[:-1])) + 1
-            found = [np.empty((0, 3), np.int64)]
+            found = [np.empty((0, 4), np.int64)]
             for lo, hi in zip([0, *new.tolist()], [*new.tolist(), b.num_rows]):
                 if lo == hi:
                     continue
@@ -275,12 +276,13 @@ def across(members: DataFrame, classes: DataFrame, percent: int, most: int | Non
                     if more:
                         used, same = _shared(ka, sk[at])
                         at = at[np.lexsort((v[at], -same / used))[:most]]
-                    found.append(np.stack((np.full(len(at), a), v[at], np.full(len(at), more)), axis=1))
-            pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()),
-                                              pa.array(pairs[:, 2].astype(bool))], ["a", "b", "more"])
+                    found.append(np.stack((np.full(len(at), a), v[at], np.full(len(at), more),
+                                           np.full(len(at), ids[lo, 0])), axis=1))
+            a, b, more, key = np.concatenate(found).T.copy()
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(more.astype(bool)), pa.array(key)],
+                                             ["a", "b", "more", "key"])
 
-    return dealt.mapInArrow(run, "a long, b long, more boolean")
+    return dealt.mapInArrow(run, "a long, b long, more boolean, key long")
 
 
 def _first_key(same: np.ndarray, no: int) -> np.ndarray:
@@ -320,20 +322,23 @@ def _groups(store: DataFrame, steps: Steps, k: int, percent: int) -> DataFrame:
     links = steps.save(confirm(near, store, k, percent), "links")
     star = contract(links, steps)
     steps.release()
-    tried = None
+    tried, open_ = None, members
     for most in ROUNDS:
         named = labels(star)
         named = named.unionByName(named.select(F.col("comp").alias("v"), "comp").distinct())
-        apart = members.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+        apart = open_.join(named, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         pairs = steps.save(across(apart, classes, percent, most), "pairs")
         steps.release()
-        new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        new = pairs.select("a", "b") if tried is None else pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
         near = steps.save(close(new, classes, percent), "near")
         links = steps.save(confirm(near, store, k, percent), "links")
-        star = contract(star.unionByName(links), steps)
+        if not links.isEmpty():
+            star = contract(star.unionByName(links), steps)
         steps.release()
-        if most is None or pairs.where("more").isEmpty():
+        held = pairs.where("more").select("key").distinct()
+        if most is None or held.isEmpty():
             break
+        open_ = members.join(held, "key", "left_semi")
         tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
     steps.drop(members)
     return _result(rows, classes, labels(star), order)

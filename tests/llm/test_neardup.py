@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from copse.llm import neardup
 from copse.llm.components import components
@@ -122,3 +123,26 @@ def test_pairs_that_share_a_key_are_never_dropped_by_distance(spark):
     keys = neardup.index_keys(classes).groupBy("key").count().where("count > 1").select("key")
     members = neardup.index_keys(classes).join(keys, "key").selectExpr("key", "no", "v", "v as comp")
     assert {tuple(sorted(r)) for r in neardup.across(members, classes, 80).select("a", "b").collect()} == {(0, 1)}
+
+
+def test_release_keeps_step_tables(spark):
+    steps = Steps(spark, "test")
+    one = steps.save(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "one")
+    steps.release()
+    two = steps.save(one.groupBy("count").agg(F.sum("k").alias("k")), "two")
+    steps.release()
+    assert sorted(map(tuple, two.collect())) == [(14, 20), (15, 1)]
+    assert one.count() == 7
+
+
+def test_across_names_the_keys_that_held_partners_back(spark):
+    """Five equal classes under one key: with one partner each, all but one
+    give out one and the key is named; with all, none is."""
+    s = np.arange(1, 200, dtype=np.uint64) << np.uint64(55)
+    rows = [(v, len(s), bytearray(neardup.signature(s)), bytearray(neardup.sketch(s))) for v in range(5)]
+    classes = spark.createDataFrame(rows, "v long, n long, sig binary, sketch binary")
+    members = spark.createDataFrame([(42, 0, v, v) for v in range(5)], "key long, no int, v long, comp long")
+    some = neardup.across(members, classes, 80, 1).collect()
+    assert len(some) < 10 and {r.key for r in some if r.more} == {42}
+    every = neardup.across(members, classes, 80).collect()
+    assert len({tuple(sorted((r.a, r.b))) for r in every}) == 10 and not any(r.more for r in every)
