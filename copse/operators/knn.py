@@ -8,16 +8,20 @@ pivot are kept (one row a cell). By the triangle inequality no row of a
 cell is nearer to a query than ``max(d - greatest, least - d)``, d being the
 query's distance from the pivot.
 
-1. Each query is joined with its nearest cells, as many as hold k rows.
-   Its k-th distance there bounds the final one.
-2. It is joined with every other cell whose bound allows a nearer or equal
-   row. No cell meets a query twice.
-
-The joins are on the cell; cells and their queries are cut into blocks, so a
-cell with a third of all rows is spread over many tasks. A block's distances
-are computed by numpy and only the k best of each query leave it. On vectors
-without structure the bounds exclude nothing, and all pairs are compared
-once; hashing (``lsh_predict``, ``bucketed_predict``) is for that regime.
+1. Queries are dealt into chunks of bounded bytes, neighbours together. A
+   chunk meets the cells that are nearest to its queries, as many as hold k
+   rows for each. A query's k-th distance there bounds its final one.
+2. It meets every other cell whose bound allows a nearer or equal row for
+   one of its queries. No row meets a chunk twice.
+
+A chunk is one group of a join; its training rows stream past it in order of
+their id, so a task holds the chunk, the k best rows so far of each query, and
+one batch. Training rows are sent once for each chunk that they meet, queries
+once. Distances are estimated in single precision (for l2 by a matrix
+product) with an error bound, and computed as the SQL fold does for pairs
+that may belong to the k best. On vectors without structure the bounds exclude nothing, and
+all pairs are compared once; hashing (``lsh_predict``, ``bucketed_predict``)
+is for that regime.
 
 Bags (K7) share one search: candidates do not depend on the bag, weights are
 joined afterwards, and queries whose bag had too few of them go on with more.
@@ -29,8 +33,12 @@ places, train id).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,8 +49,13 @@ from copse.plans.broadcast import checked_broadcast
 from copse.plans.lineage import cut_lineage
 from copse.plans.partitioning import parallelism
 
-#: Rows of a side of a block: the distance matrix of a block has 32 MB.
+#: Rows of a batch that are placed among the pivots at a time.
 BLOCK = 2048
+#: Queries and training rows of a tile of estimates (4 MB), pairs whose
+#: distance is computed at a time, rows of an output batch.
+Q_TILE, T_TILE, MERGE, OUT = 256, 4096, 1 << 18, 1 << 16
+#: Bytes of the vectors of a chunk of queries.
+CHUNK_BYTES = 32 << 20
 #: Pivots at most, their bytes at most, and the rows for which one is added.
 PIVOTS, PIVOT_BYTES, CELL = 128, 32 << 20, 256
 
@@ -57,6 +70,46 @@ def _matrix(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64, copy=False)
 
 
+def _pack(x: np.ndarray) -> list[bytes]:
+    """A row of a matrix as bytes: single precision where that is exact."""
+    with np.errstate(over="ignore"):
+        low = x.astype(np.float32)
+    exact = (low == x).all(axis=1)
+    return [b"f" + f.tobytes() if e else b"d" + d.tobytes() for f, d, e in zip(low, x, exact)]
+
+
+def _unpack(column: pa.Array) -> np.ndarray:
+    rows = column.to_pylist()
+    out = [np.frombuffer(r, np.float32 if r[:1] == b"f" else np.float64, offset=1) for r in rows]
+    if len({len(x) for x in out}) > 1:
+        raise ValueError("vectors of unequal length")
+    return np.array(out, np.float64)
+
+
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the vectors ``name`` as bytes."""
+    schema = T.StructType([T.StructField(name, T.BinaryType()) if f.name == name else f for f in df.schema.fields])
+
+    def run(batches):
+        at = schema.fieldNames().index(name)
+        for b in batches:
+            for lo in range(0, b.num_rows, BLOCK):
+                part = b.slice(lo, BLOCK)
+                rows = _pack(_lists(part.column(at)))
+                yield part.set_column(at, name, pa.array(rows, pa.binary()))
+
+    return df.mapInArrow(run, schema)
+
+
+def _lists(column: pa.Array) -> np.ndarray:
+    """Matrix of a column of lists of equal length."""
+    length = pc.list_value_length(column)
+    if len(column) and pc.min_max(length)["min"].as_py() != pc.min_max(length)["max"].as_py():
+        raise ValueError("vectors of unequal length")
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(len(column), length[0].as_py() if len(column) else 0)
+
+
 def _distances(metric: str, q: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Left to right over the dimensions, as the SQL fold sums them, so that
     values are bit-identical."""
@@ -69,63 +122,276 @@ def _distances(metric: str, q: np.ndarray, t: np.ndarray) -> np.ndarray:
     return acc if metric == "l1" else np.sqrt(acc)
 
 
-def _block_kernel(metric: str, exclude_self: bool, k: int, keys: list[str]):
-    """The k best training rows of a block for each query of it, by (rounded
-    distance, train id)."""
-    columns = keys + ["q_id", "t_id", "label", "w", "dist", "rd"]
-
-    def run(tdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
-        if tdf.empty or qdf.empty:
-            return pd.DataFrame(columns=columns, dtype=object)
-        tdf = tdf.sort_values("t_id", ignore_index=True)
-        dist = _distances(metric, _matrix(qdf["q_feat"]), _matrix(tdf["t_feat"]))
-        rd = np.round(dist, 9)
-        if exclude_self:
-            own = pd.Index(tdf["t_id"]).get_indexer_for(qdf["q_id"]) if tdf["t_id"].is_unique else None
-            if own is None:
-                rd[qdf["q_id"].to_numpy()[:, None] == tdf["t_id"].to_numpy()[None, :]] = np.inf
+def _pair_distances(metric: str, q: np.ndarray, t: np.ndarray, qi: np.ndarray, ti: np.ndarray) -> np.ndarray:
+    """As ``_distances``, for a list of pairs."""
+    acc = np.zeros(len(qi))
+    for j in range(q.shape[1]):
+        d = q[qi, j] - t[ti, j]
+        acc += np.abs(d) if metric == "l1" else d * d
+    return acc if metric == "l1" else np.sqrt(acc)
+
+
+class _Best:
+    """The k nearest training rows so far of a chunk of queries, by (rounded
+    distance, arrival); training rows arrive by id.
+
+    Estimates in single precision (a matrix product for l2) with a proven
+    error bound choose the pairs whose distance is computed exactly. ``worst``
+    is a distance within which a query has k rows already (NaN: unknown).
+    ``cells``: hash cells (queries, tables, projections); only pairs that
+    meet in a table, one step in one projection aside, count.
+    """
+
+    def __init__(self, metric: str, k: int, q: np.ndarray, worst: np.ndarray, ids: pd.Index | None,
+                 cells: np.ndarray | None = None):
+        self.metric, self.k, self.q, self.ids, self.cells = metric, k, q, ids, cells
+        worst = np.where(np.isnan(worst), np.inf, worst)
+        self.limit = worst * (1 + 1e-9) + 1e-8
+        self.rd = np.full((len(q), k), np.inf)
+        self.dist, self.seq = self.rd.copy(), np.full((len(q), k), -1)
+        self.seen, self.rows, self.row_seq = 0, [], []
+        # Estimates are of centred vectors in units of the largest part.
+        self.centre = q.mean(axis=0)
+
+    def _met(self, cells: np.ndarray, qi, ti) -> np.ndarray:
+        return (np.abs(self.cells[qi] - cells[ti]).sum(axis=-1) <= 1).any(axis=-1)
+
+    def _own(self, t_ids) -> tuple[np.ndarray, np.ndarray]:
+        if self.ids is None:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        at, _ = self.ids.get_indexer_non_unique(t_ids)
+        if self.ids.is_unique:
+            ti = np.flatnonzero(at >= 0)
+            return at[ti], ti
+        counts = pd.Series(1, index=self.ids).groupby(level=0, dropna=False).size()
+        times = np.maximum(1, counts.reindex(t_ids).fillna(1).to_numpy().astype(np.int64))
+        ti = np.repeat(np.arange(len(t_ids)), times)
+        return at[at >= 0], ti[at >= 0]
+
+    def add(self, t: np.ndarray, t_ids, rows: pa.Table, cells: np.ndarray | None = None) -> None:
+        if t.shape[1] != self.q.shape[1]:
+            raise ValueError("vectors of unequal length")
+        for lo in range(0, len(t), T_TILE):
+            hi = min(len(t), lo + T_TILE)
+            ids = None if self.ids is None else t_ids[lo:hi]
+            qi, ti = self._near(t[lo:hi], self._own(ids), None if cells is None else cells[lo:hi])
+            self._merge(t[lo:hi], qi, ti, rows.slice(lo, hi - lo))
+            self.seen += hi - lo
+
+    def _near(self, t, own, cells):
+        """Pairs that may belong to the nearest."""
+        oq, ot = own
+        order = np.argsort(oq, kind="stable")
+        oq, ot = oq[order], ot[order]
+        out = []
+        tc = t - self.centre
+        scale = max(np.abs(tc).max(initial=0), np.abs(self.q - self.centre).max(initial=0))
+        sure = np.isfinite(scale)
+        scale = scale if sure and scale > 1e-300 else 1.0
+        single = np.float32
+        tf = np.ascontiguousarray((tc / scale).astype(single).T)
+        l2 = self.metric == "l2"
+        tn = (tf * tf).sum(axis=0, dtype=np.float64) if l2 else np.abs(tf).sum(axis=0, dtype=np.float64)
+        longest = np.sqrt(tn.max()) if l2 else tn.max()
+        tn = tn.astype(single)
+        tile = Q_TILE if l2 else Q_TILE // 4
+        work = np.empty((2, tile, t.shape[0]), single)
+        kk = min(self.k, len(t))
+        for a in range(0, len(self.q), tile):
+            z = min(len(self.q), a + tile)
+            limit = np.minimum(self.limit[a:z], self.rd[a:z, -1] * (1 + 1e-9) + 1e-8)
+            lo, hi = np.searchsorted(oq, (a, z))
+            mine = oq[lo:hi] - a, ot[lo:hi]
+            if not sure:
+                d = _distances(self.metric, self.q[a:z], t)
+                d[np.isnan(d)] = np.inf
+                error = np.zeros(z - a)
+                bound = limit
             else:
-                rd[np.flatnonzero(own >= 0), own[own >= 0]] = np.inf
-        kk = min(k, len(tdf))
-        cut = np.partition(rd, kk - 1, axis=1)[:, kk - 1]
-        qi, ti = np.nonzero((rd <= cut[:, None]) & np.isfinite(rd))
-        order = np.lexsort((ti, rd[qi, ti], qi))
-        qi, ti = qi[order], ti[order]
-        first = np.searchsorted(qi, qi)
-        best = np.arange(len(qi)) - first < kk
-        qi, ti = qi[best], ti[best]
-        out = {c: qdf[c].to_numpy()[qi] for c in keys}
-        out.update(q_id=qdf["q_id"].to_numpy()[qi], t_id=tdf["t_id"].to_numpy()[ti], label=tdf["label"].to_numpy()[ti],
-                   w=tdf["w"].to_numpy()[ti], dist=dist[qi, ti], rd=rd[qi, ti])
-        return pd.DataFrame(out, columns=columns)
+                qf = ((self.q[a:z] - self.centre) / scale).astype(single)
+                d, spare = work[0, :z - a], work[1, :z - a]
+                if l2:
+                    qn = (qf * qf).sum(axis=1, dtype=np.float64)
+                    np.matmul(qf * single(-2), tf, out=d)
+                    d += qn.astype(single)[:, None]
+                    d += tn
+                    reach = (np.sqrt(qn) + longest) ** 2
+                    bound = (limit / scale) ** 2
+                else:
+                    d[:] = 0
+                    for j in range(len(tf)):
+                        np.subtract(qf[:, j:j + 1], tf[j], out=spare)
+                        np.abs(spare, out=spare)
+                        np.add(d, spare, out=d)
+                    reach = np.abs(qf).sum(axis=1, dtype=np.float64) + longest
+                    bound = limit / scale
+                # Casts, products and sums: under dim + 8 roundings of 2**-24, taken double.
+                error = (len(tf) + 16) * 2.0**-23 * reach + 1e-30
+            d[mine] = np.inf
+            open_ = np.flatnonzero(~np.isfinite(bound))
+            if len(open_):
+                part = d[open_]
+                if cells is not None:
+                    part[~self._met(cells, (open_ + a)[:, None], np.arange(len(t))[None, :])] = np.inf
+                cut = np.partition(part, kk - 1, axis=1)[:, kk - 1].astype(np.float64)
+                slack = 2 * error[open_] + 1e-7 * np.abs(cut)
+                step = 1e-8 / scale
+                # What is rounded to 9 places may tie.
+                bound = bound.copy()
+                root = np.sqrt(np.maximum(cut + slack, 0)) if l2 and sure else cut + slack
+                bound[open_] = (root * (1 + 1e-9) + step) ** 2 if l2 and sure else root * (1 + 1e-9) + step
+            top = (bound + error) * (1 + 1e-6)
+            if sure:
+                top = np.minimum(top, 3e38).astype(single)
+            qi, ti = np.nonzero((d <= top[:, None]) & (d < np.inf))
+            out.append((qi + a, ti))
+        qi, ti = (np.concatenate(x) for x in zip(*out))
+        if cells is not None:
+            met = np.concatenate([np.empty(0, bool)] + [self._met(cells, qi[i:i + 65536], ti[i:i + 65536])
+                                                        for i in range(0, len(qi), 65536)])
+            qi, ti = qi[met], ti[met]
+        return qi, ti
+
+    def _merge(self, t, qi, ti, rows) -> None:
+        for lo in range(0, len(qi), MERGE):
+            q, i = qi[lo:lo + MERGE], ti[lo:lo + MERGE]
+            dist = _pair_distances(self.metric, self.q, t, q, i)
+            rd = np.round(dist, 9)
+            good = np.isfinite(rd) & (rd <= self.rd[q, -1]) & (dist <= self.limit[q])
+            q, i, dist, rd = q[good], i[good], dist[good], rd[good]
+            order = np.lexsort((i, rd, q))
+            q, i, dist, rd = q[order], i[order], dist[order], rd[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            keep = place < self.k
+            q, i, dist, rd, place = q[keep], i[keep], dist[keep], rd[keep], place[keep]
+            if not len(q):
+                continue
+            some, at = np.unique(q, return_inverse=True)
+            width = int(place.max()) + 1
+            grow = lambda old, new, empty: np.concatenate((old[some], _spread(new, at, place, len(some), width, empty)), axis=1)
+            rds, dists = grow(self.rd, rd, np.inf), grow(self.dist, dist, np.inf)
+            seqs = grow(self.seq, i + self.seen, -1)
+            best = np.lexsort((seqs, rds), axis=1)[:, :self.k]
+            self.rd[some], self.dist[some], self.seq[some] = (np.take_along_axis(x, best, 1) for x in (rds, dists, seqs))
+            used = np.unique(i)
+            self.rows.append(rows.take(pa.array(used)))
+            self.row_seq.append(used + self.seen)
+        if sum(map(len, self.row_seq)) > 2 * self.seq.size + 65536:
+            self._prune()
+
+    def _prune(self) -> None:
+        seq, rows = np.concatenate(self.row_seq), pa.concat_tables(self.rows)
+        seq, first = np.unique(seq, return_index=True)
+        keep = np.isin(seq, self.seq)
+        self.row_seq, self.rows = [seq[keep]], [rows.take(pa.array(first[keep])).combine_chunks()]
+
+    def result(self, queries: pa.Table, names: list[str]) -> Iterator[pa.RecordBatch]:
+        if not self.rows:
+            return
+        self._prune()
+        seq, rows = self.row_seq[0], self.rows[0]
+        qi, place = np.nonzero(self.seq >= 0)
+        for lo in range(0, len(qi), OUT):
+            q, c = qi[lo:lo + OUT], place[lo:lo + OUT]
+            one = queries.take(pa.array(q))
+            two = rows.take(pa.array(np.searchsorted(seq, self.seq[q, c])))
+            columns = {n: one[n] for n in one.column_names} | {n: two[n] for n in two.column_names}
+            columns |= {"dist": pa.array(self.dist[q, c]), "rd": pa.array(self.rd[q, c])}
+            yield from pa.table([columns[n] for n in names], names).combine_chunks().to_batches()
+
+
+def _spread(x: np.ndarray, row: np.ndarray, column: np.ndarray, n: int, width: int, empty) -> np.ndarray:
+    out = np.full((n, width), empty, x.dtype)
+    out[row, column] = x
+    return out
+
+
+def _kernel(metric: str, exclude_self: bool, k: int, keys: list[str], tables: int):
+    """Streams groups of sorted rows: a chunk's queries (side 0), then the
+    training rows that it meets (side 1), which are not kept."""
+    names = keys + ["q_id", "t_id", "label", "w", "dist", "rd"]
+
+    def hashed(table: pa.Table) -> np.ndarray | None:
+        if not tables:
+            return None
+        return _lists(table["cells"].combine_chunks()).reshape(table.num_rows, tables, -1)
+
+    def begin(parts: list[pa.Table]) -> tuple[_Best, pa.Table]:
+        q = pa.concat_tables(parts).combine_chunks()
+        ids = pd.Index(q["q_id"].to_pandas()) if exclude_self else None
+        worst = q["worst"].to_numpy()
+        return _Best(metric, k, _unpack(q["feat"].combine_chunks()), worst, ids, hashed(q)), q.select([*keys, "q_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, waiting, best, queries = None, [], None, None
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            g, side = table["g"].to_numpy(), table["side"].to_numpy()
+            new = np.flatnonzero((g[1:] != g[:-1]) | (side[1:] != side[:-1])) + 1
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(g)]):
+                if lo == hi:
+                    continue
+                if g[lo] != group:
+                    if best is not None:
+                        yield from best.result(queries, names)
+                    group, waiting, best, queries = g[lo], [], None, None
+                part = table.slice(lo, hi - lo)
+                if side[lo] == 0:
+                    waiting.append(part)
+                    continue
+                if best is None and waiting:
+                    (best, queries), waiting = begin(waiting), []
+                if best is not None:
+                    ids = part["t_id"].to_pandas() if exclude_self else None
+                    best.add(_unpack(part["feat"].combine_chunks()), ids, part.select(["t_id", "label", "w"]), hashed(part))
+        if best is not None:
+            yield from best.result(queries, names)
 
     return run
 
 
 def _block_join(t: DataFrame, q: DataFrame, keys: list[str], k: int, metric: str, exclude_self: bool,
-                block: int) -> DataFrame:
-    """(keys, q_id, t_id, label, w, dist, rd): the k best candidates of every
-    block of the equi-join on ``keys``.
-
-    Training rows of a key are split into ``ceil(n / block)`` salts by train
-    id and its queries into chunks by query id; each salt meets each chunk
-    once. Only keys above ``block`` rows (at most rows / block of them,
-    checked) need the split table."""
-    tc = t.groupBy(*keys).agg(F.count("*").alias("nt"))
-    qc = q.groupBy(*keys).agg(F.count("*").alias("nq"))
-    hot = tc.join(qc, keys).where((F.col("nt") > block) | (F.col("nq") > block)).select(
-        *keys, F.ceil(F.col("nt") / F.lit(block)).cast("int").alias("n_ts"),
-        F.ceil(F.col("nq") / F.lit(block)).cast("int").alias("n_qc"))
-    hot = checked_broadcast(cut_lineage(hot))
-    n_ts, n_qc = F.coalesce("n_ts", F.lit(1)), F.coalesce("n_qc", F.lit(1))
-    own = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    tb = t.join(hot, keys, "left").select(*keys, "t_id", "label", "w", "t_feat", own("t_id", n_ts).alias("ts"), every(n_qc).alias("qc"))
-    qb = q.join(hot, keys, "left").select(*keys, "q_id", "q_feat", every(n_ts).alias("ts"), own("q_id", n_qc).alias("qc"))
+                block: int, tables: int = 0) -> DataFrame:
+    """(keys, q_id, t_id, label, w, dist, rd): the k best training rows of every
+    query on the equi-join on ``keys``.
+
+    A key's queries are split into chunks of some ``block`` rows by a hash;
+    all training rows of the key stream past each of them. t: t_feat, q:
+    q_feat and worst, in ``_packed`` form; with ``tables``, both have cells."""
+    spark = t.sparkSession
+    spark.sparkContext.environment.setdefault("OPENBLAS_NUM_THREADS", "1")
+    tc = t.groupBy(*keys).count().select(*keys)
+    qc = q.groupBy(*[F.col(c).alias(f"k_{c}") for c in keys]).agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
+    same = F.lit(True)
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"k_{c}"))
+    size = cut_lineage(tc.join(qc, same).select(*[f"k_{c}" for c in keys], "chunks", F.monotonically_increasing_id().alias("base")))
+    # Numbers of groups: those of a key follow each other, over all keys.
+    most = size.agg(F.max("chunks"), F.sum("chunks"), F.count("*")).first()
+    stride, total, n_keys = most[0] or 1, int(most[1] or 1), most[2]
+    size = checked_broadcast(size)
+    vector = lambda side: [F.col(f"{side}_feat").alias("feat"), *([F.col("cells")] if tables else [])]
+    own = F.pmod(F.xxhash64("q_id", "q_feat"), F.col("chunks"))
+    none = lambda f: F.lit(None).cast(f.dataType).alias(f.name)
+    qs, ts = q.join(size, same), t.join(size, same)
+    g = lambda c: (F.col("base") * stride + c).alias("g")
+    left = qs.select(*keys, g(own), F.lit(0).alias("side"), "q_id", F.col("worst").cast("double").alias("worst"),
+                     *[none(t.schema[c]) for c in ("t_id", "label", "w")], *vector("q"))
+    right = ts.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        *keys, g(F.col("c")), F.lit(1).alias("side"), none(q.schema["q_id"]), F.lit(None).cast("double").alias("worst"),
+        "t_id", "label", "w", *vector("t"))
+    rows = left.unionByName(right)
+    parts = min(total, max(parallelism(spark), -(-n_keys // 64)))
+    if n_keys == 1 or keys == ["chunk"]:
+        # Few groups of like size: dealt in turn, where a hash would put several into one task.
+        turn = F.col("chunk") if keys == ["chunk"] else F.col("g")
+        rows = rows.repartitionById(parts, F.pmod(turn, F.lit(parts)).cast("int"))
+    else:
+        rows = rows.repartition(max(parallelism(spark), parts), "g")
+    rows = rows.sortWithinPartitions("g", "side", "t_id")
     schema = T.StructType([*[t.schema[c] for c in keys], q.schema["q_id"], t.schema["t_id"], t.schema["label"],
                            *T.StructType.fromDDL("w int, dist double, rd double").fields])
-    by = keys + ["ts", "qc"]
-    return tb.groupBy(*by).cogroup(qb.groupBy(*by)).applyInPandas(_block_kernel(metric, exclude_self, k, keys), schema)
+    return rows.mapInArrow(_kernel(metric, exclude_self, k, keys, tables), schema)
 
 
 def _top(pairs: DataFrame, part: list[str], k: int) -> DataFrame:
@@ -158,45 +424,92 @@ class Cells:
             self.count[cell], self.least[cell], self.greatest[cell] = n, lo, hi
 
     def _nearest(self, train: DataFrame) -> DataFrame:
-        pivots, metric = self.pivots, self.metric
-        schema = T.StructType([*train.schema.fields, *T.StructType.fromDDL("cell int, d double").fields])
+        """``train`` with packed vectors, its cell and the distance ``d`` from the pivot."""
+        pivots, metric, at = self.pivots, self.metric, train.columns.index("t_feat")
+        schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "t_feat" else f for f in train.schema.fields]
+                              + T.StructType.fromDDL("cell int, d double").fields)
 
         def run(batches):
             for b in batches:
-                for lo in range(0, len(b), BLOCK):
-                    part = b.iloc[lo:lo + BLOCK]
-                    dist = _distances(metric, _matrix(part["t_feat"]), pivots)
-                    yield part.assign(cell=dist.argmin(axis=1).astype(np.int32), d=dist.min(axis=1))
-
-        return train.mapInPandas(run, schema)
-
-    def queries(self, q: DataFrame, k: int, further: bool) -> DataFrame:
-        """(q_id, q_feat, cell): the nearest cells that hold k rows, or, given the
-        k-th distance there (``worst``), all others that can hold a nearer row."""
-        pivots, metric, count, least, greatest = self.pivots, self.metric, self.count, self.least, self.greatest
-        schema = T.StructType([q.schema["q_id"], q.schema["q_feat"], T.StructField("cell", T.IntegerType())])
+                for lo in range(0, b.num_rows, BLOCK):
+                    part = b.slice(lo, BLOCK)
+                    x = _lists(part.column(at))
+                    dist = _distances(metric, x, pivots)
+                    columns = [*part.columns, pa.array(dist.argmin(axis=1).astype(np.int32)), pa.array(dist.min(axis=1))]
+                    columns[at] = pa.array(_pack(x), pa.binary())
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+        return train.mapInArrow(run, schema)
+
+    def place(self, q: DataFrame, k: int, rows: int) -> DataFrame:
+        """(q_id, q_feat packed, near, chunk): the nearest cells that hold k rows,
+        and the query's chunk of some ``rows`` queries, neighbours together."""
+        pivots, metric, count = self.pivots, self.metric, self.count
+        schema = T.StructType([q.schema["q_id"], *T.StructType.fromDDL("q_feat binary, near array<int>").fields])
 
         def run(batches):
             for b in batches:
-                for lo in range(0, len(b), BLOCK):
-                    part = b.iloc[lo:lo + BLOCK]
-                    dist = _distances(metric, _matrix(part["q_feat"]), pivots)
+                for lo in range(0, b.num_rows, BLOCK):
+                    part = b.slice(lo, BLOCK)
+                    x = _lists(part.column(1))
+                    dist = _distances(metric, x, pivots)
                     order = np.argsort(np.where(count > 0, dist, np.inf), axis=1, kind="stable")
                     held = np.cumsum(count[order], axis=1) - count[order]
-                    take = np.zeros(dist.shape, bool)
-                    np.put_along_axis(take, order, held < k, axis=1)
-                    if further:
-                        bound = np.maximum(dist - greatest, least - dist)
-                        worst = part["worst"].to_numpy(np.float64, na_value=np.nan)
-                        worst = np.where(np.isnan(worst), np.inf, worst)
-                        # Slack for the rounding of distances to 9 places and of sums.
-                        take = ~take & (bound <= worst[:, None] * (1 + 1e-9) + 1e-8)
-                    row, cell = np.nonzero(take & (count > 0))
-                    if len(row):
-                        yield pd.DataFrame({"q_id": part["q_id"].to_numpy()[row], "q_feat": part["q_feat"].to_numpy()[row],
-                                            "cell": cell.astype(np.int32)})
-
-        return q.mapInPandas(run, schema)
+                    take = (held < k) & (count[order] > 0)
+                    near = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(take.sum(axis=1))).astype(np.int32)),
+                                                    pa.array(order[take].astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_pack(x), pa.binary()), near], schema.names)
+
+        placed = cut_lineage(q.select("q_id", "q_feat").mapInArrow(run, schema))
+        first = F.element_at("near", 1)
+        n = dict(placed.groupBy(first).count().collect())
+        start, size, done = [0] * len(pivots), [1] * len(pivots), 0
+        for cell in self._line():
+            start[cell], size[cell] = done, max(1, n.get(cell, 0))
+            done += n.get(cell, 0)
+        of = lambda xs: F.element_at(F.array(*[F.lit(x).cast("long") for x in xs]), first + 1)
+        at = of(start) + F.pmod(F.xxhash64("q_id", "q_feat"), of(size))
+        return placed.withColumn("chunk", F.floor(at / F.lit(rows)).cast("long"))
+
+    def _line(self) -> list[int]:
+        """The cells in an order in which neighbours tend to follow each other."""
+        dist = _distances(self.metric, self.pivots, self.pivots)
+        line, left = [0], np.ones(len(dist), bool)
+        left[0] = False
+        while left.any():
+            line.append(int(np.where(left, dist[line[-1]], np.inf).argmin()) if np.isfinite(dist[line[-1]][left]).any()
+                        else int(np.flatnonzero(left)[0]))
+            left[line[-1]] = False
+        return line
+
+    def further(self, q: DataFrame) -> DataFrame:
+        """(chunk, cell): the cells that can hold a row as near as the k-th so far
+        (``worst``; none: any) of a query of the chunk."""
+        pivots, metric, count, least, greatest = self.pivots, self.metric, self.count, self.least, self.greatest
+
+        def run(batches):
+            seen = set()
+            for b in batches:
+                for lo in range(0, b.num_rows, BLOCK):
+                    part = b.slice(lo, BLOCK)
+                    dist = _distances(metric, _unpack(part.column(0)), pivots)
+                    bound = np.maximum(dist - greatest, least - dist)
+                    worst = part.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
+                    worst = np.where(np.isnan(worst), np.inf, worst)
+                    # Slack for the rounding of distances to 9 places and of sums.
+                    row, cell = np.nonzero(~(bound > worst[:, None] * (1 + 1e-9) + 1e-8) & (count > 0))
+                    pairs = set(zip(part.column(1).to_numpy()[row].tolist(), cell.tolist())) - seen
+                    seen |= pairs
+                    if pairs:
+                        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], t) for i, t in
+                                                          enumerate((pa.int64(), pa.int32()))], ["chunk", "cell"])
+
+        return q.select("q_feat", "chunk", "worst").mapInArrow(run, "chunk long, cell int").distinct()
+
+    def meeting(self, needs: DataFrame) -> DataFrame:
+        """The training rows for every chunk that needs their cell."""
+        chunks = F.broadcast(needs.groupBy("cell").agg(F.collect_set("chunk").alias("chunks")))
+        return self.rows.drop("d").join(chunks, "cell").withColumn("chunk", F.explode("chunks")).drop("cell", "chunks")
 
 
 def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
@@ -209,7 +522,7 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     returns (*within, q_id, t_id, label, dist, slots): at most k slots per
     (within, q_id); ``slots`` is how many of the k places the row fills.
 
-    With ``within``, a query meets all training rows of its group, in blocks;
+    With ``within``, a query meets all training rows of its group, in chunks;
     without, pivot cells exclude rows (``pivots`` of them, by default one
     for ``CELL`` training rows, ``PIVOTS`` at most).
     """
@@ -218,28 +531,44 @@ def search(train: DataFrame, query: DataFrame, k: int, metric: str = "l2",
     if metric not in ("l1", "l2"):
         raise ValueError(f"unknown metric {metric!r}; use 'l1' or 'l2'")
     within = list(within)
-    t = train.select(*within, F.col("row_id").alias("t_id"), "label", _required(F.col("features")).alias("t_feat"),
-                     (F.col("w") if "w" in train.columns else F.lit(1)).cast("int").alias("w"))
-    q = query.select(*within, F.col("row_id").alias("q_id"), _required(F.col("features")).alias("q_feat"))
+    t, q = _sides(train, query, within)
     n = t.count()
-    block = min(BLOCK, max(128, -(-n // parallelism(train.sparkSession))))
+    block = _chunk(query)
     out = within + ["q_id", "t_id", "label", "dist", "slots"]
+    unbound = F.lit(None).cast("double")
     if within or not n:
         keys = within or ["cell"]
-        pairs = _block_join(t if within else t.withColumn("cell", F.lit(0)), q if within else q.withColumn("cell", F.lit(0)),
-                            keys, k, metric, exclude_self, block)
-        return _top(pairs, within + ["q_id"], k).select(*out)
+        t, q = (_packed(df if within else df.withColumn("cell", F.lit(0)), f"{side}_feat") for df, side in ((t, "t"), (q, "q")))
+        return _top(_block_join(t, q.withColumn("worst", unbound), keys, k, metric, exclude_self, block), within + ["q_id"], k) \
+            .select(*out)
     cells = Cells(t, metric, pivots or max(1, min(PIVOTS, n // CELL)))
-    enough = k + exclude_self
-    near = cells.queries(q, enough, False)
     kept = ["q_id", "t_id", "label", "w", "dist", "rd"]
-    join = lambda part: _block_join(cells.rows, part, ["cell"], k, metric, exclude_self, block).select(*kept)
+    # A chunk is not cut again.
+    join = lambda needs, part: _block_join(cells.meeting(needs), part, ["chunk"], k, metric, exclude_self, 1 << 40) \
+        .select(*kept)
+    placed = cells.place(q, k + exclude_self, block)
+    near = cut_lineage(placed.select("chunk", F.explode("near").alias("cell")).distinct())
+    pairs = join(near, placed.drop("near").withColumn("worst", unbound))
     if len(cells.pivots) == 1:
-        return _top(join(near), ["q_id"], k).select(*out)
-    first = cut_lineage(_top(join(near), ["q_id"], k).select(*kept, "covered", "worst"))
+        return _top(pairs, ["q_id"], k).select(*out)
+    first = cut_lineage(_top(pairs, ["q_id"], k).select(*kept, "covered", "worst"))
     bound = first.groupBy("q_id").agg(F.max(F.when(F.col("covered") >= k, F.col("worst"))).alias("worst"))
-    more = join(cells.queries(q.join(bound, "q_id", "left"), enough, True))
-    return _top(first.select(*kept).unionByName(more), ["q_id"], k).select(*out)
+    placed = cut_lineage(placed.drop("near").join(bound, "q_id", "left"))
+    needs = cut_lineage(cells.further(placed).join(near, ["chunk", "cell"], "left_anti"))
+    return _top(first.select(*kept).unionByName(join(needs, placed)), ["q_id"], k).select(*out)
+
+
+def _sides(train: DataFrame, query: DataFrame, more: list[str]) -> tuple[DataFrame, DataFrame]:
+    t = train.select(*more, F.col("row_id").alias("t_id"), "label", _required(F.col("features")).alias("t_feat"),
+                     (F.col("w") if "w" in train.columns else F.lit(1)).cast("int").alias("w"))
+    return t, query.select(*more, F.col("row_id").alias("q_id"), _required(F.col("features")).alias("q_feat"))
+
+
+def _chunk(query: DataFrame) -> int:
+    """Queries of a chunk: two chunks for each core while a chunk's vectors
+    stay within ``CHUNK_BYTES``."""
+    n, width = query.agg(F.count("*"), F.max(F.size("features"))).first()
+    return max(64, min(-(-n // (2 * query.sparkSession.sparkContext.defaultParallelism)), CHUNK_BYTES // max(1, 8 * (width or 1))))
 
 
 def vote(neighbours: DataFrame, within: tuple[str, ...] | list[str] = ()) -> DataFrame:

@@ -195,3 +195,43 @@ def test_bayes_stream_scoring_matches_batch(spark, tmp_path):
     assert len(rows) == enc.count()
     for r in rows:
         assert list(r.preds) == [batch[(m, r.row_id)] for m in range(3)]
+
+
+def _joins(monkeypatch):
+    """(pairs met, queries sent, training rows) of every join of a search."""
+    seen, join = [], K._block_join
+
+    def counted(t, q, keys, *rest):
+        both = t.groupBy(*keys).count().join(q.groupBy(*keys).agg(F.count("*").alias("m")), keys)
+        seen.append((both.agg(F.sum(F.col("count") * F.col("m"))).first()[0] or 0, q.count()))
+        return join(t, q, keys, *rest)
+
+    monkeypatch.setattr(K, "_block_join", counted)
+    return seen
+
+
+def test_queries_are_sent_once_on_vectors_without_structure(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, i % 3, v) for i, v in enumerate(rng.normal(0, 1, (600, 12)).tolist())]
+    e = spark.createDataFrame(rows, "row_id bigint, label bigint, features array<double>")
+    seen = _joins(monkeypatch)
+    got = {r.row_id: r.pred for r in K.predict(e, e, 5, "l2", exclude_self=True, pivots=30).collect()}
+    assert got == _brute_knn(rows, [(i, f) for i, _, f in rows], 5, "l2", True)
+    assert all(sent <= len(rows) for _, sent in seen) and sum(pairs for pairs, _ in seen) <= len(rows) ** 2
+
+
+def test_estimates_far_from_the_origin_and_ties(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate((rng.integers(0, 3, (300, 5)) + 1e6, rng.normal(0, 1e-4, (100, 5)) - 7e5))
+    rows = [(f"r{i:03d}", i % 3, v) for i, v in enumerate(x.tolist())]
+    e = spark.createDataFrame(rows, "row_id string, label bigint, features array<double>")
+    for metric in ("l1", "l2"):
+        got = {r.row_id: r.pred for r in K.predict(e, e, 4, metric, exclude_self=True, pivots=20).collect()}
+        want = {}
+        for i, _, f in rows:
+            d = sorted((round(float(K._distances(metric, np.array([f]), np.array([g]))[0, 0]), 9), j, lab) for j, lab, g in rows if j != i)
+            counts = {}
+            for _, _, lab in d[:4]:
+                counts[lab] = counts.get(lab, 0) + 1
+            want[i] = min(counts, key=lambda lab: (-counts[lab], lab))
+        assert got == want
