@@ -649,11 +649,9 @@ def bagged_predict(bag: DataFrame, query: DataFrame, k: int, metric: str = "l2",
         .select("model_id", "row_id", "pred")
 
 
-def lsh_keys(features: str | F.Column, tables: int, projections: int, width: float, dim: int, seed: int,
-             probe: bool = False) -> F.Column:
-    """Array of (table, key): for every table, the cells of ``projections``
-    random projections (coefficients 1 or -1, drawn by md5). With ``probe``, also
-    the keys that differ by one step in one projection."""
+def lsh_cells(features: str | F.Column, tables: int, projections: int, width: float, dim: int, seed: int) -> list[list[F.Column]]:
+    """For every table, the cells of ``projections`` random projections
+    (coefficients 1 or -1, drawn by md5)."""
     v = F.col(features) if isinstance(features, str) else features
     out = []
     for j in range(tables):
@@ -662,9 +660,23 @@ def lsh_keys(features: str | F.Column, tables: int, projections: int, width: flo
             signs = F.lit([1.0 if draw(seed, j * projections + p, i) < 0.5 else -1.0 for i in range(dim)])
             total = F.aggregate(F.zip_with(v, signs, lambda x, s: x * s), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
             cells.append(F.floor(F.round(total, 6) / F.lit(float(width))).cast("long"))
-        steps = [[0] * projections]
+        out.append(cells)
+    return out
+
+
+def lsh_keys(features: str | F.Column, tables: int, projections: int, width: float, dim: int, seed: int,
+             probe: bool = False) -> F.Column:
+    """Array of (table, key) of ``lsh_cells``. With ``probe``, also the keys that
+    differ by one step in one projection."""
+    return _table_keys(lsh_cells(features, tables, projections, width, dim, seed), probe)
+
+
+def _table_keys(tables: list[list[F.Column]], probe: bool) -> F.Column:
+    out = []
+    for j, cells in enumerate(tables):
+        steps = [[0] * len(cells)]
         if probe:
-            steps += [[d if i == p else 0 for i in range(projections)] for p in range(projections) for d in (-1, 1)]
+            steps += [[d if i == p else 0 for i in range(len(cells))] for p in range(len(cells)) for d in (-1, 1)]
         out += [F.struct(F.lit(j).alias("table"), F.concat_ws(",", *[(c + F.lit(d)).cast("string") for c, d in zip(cells, s)])
                          .alias("key")) for s in steps]
     return F.array(*out)
@@ -674,12 +686,32 @@ def lsh_predict(train: DataFrame, query: DataFrame, k: int, tables: int, project
                 seed: int, metric: str = "l2", exclude_self: bool = False) -> DataFrame:
     """K6 with several hash tables: a query probes its cell and the
     neighbouring ones of every table; candidates that share several cells
-    with it are taken once. The k best of each cell are found in blocks (no
-    pair of a cell is listed). A query without candidates gets NULL."""
-    keyed = lambda df, probe: df.withColumn("cell", F.explode(
-        lsh_keys("features", tables, projections, width, dim, seed, probe))).withColumn(
-        "table", F.col("cell.table")).withColumn("key", F.col("cell.key")).drop("cell")
-    found = search(keyed(train, False), keyed(query, True), k, metric, within=["table", "key"], exclude_self=exclude_self)
-    once = found.groupBy("q_id", "t_id").agg(F.first("label").alias("label"), F.first("dist").alias("dist"))
-    top = _top(once.withColumn("w", F.lit(1)).withColumn("rd", F.round("dist", 9)), ["q_id"], k)
-    return query.select("row_id").join(vote(top).withColumnRenamed("q_id", "row_id"), "row_id", "left")
+    with it are taken once. A query without candidates gets NULL.
+
+    The pairs that meet are counted first, over all tables. Where there are
+    fewer than queries times training rows, each cell is searched; else the
+    training rows stream past the queries once, with their cells, and only
+    pairs that meet in a table count, so none is compared for each table."""
+    flat = [c for cells in lsh_cells("features", tables, projections, width, dim, seed) for c in cells]
+    t = cut_lineage(train.select("row_id", "label", "features", F.array(*flat).alias("cells")))
+    q = t.select("row_id", "features", "cells") if query is train else \
+        cut_lineage(query.select("row_id", "features", F.array(*flat).alias("cells")))
+    parts = [[F.get("cells", j * projections + p) for p in range(projections)] for j in range(tables)]
+    keyed = lambda df, probe: df.withColumn("cell", F.explode(_table_keys(parts, probe))).withColumn(
+        "table", F.col("cell.table")).withColumn("key", F.col("cell.key")).drop("cell", "cells")
+    if _meetings(keyed(t, False), keyed(q, True)) < t.count() * q.count():
+        found = search(keyed(t, False), keyed(q, True), k, metric, within=["table", "key"], exclude_self=exclude_self)
+        once = found.groupBy("q_id", "t_id").agg(F.first("label").alias("label"), F.first("dist").alias("dist")) \
+            .withColumn("w", F.lit(1)).withColumn("rd", F.round("dist", 9))
+    else:
+        ts, qs = (_packed(df.withColumn("every", F.lit(0)), f) for df, f in zip(
+            _sides(t.dropDuplicates(["row_id"]), q.dropDuplicates(["row_id"]), ["cells"]), ("t_feat", "q_feat")))
+        once = _block_join(ts, qs.withColumn("worst", F.lit(None).cast("double")), ["every"], k, metric, exclude_self,
+                           _chunk(query), tables)
+    return query.select("row_id").join(vote(_top(once, ["q_id"], k)).withColumnRenamed("q_id", "row_id"), "row_id", "left")
+
+
+def _meetings(t: DataFrame, q: DataFrame) -> float:
+    """Pairs of rows that meet under a table's key, counted for every such key."""
+    of = lambda df, n: df.groupBy("table", "key").agg(F.count("*").cast("double").alias(n))
+    return of(t, "nt").join(of(q, "nq"), ["table", "key"]).agg(F.sum(F.col("nt") * F.col("nq"))).first()[0] or 0.0

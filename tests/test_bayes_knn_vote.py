@@ -235,3 +235,22 @@ def test_estimates_far_from_the_origin_and_ties(spark):
                 counts[lab] = counts.get(lab, 0) + 1
             want[i] = min(counts, key=lambda lab: (-counts[lab], lab))
         assert got == want
+
+
+def test_hashed_search_compares_a_pair_once(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (400, 16))
+    rows = [(i, i % 3, v) for i, v in enumerate(x.tolist())]
+    e = spark.createDataFrame(rows, "row_id bigint, label bigint, features array<double>")
+    for width, projections in ((4.0, 1), (0.5, 2)):
+        seen = _joins(monkeypatch)
+        got = {r.row_id: r.pred for r in K.lsh_predict(e, e, 5, 3, projections, width, 16, 3, exclude_self=True).collect()}
+        keys = K.lsh_cells("features", 3, projections, width, 16, 3)
+        cells = {r[0]: np.array(r[1]) for r in e.select("row_id", F.array(*[F.array(*c) for c in keys])).collect()}
+        met = lambda a, b: (np.abs(cells[a] - cells[b]).sum(axis=1) <= 1).any()
+        want = {i: None for i, _, _ in rows}
+        for i, _, f in rows:
+            want |= _brute_knn([r for r in rows if r[0] != i and met(i, r[0])], [(i, f)], 5, "l2", True)
+        assert got == want
+        assert sum(pairs for pairs, _ in seen) <= len(rows) ** 2
+        monkeypatch.undo()
