@@ -40,6 +40,26 @@ def poisson(points: DataFrame, n_models: int, fraction: float, seed: int) -> Dat
     return per.withColumn("w", w).where(F.col("w") > 0)
 
 
+def drawn(points: DataFrame, n_models: int, fraction: float, seed: int, method: str) -> DataFrame:
+    """``points`` with ``ws``, the weights of a row in the bags of ``bernoulli`` or
+    ``poisson`` by model: kept with cached points, draws are made once for
+    however many passes over the bags (``spread_bags``)."""
+    if n_models < 1:
+        raise ValueError("n_models must be >= 1")
+    us = F.transform(F.sequence(F.lit(0), F.lit(n_models - 1)), lambda m: uniform(seed, m, F.col("row_id")))
+    if method == "poisson":
+        return points.withColumn("ws", F.transform(us, lambda u: poisson_weight(u, float(fraction))))
+    if method == "bernoulli":
+        return points.withColumn("ws", F.transform(us, lambda u: (u < F.lit(float(fraction))).cast("int")))
+    raise ValueError(f"no weights by row for bagging method {method!r}")
+
+
+def spread_bags(points: DataFrame) -> DataFrame:
+    """The bags of ``drawn`` points, in one frame as of ``bags``."""
+    return points.select(*[c for c in points.columns if c != "ws"], F.posexplode("ws").alias("model_id", "w")) \
+        .where(F.col("w") > 0)
+
+
 ROWS_PER_BUCKET = 1_000_000
 
 

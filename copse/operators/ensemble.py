@@ -38,10 +38,14 @@ def run(train: DataFrame, test: DataFrame, n_trees: int = 0, n_nb: int = 0, n_kn
         raise ValueError("model counts must not be negative, and at least one positive")
     prof = profile.profile(train) if feature_profile is None else feature_profile
     n_features = prof.count()
-    points = encode.encode(train, prof).select("row_id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    points = encode.encode(train, prof).select("row_id", "label", "features")
+    by_row = method != "keep_or_replace"
+    if by_row:
+        points = bagging.drawn(points, n_models, fraction, seed, method)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     queries = encode.encode(evaluate.limit_rows(test, n_test), prof)
     try:
-        bag = bagging.bags(points, n_models, fraction, seed, method)
+        bag = bagging.spread_bags(points) if by_row else bagging.bags(points, n_models, fraction, seed, method)
         of = lambda lo, n: bag.where(F.col("model_id").between(lo, lo + n - 1))
         preds = []
         if n_trees:

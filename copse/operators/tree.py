@@ -501,16 +501,20 @@ def vote_expression(preds: "F.Column") -> "F.Column":
 
 def fit_bags(points: DataFrame, n_models: int, fraction: float, seed: int, max_depth: int,
              method: str = "poisson", max_candidates: int = MAX_CANDIDATES) -> DataFrame:
-    """Bag and grow in one call, caching the points once (1x the input)
-    instead of the exploded bag (models x the input): every level draws
-    the bag weights again from the cached points, which is a projection
-    (md5 per row and model), not a shuffle. Keep-or-replace bags need a
-    join to draw, so that method caches the bag itself."""
+    """Bag and grow in one call, caching the points once with the weights of
+    each row (one integer a model) instead of the exploded bag (models x
+    the input): every level spreads the cached points over the bags again,
+    and no draw is made twice. Keep-or-replace bags need a join to draw, so
+    that method caches the bag itself."""
     from copse.operators import bagging
 
-    cached = points.select("row_id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    cached = points.select("row_id", "label", "features")
+    by_row = method != "keep_or_replace"
+    if by_row:
+        cached = bagging.drawn(cached, n_models, fraction, seed, method)
+    cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        bag = bagging.bags(cached, n_models, fraction, seed, method)
+        bag = bagging.spread_bags(cached) if by_row else bagging.bags(cached, n_models, fraction, seed, method)
         return fit(bag, max_depth, seed, max_candidates, persist=(method == "keep_or_replace"))
     finally:
         cached.unpersist()

@@ -84,3 +84,31 @@ def test_ordinal_buckets_grow_with_rows(spark):
     o, n = B.ordinals(pts, 2, rows_per_bucket=1000)   # forces ceil(n / 1000) buckets
     r = o.agg(F.min("ordinal"), F.max("ordinal"), F.countDistinct("ordinal")).first()
     assert tuple(r) == (0, n - 1, n)
+
+
+def test_weights_of_a_row_are_the_bags(spark):
+    from copse.operators import bagging
+    rows = [(i if i % 7 else None, i % 3, [float(i)]) for i in range(200)]
+    pts = spark.createDataFrame(rows, "row_id bigint, label bigint, features array<double>")
+    names = ["model_id", "row_id", "label", "features", "w"]
+    every = lambda df: sorted(map(str, df.select(names).collect()))
+    for method in ("poisson", "bernoulli"):
+        got = bagging.spread_bags(bagging.drawn(pts, 5, 0.7, 3, method))
+        assert every(got) == every(bagging.bags(pts, 5, 0.7, 3, method))
+
+
+def test_trees_draw_a_row_once(spark, monkeypatch):
+    from copse.operators import bagging, tree
+    pts = spark.createDataFrame([(i, i % 2, [float(i % 5), float(i % 3)]) for i in range(60)],
+                                "row_id bigint, label bigint, features array<double>")
+    plans, fit = [], tree.fit
+
+    def seen(bag, *rest, **more):
+        plans.append(bag._jdf.queryExecution().withCachedData().toString())
+        return fit(bag, *rest, **more)
+
+    monkeypatch.setattr(tree, "fit", seen)
+    assert tree.fit_bags(pts, 3, 0.7, 1, 2).count() > 0
+    # Outside of the cached relation nothing is drawn.
+    assert "md5" not in plans[0].split("InMemoryRelation")[0]
+    assert bagging.drawn(pts, 3, 0.7, 1, "poisson").columns[-1] == "ws"
