@@ -36,7 +36,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -142,9 +141,16 @@ class _Best:
     meet in a table, one step in one projection aside, count.
     """
 
-    def __init__(self, metric: str, k: int, q: np.ndarray, worst: np.ndarray, ids: pd.Index | None,
+    def __init__(self, metric: str, k: int, q: np.ndarray, worst: np.ndarray, ids: list | None,
                  cells: np.ndarray | None = None):
-        self.metric, self.k, self.q, self.ids, self.cells = metric, k, q, ids, cells
+        self.metric, self.k, self.q, self.cells = metric, k, q, cells
+        self.ids = None
+        if ids is not None:
+            self.ids = {}
+            for i, one in enumerate(ids):
+                self.ids.setdefault(one, []).append(i)
+            if len(self.ids.get(None, ())) > 1:
+                del self.ids[None]
         worst = np.where(np.isnan(worst), np.inf, worst)
         self.limit = worst * (1 + 1e-9) + 1e-8
         self.rd = np.full((len(q), k), np.inf)
@@ -156,17 +162,13 @@ class _Best:
     def _met(self, cells: np.ndarray, qi, ti) -> np.ndarray:
         return (np.abs(self.cells[qi] - cells[ti]).sum(axis=-1) <= 1).any(axis=-1)
 
-    def _own(self, t_ids) -> tuple[np.ndarray, np.ndarray]:
+    def _own(self, t_ids: list | None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, training row) of equal ids. Several rows without an id
+        are not each other's copies."""
         if self.ids is None:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        at, _ = self.ids.get_indexer_non_unique(t_ids)
-        if self.ids.is_unique:
-            ti = np.flatnonzero(at >= 0)
-            return at[ti], ti
-        counts = pd.Series(1, index=self.ids).groupby(level=0, dropna=False).size()
-        times = np.maximum(1, counts.reindex(t_ids).fillna(1).to_numpy().astype(np.int64))
-        ti = np.repeat(np.arange(len(t_ids)), times)
-        return at[at >= 0], ti[at >= 0]
+        pairs = [(q, i) for i, t in enumerate(t_ids) for q in self.ids.get(t, ())]
+        return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
 
     def add(self, t: np.ndarray, t_ids, rows: pa.Table, cells: np.ndarray | None = None) -> None:
         if t.shape[1] != self.q.shape[1]:
@@ -318,7 +320,7 @@ def _kernel(metric: str, exclude_self: bool, k: int, keys: list[str], tables: in
 
     def begin(parts: list[pa.Table]) -> tuple[_Best, pa.Table]:
         q = pa.concat_tables(parts).combine_chunks()
-        ids = pd.Index(q["q_id"].to_pandas()) if exclude_self else None
+        ids = q["q_id"].to_pylist() if exclude_self else None
         worst = q["worst"].to_numpy()
         return _Best(metric, k, _unpack(q["feat"].combine_chunks()), worst, ids, hashed(q)), q.select([*keys, "q_id"])
 
@@ -342,7 +344,7 @@ def _kernel(metric: str, exclude_self: bool, k: int, keys: list[str], tables: in
                 if best is None and waiting:
                     (best, queries), waiting = begin(waiting), []
                 if best is not None:
-                    ids = part["t_id"].to_pandas() if exclude_self else None
+                    ids = part["t_id"].to_pylist() if exclude_self else None
                     best.add(_unpack(part["feat"].combine_chunks()), ids, part.select(["t_id", "label", "w"]), hashed(part))
         if best is not None:
             yield from best.result(queries, names)
@@ -689,9 +691,10 @@ def lsh_predict(train: DataFrame, query: DataFrame, k: int, tables: int, project
     with it are taken once. A query without candidates gets NULL.
 
     The pairs that meet are counted first, over all tables. Where there are
-    fewer than queries times training rows, each cell is searched; else the
-    training rows stream past the queries once, with their cells, and only
-    pairs that meet in a table count, so none is compared for each table."""
+    fewer than queries times training rows, or training ids repeat, each cell
+    is searched; else the training rows stream past the queries once, with
+    their cells, and only pairs that meet in a table count, so none is
+    compared for each table."""
     flat = [c for cells in lsh_cells("features", tables, projections, width, dim, seed) for c in cells]
     t = cut_lineage(train.select("row_id", "label", "features", F.array(*flat).alias("cells")))
     q = t.select("row_id", "features", "cells") if query is train else \
@@ -699,16 +702,17 @@ def lsh_predict(train: DataFrame, query: DataFrame, k: int, tables: int, project
     parts = [[F.get("cells", j * projections + p) for p in range(projections)] for j in range(tables)]
     keyed = lambda df, probe: df.withColumn("cell", F.explode(_table_keys(parts, probe))).withColumn(
         "table", F.col("cell.table")).withColumn("key", F.col("cell.key")).drop("cell", "cells")
-    if _meetings(keyed(t, False), keyed(q, True)) < t.count() * q.count():
+    repeated = not t.groupBy("row_id").count().where("count > 1").isEmpty()
+    if repeated or _meetings(keyed(t, False), keyed(q, True)) < t.count() * q.count():
         found = search(keyed(t, False), keyed(q, True), k, metric, within=["table", "key"], exclude_self=exclude_self)
-        once = found.groupBy("q_id", "t_id").agg(F.first("label").alias("label"), F.first("dist").alias("dist")) \
-            .withColumn("w", F.lit(1)).withColumn("rd", F.round("dist", 9))
     else:
         ts, qs = (_packed(df.withColumn("every", F.lit(0)), f) for df, f in zip(
-            _sides(t.dropDuplicates(["row_id"]), q.dropDuplicates(["row_id"]), ["cells"]), ("t_feat", "q_feat")))
-        once = _block_join(ts, qs.withColumn("worst", F.lit(None).cast("double")), ["every"], k, metric, exclude_self,
-                           _chunk(query), tables)
-    return query.select("row_id").join(vote(_top(once, ["q_id"], k)).withColumnRenamed("q_id", "row_id"), "row_id", "left")
+            _sides(t, q, ["cells"]), ("t_feat", "q_feat")))
+        found = _block_join(ts, qs.withColumn("worst", F.lit(None).cast("double")), ["every"], k, metric, exclude_self,
+                            _chunk(query), tables)
+    once = found.groupBy("q_id", "t_id").agg(F.first("label").alias("label"), F.first("dist").alias("dist"))
+    top = _top(once.withColumn("w", F.lit(1)).withColumn("rd", F.round("dist", 9)), ["q_id"], k)
+    return query.select("row_id").join(vote(top).withColumnRenamed("q_id", "row_id"), "row_id", "left")
 
 
 def _meetings(t: DataFrame, q: DataFrame) -> float:

@@ -254,3 +254,15 @@ def test_hashed_search_compares_a_pair_once(spark, monkeypatch):
         assert got == want
         assert sum(pairs for pairs, _ in seen) <= len(rows) ** 2
         monkeypatch.undo()
+
+
+def test_repeated_and_missing_ids(spark):
+    rows = [(1, 0, [0.0, 0.0]), (1, 1, [0.0, 9.0]), (2, 1, [0.0, 1.0]), (None, 2, [0.0, 5.0]), (None, 2, [0.0, 6.0]), (3, 2, [0.0, 5.5])]
+    e = spark.createDataFrame(rows, "row_id bigint, label bigint, features array<double>")
+    nb = K.search(e, e, 2, "l2", exclude_self=True).collect()
+    # Equal ids are left out; rows without an id are not each other's copies.
+    assert not [r for r in nb if r.q_id is not None and r.q_id == r.t_id]
+    assert [(r.t_id, r.dist) for r in nb if r.q_id is None] == [(None, 0.0)] * 2
+    assert {(r.t_id, r.dist) for r in nb if r.q_id == 3} == {(None, 0.5)}
+    hashed = K.lsh_predict(e, e.where("row_id = 3"), 2, 2, 1, 100.0, 2, 3, exclude_self=True).collect()
+    assert [r.row_id for r in hashed] == [3] and hashed[0].pred in (1, 2)
