@@ -6,9 +6,10 @@ min-hashes of 16 bits. Signatures are cut into ``CHUNKS`` chunks of
 at most ``CHUNKS * (ERRORS + 1) - 1`` values differ in at most ``ERRORS``
 values within some chunk; each chunk is indexed once for every choice of
 ``ERRORS`` values left out, so all such pairs meet under some key. A pair
-at similarity 0.8 is missed with probability 9.5e-6 (all five chunks must
-have three or more differing values of six); pairs that meet are not tested
-for the distance of their signatures again.
+at similarity 0.8 is missed with probability 6.3e-6 (all seven chunks must
+have two or more differing values of four); pairs that meet are not tested
+for the distance of their signatures again. Of keys with the same classes,
+the first stands for all.
 
 Pairs within a key are not listed. Documents with equal sets are one class
 from the start. Each class is first compared with the smallest class of its
@@ -56,7 +57,7 @@ from copse.llm.components import contract, labels
 from copse.llm.scratch import Steps, shuffle_parts
 from copse.llm.store import keep_texts, key, pick, with_texts
 
-CHUNKS, WIDTH, ERRORS = 5, 6, 2
+CHUNKS, WIDTH, ERRORS = 7, 4, 1
 VALUES = CHUNKS * WIDTH
 GROUP = 64
 #: Comparisons of a class before those across components.
@@ -153,8 +154,7 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 sig = _matrix(part.column(1)).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
                 keys = np.empty((len(sig), CHUNKS, len(_KEEP)), np.uint64)
                 for j, keep in enumerate(_KEEP):
-                    four = sig[:, :, keep]
-                    packed = four[..., 0] | four[..., 1] << 16 | four[..., 2] << 32 | four[..., 3] << 48
+                    packed = sum(sig[:, :, i] << np.uint64(16 * n) for n, i in enumerate(keep))
                     keys[:, :, j] = X.mix(X.mix(packed) + np.arange(CHUNKS, dtype=np.uint64) * np.uint64(64)
                                           + np.uint64(j + 1))
                 flat = keys.reshape(len(sig), -1).view(np.int64)
@@ -166,6 +166,16 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("v", "sig").mapInArrow(run, "key long, no int, v long")
 
 
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """(key, pivot): the keys of more than one class, and the smallest of these.
+    Of keys with the same classes only that with the least ``no``: every pair
+    under the others meets under it, and ``_first_key`` never leaves it out."""
+    found = keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"), F.min("no").alias("no"),
+                                    F.bit_xor(F.xxhash64("v")).alias("all")).where("size > 1")
+    return found.groupBy("size", "pivot", "all").agg(F.min(F.struct("no", "key")).alias("first")) \
+        .select("first.key", "pivot")
+
+
 def _matrix(column, kind: str = "<u2", width: int = VALUES) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
@@ -270,8 +280,8 @@ def across(members: DataFrame, classes: DataFrame, percent: int, most: int | Non
                 for a, ca, sa, ka, na in lefts:
                     at = lo + np.flatnonzero((comp[lo:hi] != ca) & (inside[lo:hi] | (v[lo:hi] > a)))
                     at = at[(100 * n[at] >= percent * na) & (100 * na >= percent * n[at])]
-                    at = at[plausible(ka, sk[at], n[at] + na, percent)]
                     at = at[_first_key(sa == sig[at], int(no[lo]))]
+                    at = at[plausible(ka, sk[at], n[at] + na, percent)]
                     more = most is not None and len(at) > most
                     if more:
                         used, same = _shared(ka, sk[at])
@@ -311,8 +321,7 @@ def _groups(store: DataFrame, steps: Steps, k: int, percent: int) -> DataFrame:
         .select("digest", "n", "sig", "sketch", "rep", "rep.r").withColumn("v", F.monotonically_increasing_id()),
         "classes")
     keys = index_keys(classes)
-    buckets = steps.save(keys.groupBy("key").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
-                         .where("size > 1"), "buckets")
+    buckets = steps.save(shared_keys(keys), "buckets")
     members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot"), "members")
     steps.drop(buckets)
     steps.release()
