@@ -12,7 +12,8 @@ for the distance of their signatures again. Of keys with the same classes,
 the first stands for all.
 
 Pairs within a key are not listed. Documents with equal sets are one class
-from the start. Each class is first compared with the smallest class of its
+from the start. Classes are kept in buckets, so pairs are shuffled to their
+sketches, never the sketches of all. Each class is first compared with the smallest class of its
 keys, for the ``FIRST`` smallest of these; what such links connect needs no
 more comparisons. For every key whose classes are then still in several
 components, signatures are compared across components, inside the tasks, in
@@ -314,12 +315,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 def _groups(store: DataFrame, steps: Steps, k: int, percent: int) -> DataFrame:
     rows = steps.save(describe(store, k), "rows")
     order = lambda *c: F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *c)
-    classes = steps.save(
+    named = steps.save(
         rows.where("n > 0").groupBy("digest").agg(F.min(order("r")).alias("rep"),
                                                   F.max("n").alias("n"), F.max("sig").alias("sig"),
                                                   F.max("sketch").alias("sketch"))
         .select("digest", "n", "sig", "sketch", "rep", "rep.r").withColumn("v", F.monotonically_increasing_id()),
         "classes")
+    classes = steps.bucketed(named, "v", "classes")
+    steps.drop(named)
+    steps.release()
     keys = index_keys(classes)
     buckets = steps.save(shared_keys(keys), "buckets")
     members = steps.save(keys.join(buckets, "key").select("key", "no", "v", "pivot"), "members")

@@ -172,3 +172,14 @@ def test_index_is_no_larger_than_the_texts_need():
     n = len(neardup._KEEP) * neardup.CHUNKS
     meets = sum(math.comb(neardup.WIDTH, e) * 0.8 ** (neardup.WIDTH - e) * 0.2 ** e for e in range(neardup.ERRORS + 1))
     assert n <= 32 and (1 - meets) ** neardup.CHUNKS < 1e-5
+
+
+def test_joins_with_bucketed_steps_shuffle_the_other_side_only(spark):
+    steps = Steps(spark, "test")
+    plain = steps.save(spark.range(1000).select(F.col("id").alias("v"), F.repeat(F.lit("x"), 50).alias("s")), "plain")
+    kept = steps.bucketed(plain, "v", "kept")
+    few = spark.range(0, 1000, 7).select(F.col("id").alias("a"))
+    joined = kept.hint("merge").join(few, F.col("v") == F.col("a"))
+    assert joined.count() == 143 and sorted(map(tuple, kept.collect())) == sorted(map(tuple, plain.collect()))
+    plan = joined._jdf.queryExecution().sparkPlan().toString(), joined._jdf.queryExecution().executedPlan().toString()
+    assert plan[1].count("Exchange hashpartitioning(a") == 1 and "Exchange hashpartitioning(v" not in plan[1]
