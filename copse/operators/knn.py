@@ -19,7 +19,8 @@ their id, so a task holds the chunk, the k best rows so far of each query, and
 one batch. Training rows are sent once for each chunk that they meet, queries
 once. Distances are estimated in single precision (for l2 by a matrix
 product) with an error bound, and computed as the SQL fold does for pairs
-that may belong to the k best. On vectors without structure the bounds exclude nothing, and
+that may belong to the k best; for l1 they are sums of coordinates in bytes, as
+long as few pairs more pass. On vectors without structure the bounds exclude nothing, and
 all pairs are compared once; hashing (``lsh_predict``, ``bucketed_predict``)
 is for that regime.
 
@@ -53,6 +54,9 @@ BLOCK = 2048
 #: Queries and training rows of a tile of estimates (4 MB), pairs whose
 #: distance is computed at a time, rows of an output batch.
 Q_TILE, T_TILE, MERGE, OUT = 256, 4096, 1 << 18, 1 << 16
+#: Steps of a coordinate in the estimates for l1, which are sums of bytes; part of all
+#: pairs that they may let through before single precision takes over.
+LEVELS, LOOSE = 127, 0.02
 #: Bytes of the vectors of a chunk of queries.
 CHUNK_BYTES = 32 << 20
 #: Pivots at most, their bytes at most, and the rows for which one is added.
@@ -134,7 +138,8 @@ class _Best:
     """The k nearest training rows so far of a chunk of queries, by (rounded
     distance, arrival); training rows arrive by id.
 
-    Estimates in single precision (a matrix product for l2) with a proven
+    Estimates in single precision (a matrix product for l2) or, for l1, in
+    ``LEVELS`` steps a coordinate, with a proven
     error bound choose the pairs whose distance is computed exactly. ``worst``
     is a distance within which a query has k rows already (NaN: unknown).
     ``cells``: hash cells (queries, tables, projections); only pairs that
@@ -158,6 +163,22 @@ class _Best:
         self.seen, self.rows, self.row_seq = 0, [], []
         # Estimates are of centred vectors in units of the largest part.
         self.centre = q.mean(axis=0)
+        self.pairs = self.passed = 0
+        self.steps = None
+        if metric == "l1" and len(q) and 0 < q.shape[1] * LEVELS < 1 << 16:
+            low, high = q.min(axis=0), q.max(axis=0)
+            step = (high - low).max() / LEVELS
+            if np.isfinite(step) and step > 1e-300:
+                self.low, self.steps = (low + high) / 2 - step * LEVELS / 2, step
+                parts = [self._levels(q[lo:lo + BLOCK]) for lo in range(0, len(q), BLOCK)]
+                self.levels, self.missed = (np.concatenate(x) for x in zip(*parts))
+
+    def _levels(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates in steps, and by how much a vector's distances in l1 may
+        differ for that."""
+        level = np.clip(np.rint((x - self.low) / self.steps), 0, LEVELS)
+        missed = np.abs(x - (self.low + level * self.steps)).sum(axis=1)
+        return level.astype(np.int8), missed * (1 + 1e-9) + 1e-14 * (np.abs(x) + np.abs(self.low)).sum(axis=1)
 
     def _met(self, cells: np.ndarray, qi, ti) -> np.ndarray:
         return (np.abs(self.cells[qi] - cells[ti]).sum(axis=-1) <= 1).any(axis=-1)
@@ -176,10 +197,70 @@ class _Best:
         for lo in range(0, len(t), T_TILE):
             hi = min(len(t), lo + T_TILE)
             ids = None if self.ids is None else t_ids[lo:hi]
-            qi, ti = self._near(t[lo:hi], self._own(ids), None if cells is None else cells[lo:hi])
+            own, some = self._own(ids), None if cells is None else cells[lo:hi]
+            found = self._near_in_steps(t[lo:hi], own, some)
+            qi, ti = self._near(t[lo:hi], own, some) if found is None else found
             self._merge(t[lo:hi], qi, ti, rows.slice(lo, hi - lo))
             self.seen += hi - lo
 
+    def _near_in_steps(self, t, own, cells):
+        """As ``_near``, for l1: sums of bytes, two at a time. None where
+        steps tell too little: rows far out, or too many pairs let through."""
+        if self.steps is None or not np.isfinite(t).all():
+            return None
+        levels, missed = self._levels(t)
+        if missed.max() > self.steps * levels.shape[1]:
+            return None
+        oq, ot = own
+        order = np.argsort(oq, kind="stable")
+        oq, ot = oq[order], ot[order]
+        of = np.ascontiguousarray(levels.T)
+        tile, kk, out = Q_TILE // 4, min(self.k, len(t)), []
+        one, two = np.empty((2, tile, len(t)), np.int8)
+        total = np.empty((tile, len(t)), np.uint16)
+        for a in range(0, len(self.q), tile):
+            z = min(len(self.q), a + tile)
+            ql, x, y, d = self.levels[a:z], one[:z - a], two[:z - a], total[:z - a]
+            d[:] = 0
+            for j in range(0, len(of), 2):
+                np.subtract(ql[:, j:j + 1], of[j], out=x)
+                np.abs(x, out=x)
+                if j + 1 < len(of):
+                    np.subtract(ql[:, j + 1:j + 2], of[j + 1], out=y)
+                    np.abs(y, out=y)
+                    np.add(x.view(np.uint8), y.view(np.uint8), out=x.view(np.uint8))
+                np.add(d, x.view(np.uint8), out=d)
+            error = self.missed[a:z] + missed.max()
+            bound = np.minimum(self.limit[a:z], self.rd[a:z, -1] * (1 + 1e-9) + 1e-8)
+            lo, hi = np.searchsorted(oq, (a, z))
+            mine = oq[lo:hi] - a, ot[lo:hi]
+            open_ = np.flatnonzero(~np.isfinite(bound))
+            if len(open_):
+                part = np.full((z - a, len(t)), np.inf)
+                part[open_] = d[open_] * self.steps
+                part[mine] = np.inf
+                part = part[open_]
+                if cells is not None:
+                    part[~self._met(cells, (open_ + a)[:, None], np.arange(len(t))[None, :])] = np.inf
+                cut = np.partition(part, kk - 1, axis=1)[:, kk - 1]
+                # What is rounded to 9 places may tie.
+                bound[open_] = (cut + 2 * error[open_]) * (1 + 1e-9) + 1e-8
+            top = (bound + error) * (1 + 1e-9) / self.steps
+            hit = d <= np.minimum(top, 65535).astype(np.uint16)[:, None]
+            hit[mine] = False
+            qi, ti = np.divmod(np.flatnonzero(hit), len(t))
+            self.pairs, self.passed = self.pairs + d.size, self.passed + len(qi)
+            out.append((qi + a, ti))
+        if self.seen >= 4 * T_TILE and self.passed > LOOSE * self.pairs:
+            self.steps = None
+        qi, ti = (np.concatenate(x) for x in zip(*out))
+        return (qi, ti) if cells is None else self._in_cells(cells, qi, ti)
+
+    def _in_cells(self, cells, qi, ti):
+        met = np.concatenate([np.empty(0, bool)] + [self._met(cells, qi[i:i + 65536], ti[i:i + 65536])
+                                                    for i in range(0, len(qi), 65536)])
+        return qi[met], ti[met]
+
     def _near(self, t, own, cells):
         """Pairs that may belong to the nearest."""
         oq, ot = own
@@ -248,11 +329,7 @@ class _Best:
             qi, ti = np.nonzero((d <= top[:, None]) & (d < np.inf))
             out.append((qi + a, ti))
         qi, ti = (np.concatenate(x) for x in zip(*out))
-        if cells is not None:
-            met = np.concatenate([np.empty(0, bool)] + [self._met(cells, qi[i:i + 65536], ti[i:i + 65536])
-                                                        for i in range(0, len(qi), 65536)])
-            qi, ti = qi[met], ti[met]
-        return qi, ti
+        return (qi, ti) if cells is None else self._in_cells(cells, qi, ti)
 
     def _merge(self, t, qi, ti, rows) -> None:
         for lo in range(0, len(qi), MERGE):

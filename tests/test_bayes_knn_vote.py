@@ -1,6 +1,8 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from copse.operators import bayes as NB
@@ -266,3 +268,34 @@ def test_repeated_and_missing_ids(spark):
     assert {(r.t_id, r.dist) for r in nb if r.q_id == 3} == {(None, 0.5)}
     hashed = K.lsh_predict(e, e.where("row_id = 3"), 2, 2, 1, 100.0, 2, 3, exclude_self=True).collect()
     assert [r.row_id for r in hashed] == [3] and hashed[0].pred is not None
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "far", "one", "odd", "wide", "late"])
+def test_l1_estimates_in_bytes_lose_no_neighbour(kind, monkeypatch):
+    """Batches of training rows against all distances; how many pairs' distances
+    are computed is counted for plain vectors."""
+    rng = np.random.default_rng(3)
+    dim = {"one": 1, "odd": 33, "wide": 600}.get(kind, 64)
+    t = rng.normal(size=(9000, dim))
+    if kind == "ties":
+        t = np.round(t)
+    if kind == "far":
+        t[4000:4010] *= 1e6
+    if kind == "late":
+        t[500:] += 40
+    q, k = t[:130], 5
+    computed, plain = [], K._pair_distances
+    monkeypatch.setattr(K, "_pair_distances", lambda m, a, b, i, j: computed.append(len(i)) or plain(m, a, b, i, j))
+    best = K._Best("l1", k, q, np.full(len(q), np.nan), list(range(len(q))))
+    for lo in range(0, len(t), 1000):
+        some = t[lo:lo + 1000]
+        best.add(some, list(range(lo, lo + len(some))), pa.table({"x": pa.array(range(lo, lo + len(some)))}))
+    dist = K._distances("l1", q, t)
+    rd = np.round(dist, 9)
+    rd[np.arange(len(q)), np.arange(len(q))] = np.inf
+    want = np.argsort(rd, axis=1, kind="stable")[:, :k]
+    assert (best.seq == want).all()
+    assert (best.dist == np.take_along_axis(dist, want, axis=1)).all()
+    assert (best.levels is not None) if kind != "wide" else best.steps is None
+    if kind == "plain":
+        assert best.steps is not None and sum(computed) < 0.05 * q.shape[0] * len(t)
